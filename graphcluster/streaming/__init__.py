@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The clustering toolkit this library re-creates is a batch job (read an edge
+list, cluster, write a file); it has no streams, watermarks or stateful
+operators, so there is nothing to express with Structured Streaming here.
+"""

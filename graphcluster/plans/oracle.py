@@ -158,3 +158,149 @@ def pivot(q: Sql, edges: str, order: str = "hash", seed: int = 0, tie: str = "mi
     return q.add(name, f"""
   SELECT r.vid, CASE WHEN r.vid = r.cid THEN r.cid ELSE b.best END AS cid
   FROM {raw} r LEFT JOIN {best} b ON b.vid = r.vid""", True)
+
+
+# ---------------------------------------------------------------------------
+# costs
+
+def cost_row(q: Sql, edges: str, state: str, name: str) -> str:
+    """Adds CTE ``name``(edges, inside_edges, cut_edges, missing_pairs, disagreements)."""
+    if q.has(name):
+        return name
+    return q.add(name, f"""
+  SELECT e.k AS edges, e.inside AS inside_edges, e.k - e.inside AS cut_edges,
+         p.pairs - e.inside AS missing_pairs, e.k - 2 * e.inside + p.pairs AS disagreements
+  FROM (SELECT CAST(count(*) AS BIGINT) AS k,
+               CAST(COALESCE(sum(CASE WHEN s.cid = d.cid THEN 1 ELSE 0 END), 0) AS BIGINT) AS inside
+        FROM {edges} x JOIN {state} s ON s.vid = x.src JOIN {state} d ON d.vid = x.dst) e,
+       (SELECT CAST(COALESCE(sum(n * (n - 1) / 2), 0) AS BIGINT) AS pairs
+        FROM (SELECT cid, count(*) AS n FROM {state} GROUP BY cid)) p""")
+
+
+# ---------------------------------------------------------------------------
+# local search, unrolled
+
+def relabelled(q: Sql, src: str, name: str) -> str:
+    return q.add(name, f"SELECT vid, min(vid) OVER (PARTITION BY cid) AS cid FROM {src}", True)
+
+
+def ls_round(q: Sql, edges: str, state: str, p: str, i: int, seed: int = 0,
+             target: str = "max_overlap", compete: str = "improving", guard: bool = True,
+             allow_singleton: bool = True, simultaneous: bool = False) -> dict[str, str]:
+    """One local-search round from ``state``; returns the CTE names it added."""
+    adj = adjacency(q, edges)
+    if simultaneous:
+        allow_singleton = False
+    z = q.add(f"{p}_z{i}", f"SELECT cid, count(*) AS n FROM {state} GROUP BY cid", True)
+    h = q.add(f"{p}_h{i}", f"""
+  SELECT a.vid, s.cid AS nbr_cid, count(*) AS n FROM {adj} a JOIN {state} s ON s.vid = a.nbr
+  GROUP BY a.vid, s.cid""", True)
+    hv = q.add(f"{p}_hv{i}", f"SELECT h.vid, h.nbr_cid, h.n, s.cid FROM {h} h "
+                             f"JOIN {state} s ON s.vid = h.vid", True)
+    base = q.add(f"{p}_b{i}", f"""
+  SELECT s.vid, s.cid, z.n AS nC, COALESCE(o.n, 0) AS a FROM {state} s
+  JOIN {z} z ON z.cid = s.cid
+  LEFT JOIN {hv} o ON o.vid = s.vid AND o.nbr_cid = o.cid""", True)
+    if target == "max_overlap":
+        pick = q.add(f"{p}_pk{i}", f"""
+  SELECT vid, m.d AS to_cid, -m.k AS b FROM (
+    SELECT vid, min(struct_pack(k := -n, d := nbr_cid)) AS m FROM {hv}
+    WHERE nbr_cid <> cid GROUP BY vid)""")
+        mv = q.add(f"{p}_mv{i}", f"""
+  SELECT b.vid, b.cid, b.nC, b.a, p.to_cid, z.n - b.nC + 1 + 2 * (b.a - p.b) AS dmove
+  FROM {base} b LEFT JOIN ({pick} p JOIN {z} z ON z.cid = p.to_cid) ON p.vid = b.vid""")
+    else:
+        rows = q.add(f"{p}_rw{i}", f"""
+  SELECT o.vid, o.nbr_cid, z.n - b.nC + 1 + 2 * (b.a - o.n) AS dl
+  FROM {hv} o JOIN {base} b ON b.vid = o.vid JOIN {z} z ON z.cid = o.nbr_cid
+  WHERE o.nbr_cid <> o.cid""")
+        pick = q.add(f"{p}_pk{i}", f"""
+  SELECT vid, m.d AS to_cid, m.dl AS dmove FROM (
+    SELECT vid, min(struct_pack(dl := dl, d := nbr_cid)) AS m FROM {rows} GROUP BY vid)""")
+        mv = q.add(f"{p}_mv{i}", f"""
+  SELECT b.vid, b.cid, b.nC, b.a, p.to_cid, p.dmove FROM {base} b
+  LEFT JOIN {pick} p ON p.vid = b.vid""")
+    if allow_singleton:
+        cand = q.add(f"{p}_c{i}", f"""
+  SELECT vid, from_cid, to_cid, fresh, delta FROM (
+    SELECT vid, cid AS from_cid,
+           CASE WHEN u THEN vid ELSE to_cid END AS to_cid, u AS fresh,
+           CAST(CASE WHEN u THEN 1 - nC + 2 * a ELSE dmove END AS BIGINT) AS delta
+    FROM (SELECT *, (dmove IS NULL OR dmove >= 1 - nC + 2 * a) AS u FROM {mv}))
+  WHERE delta < 0""", True)
+    else:
+        cand = q.add(f"{p}_c{i}", f"""
+  SELECT vid, cid AS from_cid, to_cid, false AS fresh, CAST(dmove AS BIGINT) AS delta
+  FROM {mv} WHERE dmove < 0""", True)
+    if simultaneous:
+        mov = cand
+    else:
+        pv, pn = H(seed, i, "a.vid"), H(seed, i, "a.nbr")
+        also = f"JOIN {cand} c2 ON c2.vid = a.nbr" if compete == "improving" else ""
+        blk = q.add(f"{p}_bl{i}", f"""
+  SELECT DISTINCT a.vid FROM {adj} a JOIN {cand} c1 ON c1.vid = a.vid {also}
+  WHERE {pn} < {pv} OR ({pn} = {pv} AND a.nbr < a.vid)""")
+        ind = q.add(f"{p}_in{i}", f"SELECT * FROM {cand} c WHERE NOT EXISTS "
+                                  f"(SELECT 1 FROM {blk} b WHERE b.vid = c.vid)", True)
+        if guard:
+            lead = q.add(f"{p}_ld{i}", f"SELECT min(struct_pack(d := delta, v := vid)).v AS vid "
+                                       f"FROM {ind} GROUP BY from_cid")
+            join = q.add(f"{p}_jn{i}", f"SELECT min(struct_pack(d := delta, v := vid)).v AS vid "
+                                       f"FROM {ind} WHERE NOT fresh GROUP BY to_cid")
+            mov = q.add(f"{p}_mo{i}", f"""
+  SELECT * FROM {ind} WHERE vid IN (SELECT vid FROM {lead})
+    AND (fresh OR vid IN (SELECT vid FROM {join}))""", True)
+        else:
+            mov = ind
+    keyed = q.add(f"{p}_k{i}", f"""
+  SELECT s.vid, COALESCE(m.fresh, false) AS fresh, COALESCE(m.to_cid, s.cid) AS cid
+  FROM {state} s LEFT JOIN {mov} m ON m.vid = s.vid""")
+    nxt = q.add(f"{p}_s{i}", f"SELECT vid, min(vid) OVER (PARTITION BY fresh, cid) AS cid "
+                             f"FROM {keyed}", True)
+    return {"state": nxt, "cand": cand, "moves": mov}
+
+
+def local_search(q: Sql, edges: str, init: str, rounds: int, prefix: str = "ls",
+                 seed: int = 0, **kw) -> dict:
+    """Unrolled search; returns names of the final state and the history query."""
+    state = relabelled(q, init, f"{prefix}_s0")
+    states, cands, moves = [state], [], []
+    for i in range(1, rounds + 1):
+        r = ls_round(q, edges, states[-1], prefix, i, seed, **kw)
+        states.append(r["state"]); cands.append(r["cand"]); moves.append(r["moves"])
+    costs = [cost_row(q, edges, s, f"{prefix}_cost{j}") for j, s in enumerate(states)]
+    hist = [f"SELECT 0 AS round, (SELECT disagreements FROM {costs[0]}) AS cost, "
+            f"CAST(0 AS BIGINT) AS moved"]
+    for i in range(1, rounds + 1):
+        alive = " AND ".join(f"EXISTS (SELECT 1 FROM {c})" for c in cands[:i])
+        hist.append(f"SELECT {i}, (SELECT disagreements FROM {costs[i]}), "
+                    f"(SELECT CAST(count(*) AS BIGINT) FROM {moves[i - 1]}) WHERE {alive}")
+    history = q.add(f"{prefix}_hist", " UNION ALL ".join(hist))
+    out = {"state": states[-1], "history": history, "states": states, "costs": costs}
+    if kw.get("simultaneous"):
+        ranked = " UNION ALL ".join(
+            f"SELECT {j} AS j, (SELECT disagreements FROM {c}) AS cost" for j, c in enumerate(costs))
+        pickj = q.add(f"{prefix}_best", f"SELECT j FROM ({ranked}) ORDER BY cost, j LIMIT 1")
+        best = " UNION ALL ".join(
+            f"SELECT vid, cid FROM {s} WHERE (SELECT j FROM {pickj}) = {j}"
+            for j, s in enumerate(states))
+        out["state"] = q.add(f"{prefix}_final", best, True)
+    return out
+
+
+def star_rows(q: Sql, which: str = "gp", seed: int = 0) -> str:
+    """Raw star rows of a graph (needs ``graph(q, which)`` first): CTE ``<which>_raw``."""
+    graph(q, which, seed=seed)
+    return q.add(f"{which}_raw", f"SELECT m.item AS src, h.hub AS dst FROM {which}_m m "
+                                 f"JOIN {which}_h h ON m.basket = h.basket")
+
+
+def greedy_matching(q: Sql, edges: str, seed: int = 0, name: str | None = None) -> str:
+    name = name or f"{edges}_match"
+    key = f"struct_pack(h := {H(seed, 'src', 'dst')}, s := src, d := dst)"
+    k = q.add(f"{name}_k", f"SELECT src, dst, {key} AS k FROM {edges}", True)
+    low = q.add(f"{name}_low", f"SELECT vid, min(k) AS k FROM ("
+                               f"SELECT src AS vid, k FROM {k} UNION ALL SELECT dst, k FROM {k}) "
+                               f"GROUP BY vid")
+    return q.add(name, f"SELECT k.s AS src, k.d AS dst FROM {low} GROUP BY k HAVING count(*) = 2",
+                 True)

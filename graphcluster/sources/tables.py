@@ -33,9 +33,9 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cooccurrence_edges(df: DataFrame, item: str | Column, basket: str | Column,
-                       min_shared: int = 1, seed: int = 0) -> DataFrame:
-    """Canonical edges ``(src, dst)`` of the basket stars (see module doc)."""
+def star_rows(df: DataFrame, item: str | Column, basket: str | Column, seed: int = 0) -> DataFrame:
+    """Raw star rows ``(src=item, dst=hub)``, one per (basket, member): hub rows are
+    self-loops and a pair repeats once per basket that produced it."""
     members = (df.select(_col(item).cast("bigint").alias("item"),
                          _col(basket).cast("string").alias("basket"))
                .where(F.col("item").isNotNull() & F.col("basket").isNotNull())
@@ -44,13 +44,32 @@ def cooccurrence_edges(df: DataFrame, item: str | Column, basket: str | Column,
     hubs = (members.groupBy("basket")
             .agg(F.min(F.struct(rank.alias("h"), F.col("item").alias("i"))).alias("m"))
             .select("basket", F.col("m.i").alias("hub")))
-    star = (members.join(hubs, "basket")
-            .where(F.col("item") != F.col("hub"))
-            .select(F.least("item", "hub").alias("src"), F.greatest("item", "hub").alias("dst")))
+    return members.join(hubs, "basket").select(F.col("item").alias("src"),
+                                               F.col("hub").alias("dst"))
+
+
+def cooccurrence_edges(df: DataFrame, item: str | Column, basket: str | Column,
+                       min_shared: int = 1, seed: int = 0) -> DataFrame:
+    """Canonical edges ``(src, dst)`` of the basket stars (see module doc)."""
+    star = (star_rows(df, item, basket, seed)
+            .where(F.col("src") != F.col("dst"))
+            .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")))
     return (star.groupBy("src", "dst").agg(F.count("*").alias("shared"))
             .where(F.col("shared") >= min_shared).select("src", "dst"))
 
 
+def greedy_matching(edges: DataFrame, seed: int = 0) -> DataFrame:
+    """A matching inside canonical ``edges``: the edges that are the lowest
+    ``(hash(seed, src, dst), src, dst)`` edge at both of their ends."""
+    key = F.struct(hash_priority(F.lit(seed), "src", "dst").alias("h"),
+                   F.col("src").alias("s"), F.col("dst").alias("d"))
+    keyed = edges.select("src", "dst", key.alias("k"))
+    ends = keyed.select(F.explode(F.array("src", "dst")).alias("vid"), "k")
+    lowest = ends.groupBy("vid").agg(F.min("k").alias("k"))
+    hits = lowest.groupBy("k").agg(F.count("*").alias("ends")).where(F.col("ends") == 2)
+    return hits.select(F.col("k.s").alias("src"), F.col("k.d").alias("dst"))
+
+
 def sentences(docs: DataFrame, min_len: int = MIN_SENTENCE_CHARS) -> DataFrame:
     """``(doc_id, sentence)``: whole texts split on sentence ends, trimmed, long enough."""
     parts = docs.select("doc_id", F.explode(F.split(F.col("text"), SENTENCE_SPLIT)).alias("s"))

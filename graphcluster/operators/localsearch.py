@@ -39,7 +39,7 @@ from graphcluster.functions.priority import beats, hash_priority
 from graphcluster.operators.graph import (
     canonical_edges, cluster_sizes, intra_cluster_edges, neighbours, relabel,
 )
-from graphcluster.plans.loop import materialize
+from graphcluster.plans.loop import materialize, release
 
 TARGETS = ("max_overlap", "min_delta")
 COMPETE = ("improving", "all")
@@ -62,31 +62,28 @@ def best_moves(assign: DataFrame, hist: DataFrame, sizes: DataFrame,
         raise ValueError(f"target must be one of {TARGETS}, got {target!r}")
     a0 = assign.select("vid", "cid")
     hv = hist.join(a0, "vid")
-    own = hv.where(F.col("nbr_cid") == F.col("cid")).select("vid", F.col("n").alias("a"))
-    other = hv.where(F.col("nbr_cid") != F.col("cid"))
+    own = F.col("nbr_cid") == F.col("cid")
+    if target == "max_overlap":
+        # best other cluster: most neighbours, then smallest id
+        key = F.struct((-F.col("n")).alias("k"), F.col("nbr_cid").alias("d"))
+    else:
+        # delta = (nD - 2 b) - nC + 1 + 2 a: only nD - 2 b varies with the target
+        hv = hv.join(sizes.select(F.col("cid").alias("nbr_cid"), F.col("n").alias("nD")),
+                     "nbr_cid")
+        key = F.struct((F.col("nD") - 2 * F.col("n")).alias("k"), F.col("nbr_cid").alias("d"))
+    # one pass over the histogram: own-cluster count and the best other cluster
+    per = hv.groupBy("vid").agg(F.sum(F.when(own, F.col("n"))).alias("a"),
+                                F.min(F.when(~own, key)).alias("m"))
     base = (a0.join(sizes.select("cid", F.col("n").alias("nC")), "cid")
-            .join(own, "vid", "left")
-            .select("vid", "cid", "nC", F.coalesce("a", F.lit(0)).alias("a")))
-    dsize = sizes.select(F.col("cid").alias("to_cid"), F.col("n").alias("nD"))
-
+            .join(per, "vid", "left")
+            .select("vid", "cid", "nC", F.coalesce("a", F.lit(0)).alias("a"),
+                    F.col("m.d").alias("to_cid"), F.col("m.k").alias("k")))
     if target == "max_overlap":
-        pick = (other.groupBy("vid")
-                .agg(F.min(F.struct((-F.col("n")).alias("k"), F.col("nbr_cid").alias("d")))
-                     .alias("m"))
-                .select("vid", F.col("m.d").alias("to_cid"), (-F.col("m.k")).alias("b"))
-                .join(dsize, "to_cid"))
-        moved = base.join(pick, "vid", "left").withColumn(
-            "dmove", F.col("nD") - F.col("nC") + 1 + 2 * (F.col("a") - F.col("b")))
+        dsize = sizes.select(F.col("cid").alias("to_cid"), F.col("n").alias("nD"))
+        moved = base.join(dsize, "to_cid", "left").withColumn(
+            "dmove", F.col("nD") - F.col("nC") + 1 + 2 * (F.col("a") + F.col("k")))
     else:
-        rows = (other.join(base.select("vid", "a", "nC"), "vid")
-                .join(dsize.withColumnRenamed("to_cid", "nbr_cid"), "nbr_cid")
-                .select("vid", "nbr_cid",
-                        (F.col("nD") - F.col("nC") + 1 + 2 * (F.col("a") - F.col("n")))
-                        .alias("dl")))
-        pick = (rows.groupBy("vid")
-                .agg(F.min(F.struct(F.col("dl"), F.col("nbr_cid").alias("d"))).alias("m"))
-                .select("vid", F.col("m.d").alias("to_cid"), F.col("m.dl").alias("dmove")))
-        moved = base.join(pick, "vid", "left")
+        moved = base.withColumn("dmove", F.col("k") - F.col("nC") + 1 + 2 * F.col("a"))
 
     single = 1 - F.col("nC") + 2 * F.col("a")
     if allow_singleton:
@@ -110,12 +107,19 @@ def independent_set(candidates: DataFrame, adj: DataFrame, seed: int, rnd: int,
     """
     if compete not in COMPETE:
         raise ValueError(f"compete must be one of {COMPETE}, got {compete!r}")
-    rows = adj.join(candidates.select("vid"), "vid", "left_semi")
+    def prio(df, col):
+        return df.select(F.col("vid").alias(col),
+                         hash_priority(F.lit(seed), F.lit(rnd), F.col("vid")).alias(f"p_{col}"))
+
+    # One hash per vertex, joined to the rows (never one per edge).
+    rows = adj.join(prio(candidates, "vid"), "vid")
     if compete == "improving":
-        rows = rows.join(candidates.select(F.col("vid").alias("nbr")), "nbr", "left_semi")
-    p_v = hash_priority(F.lit(seed), F.lit(rnd), F.col("vid"))
-    p_n = hash_priority(F.lit(seed), F.lit(rnd), F.col("nbr"))
-    blocked = rows.where(beats(p_n, F.col("nbr"), p_v, F.col("vid"))).select("vid").distinct()
+        rows = rows.join(prio(candidates, "nbr"), "nbr")
+    else:
+        everyone = adj.select("vid").distinct()
+        rows = rows.join(prio(everyone, "nbr"), "nbr")
+    blocked = (rows.where(beats(F.col("p_nbr"), F.col("nbr"), F.col("p_vid"), F.col("vid")))
+               .select("vid").distinct())
     return candidates.join(blocked, "vid", "left_anti")
 
 
@@ -141,17 +145,24 @@ def apply_moves(assign: DataFrame, moves: DataFrame) -> DataFrame:
     return relabel(keyed, ["fresh", "cid"])
 
 
-def state_cost(hist: DataFrame, assign: DataFrame, sizes: DataFrame, n_edges: int) -> int:
-    """Disagreements of ``assign`` from its histogram: E - 2*inside + sum C(n, 2)."""
+def state_cost(hist: DataFrame, assign: DataFrame, sizes: DataFrame, n_edges: int,
+               moves: DataFrame | None = None) -> tuple[int, int]:
+    """Disagreements of ``assign`` from its histogram, E - 2*inside + sum C(n, 2),
+    and the number of rows of ``moves`` -- one job for both."""
     inside2 = (hist.join(assign.select("vid", "cid"), "vid")
                .where(F.col("nbr_cid") == F.col("cid"))
-               .select(F.col("n").cast("bigint").alias("x")))
-    pairs = sizes.select((F.col("n") * (F.col("n") - 1) / 2).cast("bigint").alias("x"))
-    both = inside2.select(F.col("x").alias("i"), F.lit(0).cast("bigint").alias("p")).unionByName(
-        pairs.select(F.lit(0).cast("bigint").alias("i"), F.col("x").alias("p")))
-    row = both.agg(F.coalesce(F.sum("i"), F.lit(0)).alias("i"),
-                   F.coalesce(F.sum("p"), F.lit(0)).alias("p")).first()
-    return int(n_edges - row["i"] + row["p"])
+               .select(F.col("n").cast("bigint").alias("i"), F.lit(0).cast("bigint").alias("p"),
+                       F.lit(0).cast("bigint").alias("m")))
+    pairs = sizes.select(F.lit(0).cast("bigint").alias("i"),
+                         (F.col("n") * (F.col("n") - 1) / 2).cast("bigint").alias("p"),
+                         F.lit(0).cast("bigint").alias("m"))
+    both = inside2.unionByName(pairs)
+    if moves is not None:
+        both = both.unionByName(moves.select(F.lit(0).cast("bigint").alias("i"),
+                                             F.lit(0).cast("bigint").alias("p"),
+                                             F.lit(1).cast("bigint").alias("m")))
+    row = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("i", "p", "m")]).first()
+    return int(n_edges - row["i"] + row["p"]), int(row["m"])
 
 
 @dataclass
@@ -180,43 +191,59 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
     """
     if simultaneous:
         allow_singleton = False
-    canon = materialize(edges.select("src", "dst") if canonical else canonical_edges(edges))
+    canon = (edges.select("src", "dst") if canonical
+             else materialize(canonical_edges(edges), "ls_edges"))
     n_edges = canon.count()
-    adj = materialize(neighbours(canon))
-    state = materialize(relabel(assign.select("vid", "cid")))
+    adj = materialize(neighbours(canon), "ls_adj")
+    state = materialize(relabel(assign.select("vid", "cid")), "ls_state")
 
     rounds: list[tuple[int, int, int]] = []
     best = (None, None)       # (cost, state) for the simultaneous variant
     moved_last = 0
     for rnd in range(1, max_iter + 2):
-        sizes = materialize(cluster_sizes(state))
-        hist = materialize(neighbour_clusters(adj, state))
-        cost = state_cost(hist, state, sizes, n_edges)
+        sizes = cluster_sizes(state)
+        hist = materialize(neighbour_clusters(adj, state), "ls_hist")
+        moves = None
+        if rnd <= max_iter:
+            moves = materialize(best_moves(state, hist, sizes, target, allow_singleton),
+                                "ls_moves")
+        cost, n_cand = state_cost(hist, state, sizes, n_edges, moves)
+        release(hist)
         rounds.append((rnd - 1, cost, moved_last))
-        if best[0] is None or cost < best[0]:
+        if simultaneous and (best[0] is None or cost < best[0]):
+            if best[1] is not None and best[1] is not state:
+                release(best[1])
             best = (cost, state)
-        if rnd > max_iter:
-            break
-        moves = materialize(best_moves(state, hist, sizes, target, allow_singleton))
-        if moves.count() == 0:
+        if moves is None or n_cand == 0:
+            release(moves)
             break
         if not simultaneous:
-            moves = independent_set(moves, adj, seed, rnd, compete)
+            picked = independent_set(moves, adj, seed, rnd, compete)
             if guard:
-                moves = guard_moves(moves)
-            moves = materialize(moves)
-        moved_last = moves.count()
-        if moved_last == 0:
-            continue
-        state = materialize(apply_moves(state, moves))
+                picked = guard_moves(picked)
+            picked = materialize(picked, "ls_movers")
+            release(moves)
+            moves = picked
+            moved_last = moves.count()
+        else:
+            moved_last = n_cand
+        if moved_last > 0:
+            nxt = materialize(apply_moves(state, moves), "ls_state")
+            if not (simultaneous and best[1] is state):
+                release(state)
+            state = nxt
+        release(moves)
+    release(adj); release(canon)
 
     if simultaneous:
+        if best[1] is not state:
+            release(state)
         return SearchResult(best[1], rounds)
     return SearchResult(state, rounds)
 
 
 def refine_within_clusters(edges: DataFrame, assign: DataFrame, max_iter: int = 10,
-                           seed: int = 0, **kw) -> SearchResult:
+                           seed: int = 0, canonical: bool = False, **kw) -> SearchResult:
     """Local search on the edges inside clusters, for every cluster at once.
 
     The clusters are disjoint in that subgraph, so one run refines all of them
@@ -224,6 +251,7 @@ def refine_within_clusters(edges: DataFrame, assign: DataFrame, max_iter: int =
     so the full-graph cost changes exactly as the subgraph cost (history costs
     are those of the subgraph).
     """
-    inner = intra_cluster_edges(canonical_edges(edges), assign.select("vid", "cid"))
+    canon = edges.select("src", "dst") if canonical else canonical_edges(edges)
+    inner = intra_cluster_edges(canon, assign.select("vid", "cid"))
     return local_search(inner.select("src", "dst"), assign, max_iter, seed,
                         canonical=True, **kw)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from graphcluster.functions.priority import beats, hash_priority
 from graphcluster.operators.graph import canonical_edges, neighbours, vertices_of
-from graphcluster.plans.loop import checked_broadcast, materialize, shuffle_partitions
+from graphcluster.plans.loop import checked_broadcast, materialize, release, shuffle_partitions
 
 ORDERS = ("hash", "permutation")
 TIES = ("min_id", "min_prio")
@@ -57,7 +57,7 @@ def permutation_rank(vertices: DataFrame, seed: int = 0, partitions: int | None
                        .bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))).alias("local")))
     # Materialize once: the range bounds come from sampling, so both uses below
     # must read the same partitioned rows.
-    ranged = materialize(ranged)
+    ranged = materialize(ranged, "perm")
     counts = ranged.groupBy("part").agg(F.count("*").alias("k"))
     offsets = counts.select(
         "part",
@@ -118,53 +118,72 @@ class PivotResult:
 
 
 def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: str = "hash",
-                  seed: int = 0, tie: str = "min_id") -> PivotResult:
+                  seed: int = 0, tie: str = "min_id", canonical: bool = False) -> PivotResult:
     """Cluster an undirected graph with parallel PIVOT.
 
     ``edges`` may hold duplicates, reversed pairs and self-loops; they are
     canonicalised first, and self-loop endpoints (and ``vertices``) stay as
     vertices.  Every vertex ends in exactly one cluster; the loop ends when
     none is left unassigned (each round has at least one pivot: the lowest
-    unassigned vertex).
+    unassigned vertex).  ``canonical=True`` skips canonicalisation for edges
+    that are already simple with ``src < dst``.
     """
     if tie not in TIES:
         raise ValueError(f"tie must be one of {TIES}, got {tie!r}")
-    canon = materialize(canonical_edges(edges))
+    canon = (edges.select("src", "dst") if canonical
+             else materialize(canonical_edges(edges), "edges"))
     verts = vertices_of(edges, vertices)
-    prio = materialize(pivot_priorities(verts, order, seed))
+    prio = materialize(pivot_priorities(verts, order, seed), "prio")
     n_vertices = prio.count()
-    active = materialize(active_adjacency(canon, prio))
+    active = materialize(active_adjacency(canon, prio), "active")
 
     pieces: list[DataFrame] = []
-    rounds: list[tuple[int, int, int]] = []
     done, rnd = 0, 0
     while done < n_vertices:
         rnd += 1
-        pivots = materialize(pivot_select(active))
-        n_piv = pivots.count()
-        fresh = materialize(pivot_assign(active, checked_broadcast(pivots, n_piv)))
+        # select + assign in one plan: the pivots are a per-vertex aggregate of
+        # ``active`` that Spark joins straight back (broadcast when small).
+        fresh = materialize(pivot_assign(active, pivot_select(active))
+                            .withColumn("rnd", F.lit(rnd)), "assigned")
         n_new = fresh.count()
         pieces.append(fresh)
         done += n_new
-        rounds.append((rnd, n_piv, n_new))
         if done >= n_vertices:
             break
         gone = checked_broadcast(fresh.select("vid"), n_new)
-        active = materialize(
+        shrunk = materialize(
             active.join(gone, "vid", "left_anti")
             .join(gone.select(F.col("vid").alias("nbr")), "nbr", "left_anti")
-            .select("vid", "vprio", "nbr", "nprio"))
+            .select("vid", "vprio", "nbr", "nprio"), "active")
+        release(active)
+        active = shrunk
+    release(active)
 
     if pieces:
-        assign = pieces[0]
+        tagged = pieces[0]
         for p in pieces[1:]:
-            assign = assign.unionByName(p)
+            tagged = tagged.unionByName(p)
     else:
-        assign = prio.select("vid", F.col("vid").alias("cid")).where(F.lit(False))
-
+        tagged = prio.select("vid", F.col("vid").alias("cid"), F.lit(0).alias("rnd")).where(
+            F.lit(False))
+    tagged = materialize(tagged, "pivot_rounds")
+    for df in pieces:
+        release(df)
+    # per-round statistics in one small aggregate (one row per round)
+    stats = (tagged.groupBy("rnd")
+             .agg(F.count(F.when(F.col("vid") == F.col("cid"), 1)).alias("p"),
+                  F.count("*").alias("n"))
+             .orderBy("rnd").collect())
+    rounds = [(int(r["rnd"]), int(r["p"]), int(r["n"])) for r in stats]
+
+    assign = tagged.select("vid", "cid")
     if tie == "min_prio":
-        assign = reattach_min_prio(canon, prio, assign)
-    return PivotResult(materialize(assign), rounds)
+        assign = materialize(reattach_min_prio(canon, prio, assign), "pivot")
+        release(tagged)
+    release(prio)
+    if not canonical:
+        release(canon)
+    return PivotResult(assign, rounds)
 
 
 def reattach_min_prio(canon: DataFrame, prio: DataFrame, assign: DataFrame) -> DataFrame:

@@ -2,10 +2,16 @@
 
 Every round of PIVOT and local search builds one lazy plan from the previous
 round's state.  Without a cut the plan (and the recovery lineage) grows with
-the round number, so each state is written with a *reliable* checkpoint into
-the session's checkpoint folder: a lost executor re-reads the files instead of
-replaying all earlier rounds.  Only small per-round statistics reach the
-driver, never vertices or clusters.
+the round number, so each state is written as a Parquet table into the
+session's checkpoint folder (a shared filesystem on a cluster) and read back:
+a lost executor re-reads the files instead of replaying earlier rounds.
+
+A written table beats ``DataFrame.checkpoint()`` here: the plan is computed
+once (a reliable checkpoint of an uncached plan computes it twice), the data
+is columnar and compressed, and the re-read scan carries exact file sizes, so
+the planner's broadcast decisions rest on measured sizes.  Tables that a loop
+has superseded are deleted with ``release``.  Only small per-round statistics
+reach the driver, never vertices or clusters.
 """
 
 from __future__ import annotations
@@ -13,16 +19,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphcluster.session import ensure_checkpoint_dir
+from graphcluster.session import scratch_dir
 
 # Bytes assumed per row of a (vid, cid)-like table when deciding on a broadcast.
 ROW_BYTES = 48
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint: cuts the lineage and survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and return the re-read table."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = path
+    return out
+
+
+_PATHS: dict[int, str] = {}
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete the files of a table made by ``materialize`` (no-op for others)."""
+    if df is None:
+        return
+    path = _PATHS.pop(id(df), None)
+    if path is None:
+        return
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hpath, True)
 
 
 def broadcast_limit(df: DataFrame) -> int:

@@ -118,7 +118,8 @@ class PivotResult:
 
 
 def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: str = "hash",
-                  seed: int = 0, tie: str = "min_id", canonical: bool = False) -> PivotResult:
+                  seed: int = 0, tie: str = "min_id", canonical: bool = False,
+                  priorities: DataFrame | None = None) -> PivotResult:
     """Cluster an undirected graph with parallel PIVOT.
 
     ``edges`` may hold duplicates, reversed pairs and self-loops; they are
@@ -126,14 +127,21 @@ def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: st
     vertices.  Every vertex ends in exactly one cluster; the loop ends when
     none is left unassigned (each round has at least one pivot: the lowest
     unassigned vertex).  ``canonical=True`` skips canonicalisation for edges
-    that are already simple with ``src < dst``.
+    that are already simple with ``src < dst``.  ``priorities(vid, prio)``
+    replaces the ``order`` draw with given ranks (it must cover every vertex).
     """
     if tie not in TIES:
         raise ValueError(f"tie must be one of {TIES}, got {tie!r}")
     canon = (edges.select("src", "dst") if canonical
              else materialize(canonical_edges(edges), "edges"))
     verts = vertices_of(edges, vertices)
-    prio = materialize(pivot_priorities(verts, order, seed), "prio")
+    if priorities is not None:
+        given = priorities.select(F.col("vid").cast("bigint"), F.col("prio").cast("bigint"))
+        prio = materialize(verts.join(given, "vid", "left"), "prio")
+        if not prio.where(F.col("prio").isNull()).isEmpty():
+            raise ValueError("priorities must cover every vertex")
+    else:
+        prio = materialize(pivot_priorities(verts, order, seed), "prio")
     n_vertices = prio.count()
     active = materialize(active_adjacency(canon, prio), "active")
 

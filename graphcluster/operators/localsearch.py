@@ -14,9 +14,10 @@ with ``a`` / ``b`` the neighbours of ``v`` in C / D; a fresh singleton has
    or a fresh singleton, kept if ``delta < 0``;
 3. an independent set of movers: a candidate moves only if no competing
    neighbour has a lower round priority ``hash(seed, round, vid)``;
-4. the guard (default on): at most one leaver per source cluster and one
-   joiner per target cluster, which makes the real cost change at most the
-   sum of the deltas, so the cost falls every round;
+4. the guard (default on): movers ranked by ``(delta, vid)`` in their source
+   and target clusters are kept while ``delta + (r_src - 1) + (r_dst - 1) < 0``,
+   which bounds the real joint change below zero, so the cost falls every
+   round (``guard='one'``: one leaver / joiner per cluster; ``False``: none);
 5. apply and relabel every cluster to its smallest member id.
 
 ``simultaneous=True`` is the all-at-once variant: every vertex with an
@@ -39,6 +40,7 @@ from graphcluster.functions.priority import beats, hash_priority
 from graphcluster.operators.graph import (
     canonical_edges, cluster_sizes, intra_cluster_edges, neighbours, relabel,
 )
+from graphcluster.operators.rank import group_rank
 from graphcluster.plans.loop import materialize, release
 
 TARGETS = ("max_overlap", "min_delta")
@@ -123,46 +125,75 @@ def independent_set(candidates: DataFrame, adj: DataFrame, seed: int, rnd: int,
     return candidates.join(blocked, "vid", "left_anti")
 
 
-def guard_moves(moves: DataFrame) -> DataFrame:
-    """Keep a move only if it is the first ``(delta, vid)`` leaving its cluster and,
-    unless fresh, the first joining its target cluster."""
-    first = F.min(F.struct("delta", "vid")).alias("m")
-    leaders = moves.groupBy("from_cid").agg(first).select(F.col("m.vid").alias("vid"))
-    joiners = (moves.where(~F.col("fresh")).groupBy("to_cid").agg(first)
-               .select(F.col("m.vid").alias("vid"), F.lit(True).alias("_first_in")))
-    return (moves.join(leaders, "vid", "left_semi").join(joiners, "vid", "left")
-            .where(F.col("fresh") | F.col("_first_in").isNotNull())
-            .select(*moves.columns))
+def guard_moves(moves: DataFrame, mode: bool | str = True) -> DataFrame:
+    """Keep a subset of independent moves whose joint cost change is negative.
 
-
-def apply_moves(assign: DataFrame, moves: DataFrame) -> DataFrame:
-    """New clustering after ``moves``, relabelled to smallest member ids."""
+    For non-adjacent movers the joint change is the sum of the deltas plus one
+    missing pair for every two movers leaving the same cluster and every two
+    joining the same cluster (other cross terms only lower it).  ``'rank'``
+    (``True``): rank movers by ``(delta, vid)`` inside their source and their
+    target cluster and keep those with ``delta + (r_src - 1) + (r_dst - 1) < 0``;
+    the ranks are distributed (``group_rank``), so a huge cluster is never one
+    task.  ``'one'``: only the first leaver and the first joiner per cluster.
+    """
+    if mode is True or mode == "rank":
+        ranked = group_rank(moves, ["from_cid"], ["delta", "vid"], "_r_src")
+        joins = group_rank(moves.where(~F.col("fresh")).select("vid", "to_cid", "delta"),
+                           ["to_cid"], ["delta", "vid"], "_r_dst")
+        keep = (ranked.join(joins.select("vid", "_r_dst"), "vid", "left")
+                .where(F.col("delta") + (F.col("_r_src") - 1)
+                       + F.coalesce(F.col("_r_dst") - 1, F.lit(0)) < 0))
+        return keep.select(*moves.columns)
+    if mode == "one":
+        first = F.min(F.struct("delta", "vid")).alias("m")
+        leaders = moves.groupBy("from_cid").agg(first).select(F.col("m.vid").alias("vid"))
+        joiners = (moves.where(~F.col("fresh")).groupBy("to_cid").agg(first)
+                   .select(F.col("m.vid").alias("vid"), F.lit(True).alias("_first_in")))
+        return (moves.join(leaders, "vid", "left_semi").join(joiners, "vid", "left")
+                .where(F.col("fresh") | F.col("_first_in").isNotNull())
+                .select(*moves.columns))
+    raise ValueError(f"guard must be True, 'rank' or 'one', got {mode!r}")
+
+
+def apply_moves(assign: DataFrame, moves: DataFrame, flag: bool = False) -> DataFrame:
+    """New clustering after ``moves``, relabelled to smallest member ids.
+
+    ``flag=True`` adds a boolean ``moved`` column (the loop counts movers from it).
+    """
     m = moves.select("vid", F.col("to_cid").alias("_to"), F.col("fresh").alias("_fresh"))
     keyed = assign.select("vid", "cid").join(m, "vid", "left").select(
         "vid",
         F.coalesce(F.col("_fresh"), F.lit(False)).alias("fresh"),
-        F.coalesce(F.col("_to"), F.col("cid")).alias("cid"))
-    return relabel(keyed, ["fresh", "cid"])
+        F.coalesce(F.col("_to"), F.col("cid")).alias("cid"),
+        F.col("_to").isNotNull().alias("moved"))
+    labels = keyed.groupBy("fresh", "cid").agg(F.min("vid").alias("_label"))
+    out = keyed.join(labels, ["fresh", "cid"]).select(
+        "vid", F.col("_label").alias("cid"), "moved")
+    return out if flag else out.drop("moved")
 
 
 def state_cost(hist: DataFrame, assign: DataFrame, sizes: DataFrame, n_edges: int,
-               moves: DataFrame | None = None) -> tuple[int, int]:
-    """Disagreements of ``assign`` from its histogram, E - 2*inside + sum C(n, 2),
-    and the number of rows of ``moves`` -- one job for both."""
+               moves: DataFrame | None = None) -> tuple[int, int, int]:
+    """One job for three numbers: the disagreements of ``assign`` from its
+    histogram (E - 2*inside + sum C(n, 2)), the rows of ``moves``, and the
+    vertices flagged ``moved`` in ``assign`` (0 without that column)."""
+    zero = F.lit(0).cast("bigint")
+    moved = (F.col("moved").cast("bigint") if "moved" in assign.columns else zero)
     inside2 = (hist.join(assign.select("vid", "cid"), "vid")
                .where(F.col("nbr_cid") == F.col("cid"))
-               .select(F.col("n").cast("bigint").alias("i"), F.lit(0).cast("bigint").alias("p"),
-                       F.lit(0).cast("bigint").alias("m")))
-    pairs = sizes.select(F.lit(0).cast("bigint").alias("i"),
+               .select(F.col("n").cast("bigint").alias("i"), zero.alias("p"), zero.alias("m"),
+                       zero.alias("f")))
+    pairs = sizes.select(zero.alias("i"),
                          (F.col("n") * (F.col("n") - 1) / 2).cast("bigint").alias("p"),
-                         F.lit(0).cast("bigint").alias("m"))
-    both = inside2.unionByName(pairs)
+                         zero.alias("m"), zero.alias("f"))
+    flags = assign.select(zero.alias("i"), zero.alias("p"), zero.alias("m"), moved.alias("f"))
+    parts = inside2.unionByName(pairs).unionByName(flags)
     if moves is not None:
-        both = both.unionByName(moves.select(F.lit(0).cast("bigint").alias("i"),
-                                             F.lit(0).cast("bigint").alias("p"),
-                                             F.lit(1).cast("bigint").alias("m")))
-    row = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("i", "p", "m")]).first()
-    return int(n_edges - row["i"] + row["p"]), int(row["m"])
+        parts = parts.unionByName(moves.select(zero.alias("i"), zero.alias("p"),
+                                               F.lit(1).cast("bigint").alias("m"),
+                                               zero.alias("f")))
+    row = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "ipmf"]).first()
+    return int(n_edges - row["i"] + row["p"]), int(row["m"]), int(row["f"])
 
 
 @dataclass
@@ -179,7 +210,8 @@ class SearchResult:
 
 
 def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed: int = 0,
-                 target: str = "max_overlap", compete: str = "improving", guard: bool = True,
+                 target: str = "max_overlap", compete: str = "improving",
+                 guard: bool | str = True,
                  allow_singleton: bool = True, simultaneous: bool = False,
                  canonical: bool = False) -> SearchResult:
     """Improve ``assign`` (covering every vertex) for the graph ``edges``.
@@ -199,7 +231,6 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
 
     rounds: list[tuple[int, int, int]] = []
     best = (None, None)       # (cost, state) for the simultaneous variant
-    moved_last = 0
     for rnd in range(1, max_iter + 2):
         sizes = cluster_sizes(state)
         hist = materialize(neighbour_clusters(adj, state), "ls_hist")
@@ -207,7 +238,7 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
         if rnd <= max_iter:
             moves = materialize(best_moves(state, hist, sizes, target, allow_singleton),
                                 "ls_moves")
-        cost, n_cand = state_cost(hist, state, sizes, n_edges, moves)
+        cost, n_cand, moved_last = state_cost(hist, state, sizes, n_edges, moves)
         release(hist)
         rounds.append((rnd - 1, cost, moved_last))
         if simultaneous and (best[0] is None or cost < best[0]):
@@ -217,29 +248,23 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
         if moves is None or n_cand == 0:
             release(moves)
             break
+        movers = moves
         if not simultaneous:
-            picked = independent_set(moves, adj, seed, rnd, compete)
+            movers = independent_set(moves, adj, seed, rnd, compete)
             if guard:
-                picked = guard_moves(picked)
-            picked = materialize(picked, "ls_movers")
-            release(moves)
-            moves = picked
-            moved_last = moves.count()
-        else:
-            moved_last = n_cand
-        if moved_last > 0:
-            nxt = materialize(apply_moves(state, moves), "ls_state")
-            if not (simultaneous and best[1] is state):
-                release(state)
-            state = nxt
+                movers = guard_moves(materialize(movers, "ls_indep"), guard)
+        nxt = materialize(apply_moves(state, movers, flag=True), "ls_state")
+        if not (simultaneous and best[1] is state):
+            release(state)
         release(moves)
+        state = nxt
     release(adj); release(canon)
 
     if simultaneous:
         if best[1] is not state:
             release(state)
-        return SearchResult(best[1], rounds)
-    return SearchResult(state, rounds)
+        state = best[1]
+    return SearchResult(state.select("vid", "cid"), rounds)
 
 
 def refine_within_clusters(edges: DataFrame, assign: DataFrame, max_iter: int = 10,

@@ -26,49 +26,27 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphcluster.functions.priority import beats, hash_priority
 from graphcluster.operators.graph import canonical_edges, neighbours, vertices_of
-from graphcluster.plans.loop import checked_broadcast, materialize, release, shuffle_partitions
+from graphcluster.operators.rank import group_rank
+from graphcluster.plans.loop import materialize, materialize_split, release, release_path
 
 ORDERS = ("hash", "permutation")
 TIES = ("min_id", "min_prio")
 
-# Low bits of monotonically_increasing_id() hold the row index inside a partition.
-_LOCAL_BITS = 33
-
-
 def permutation_rank(vertices: DataFrame, seed: int = 0, partitions: int | None = None) -> DataFrame:
     """A seeded random permutation: ``(vid, rank)`` with ranks ``1..N``.
 
-    The draw is a hash of ``(seed, 'perm', vid)``.  Ranks come from a
-    distributed zipWithIndex: range-partition on ``(draw, vid)``, number rows
-    inside each partition, and add the per-partition offsets (one row per
-    partition, so that table is bounded by the partition count).
+    The draw is a hash of ``(seed, 'perm', vid)``; the rank is a distributed
+    zipWithIndex over ``(draw, vid)`` (``group_rank`` with one group), so no
+    task ever holds more than one range partition.
     """
-    n_parts = partitions or shuffle_partitions(vertices)
     draws = vertices.select("vid", hash_priority(F.lit(seed), F.lit("perm"), "vid").alias("draw"))
-    ranged = (draws.repartitionByRange(n_parts, "draw", "vid")
-              .sortWithinPartitions("draw", "vid")
-              .select("vid", "draw", F.spark_partition_id().alias("part"),
-                      (F.monotonically_increasing_id()
-                       .bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))).alias("local")))
-    # Materialize once: the range bounds come from sampling, so both uses below
-    # must read the same partitioned rows.
-    ranged = materialize(ranged, "perm")
-    counts = ranged.groupBy("part").agg(F.count("*").alias("k"))
-    offsets = counts.select(
-        "part",
-        F.coalesce(F.sum("k").over(_window_by_part()), F.lit(0)).alias("offset"))
-    return (ranged.join(F.broadcast(offsets), "part")
-            .select("vid", (F.col("offset") + F.col("local") + 1).cast("bigint").alias("rank")))
-
-
-def _window_by_part():
-    # Global window over the per-partition counts: at most one row per partition.
-    return Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = group_rank(draws, [F.lit(0)], ["draw", "vid"], "rank", partitions)
+    return ranked.select("vid", "rank")
 
 
 def pivot_priorities(vertices: DataFrame, order: str = "hash", seed: int = 0) -> DataFrame:
@@ -107,6 +85,21 @@ def pivot_assign(active: DataFrame, pivots: DataFrame) -> DataFrame:
             .select(F.col("nbr").alias("vid"), "cid"))
 
 
+def pivot_round(active: DataFrame, rnd: int) -> DataFrame:
+    """One PIVOT round as one table: new labels (``kind='f'``) and the active
+    rows that survive them (``kind='a'``)."""
+    fresh = pivot_assign(active, pivot_select(active))
+    gone = fresh.select("vid")
+    kept = (active.join(gone, "vid", "left_anti")
+            .join(gone.select(F.col("vid").alias("nbr")), "nbr", "left_anti"))
+    none = F.lit(None).cast("bigint")
+    return (kept.select("vid", "vprio", "nbr", "nprio", none.alias("cid"),
+                        none.cast("int").alias("rnd"), F.lit("a").alias("kind"))
+            .unionByName(fresh.select("vid", none.alias("vprio"), none.alias("nbr"),
+                                      none.alias("nprio"), "cid", F.lit(rnd).alias("rnd"),
+                                      F.lit("f").alias("kind"))))
+
+
 @dataclass
 class PivotResult:
     assign: DataFrame          # (vid, cid)
@@ -145,38 +138,37 @@ def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: st
     n_vertices = prio.count()
     active = materialize(active_adjacency(canon, prio), "active")
 
-    pieces: list[DataFrame] = []
+    # One write per round: the shrunk active adjacency (kind 'a') and the
+    # vertices assigned in the round (kind 'f') land in one partitioned table;
+    # the adjacency folder is deleted when the next round supersedes it.
+    folders: list[str] = []
     done, rnd = 0, 0
     while done < n_vertices:
         rnd += 1
-        # select + assign in one plan: the pivots are a per-vertex aggregate of
-        # ``active`` that Spark joins straight back (broadcast when small).
-        fresh = materialize(pivot_assign(active, pivot_select(active))
-                            .withColumn("rnd", F.lit(rnd)), "assigned")
-        n_new = fresh.count()
-        pieces.append(fresh)
-        done += n_new
-        if done >= n_vertices:
-            break
-        gone = checked_broadcast(fresh.select("vid"), n_new)
-        shrunk = materialize(
-            active.join(gone, "vid", "left_anti")
-            .join(gone.select(F.col("vid").alias("nbr")), "nbr", "left_anti")
-            .select("vid", "vprio", "nbr", "nprio"), "active")
+        path, table = materialize_split(pivot_round(active, rnd), "kind", "pivot_round")
+        folders.append(path)
+        counts = {r["kind"]: int(r["n"]) for r in
+                  table.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+        done += counts.get("f", 0)
+        if rnd == 1:
+            release(active)
+        else:
+            release_path(f"{folders[-2]}/kind=a")
+        active = table.where(F.col("kind") == "a").select("vid", "vprio", "nbr", "nprio")
+    if folders:
+        release_path(f"{folders[-1]}/kind=a")
+    else:
         release(active)
-        active = shrunk
-    release(active)
 
-    if pieces:
-        tagged = pieces[0]
-        for p in pieces[1:]:
-            tagged = tagged.unionByName(p)
-    else:
-        tagged = prio.select("vid", F.col("vid").alias("cid"), F.lit(0).alias("rnd")).where(
-            F.lit(False))
+    spark = edges.sparkSession
+    schema = "vid BIGINT, cid BIGINT, rnd INT"
+    tagged = prio.select("vid", F.col("vid").alias("cid"), F.lit(0).alias("rnd")).where(
+        F.lit(False))
+    for path in folders:
+        tagged = tagged.unionByName(spark.read.schema(schema).parquet(f"{path}/kind=f"))
     tagged = materialize(tagged, "pivot_rounds")
-    for df in pieces:
-        release(df)
+    for path in folders:
+        release_path(path)
     # per-round statistics in one small aggregate (one row per round)
     stats = (tagged.groupBy("rnd")
              .agg(F.count(F.when(F.col("vid") == F.col("cid"), 1)).alias("p"),

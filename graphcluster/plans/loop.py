@@ -38,6 +38,24 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 _PATHS: dict[int, str] = {}
 
 
+def materialize_split(df: DataFrame, by: str, name: str = "table") -> tuple[str, DataFrame]:
+    """Write ``df`` partitioned by the low-cardinality column ``by`` (one job, one
+    folder per value); returns the folder and the re-read table.  A value's
+    folder can later be deleted alone with ``release_path(f"{path}/{by}=v")``."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").partitionBy(by).parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
+def release_path(path: str) -> None:
+    """Delete a folder written by this module (missing folders are ignored)."""
+    from pyspark import SparkContext
+    sc = SparkContext.getOrCreate()
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def release(df: DataFrame | None) -> None:
     """Delete the files of a table made by ``materialize`` (no-op for others)."""
     if df is None:
@@ -45,11 +63,7 @@ def release(df: DataFrame | None) -> None:
     path = _PATHS.pop(id(df), None)
     if path is None:
         return
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(hpath, True)
+    release_path(path)
 
 
 def broadcast_limit(df: DataFrame) -> int:

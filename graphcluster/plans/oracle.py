@@ -185,7 +185,7 @@ def relabelled(q: Sql, src: str, name: str) -> str:
 
 
 def ls_round(q: Sql, edges: str, state: str, p: str, i: int, seed: int = 0,
-             target: str = "max_overlap", compete: str = "improving", guard: bool = True,
+             target: str = "max_overlap", compete: str = "improving", guard: bool | str = True,
              allow_singleton: bool = True, simultaneous: bool = False) -> dict[str, str]:
     """One local-search round from ``state``; returns the CTE names it added."""
     adj = adjacency(q, edges)
@@ -242,7 +242,16 @@ def ls_round(q: Sql, edges: str, state: str, p: str, i: int, seed: int = 0,
   WHERE {pn} < {pv} OR ({pn} = {pv} AND a.nbr < a.vid)""")
         ind = q.add(f"{p}_in{i}", f"SELECT * FROM {cand} c WHERE NOT EXISTS "
                                   f"(SELECT 1 FROM {blk} b WHERE b.vid = c.vid)", True)
-        if guard:
+        if guard is True or guard == "rank":
+            rk = q.add(f"{p}_rk{i}", f"""
+  SELECT *, row_number() OVER (PARTITION BY from_cid ORDER BY delta, vid) AS r_src FROM {ind}""")
+            rd = q.add(f"{p}_rd{i}", f"""
+  SELECT vid, row_number() OVER (PARTITION BY to_cid ORDER BY delta, vid) AS r_dst
+  FROM {ind} WHERE NOT fresh""")
+            mov = q.add(f"{p}_mo{i}", f"""
+  SELECT r.vid, r.from_cid, r.to_cid, r.fresh, r.delta FROM {rk} r LEFT JOIN {rd} d ON d.vid = r.vid
+  WHERE r.delta + (r.r_src - 1) + COALESCE(d.r_dst - 1, 0) < 0""", True)
+        elif guard == "one":
             lead = q.add(f"{p}_ld{i}", f"SELECT min(struct_pack(d := delta, v := vid)).v AS vid "
                                        f"FROM {ind} GROUP BY from_cid")
             join = q.add(f"{p}_jn{i}", f"SELECT min(struct_pack(d := delta, v := vid)).v AS vid "

@@ -258,6 +258,10 @@ def q_local_search_min_delta_2(spark, sf):
     return _ls(spark, sf, target="min_delta").assign
 
 
+def q_local_search_guard_one_2(spark, sf):
+    return _ls(spark, sf, guard="one").assign
+
+
 def q_local_search_unguarded_2(spark, sf):
     return _ls(spark, sf, guard=False, compete="all").assign
 
@@ -671,6 +675,7 @@ REGISTRY: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "apply_moves": (q_apply_moves, sql_apply_moves),
     "local_search_2": (q_local_search_2, sql_ls()),
     "local_search_min_delta_2": (q_local_search_min_delta_2, sql_ls(target="min_delta")),
+    "local_search_guard_one_2": (q_local_search_guard_one_2, sql_ls(guard="one")),
     "local_search_unguarded_2": (q_local_search_unguarded_2, sql_ls(guard=False, compete="all")),
     "ls_history": (q_ls_history, sql_ls_history),
     "local_search_sim_2": (q_local_search_sim_2, sql_ls(simultaneous=True)),

@@ -90,6 +90,37 @@ def test_star_unguarded_raises_cost_guard_lowers_it(spark):
     assert [r[1] for r in good.rounds] == [4, 3]
 
 
+def test_rank_guard_lets_many_leave_one_cluster(spark):
+    # ten vertices without edges in one cluster: every one gains 9 by leaving
+    e = edges_df(spark, [(100, 101)])
+    labels = {v: 0 for v in range(10)} | {100: 100, 101: 100}
+    a = assign_df(spark, labels)
+    extra = [(v, v) for v in range(10)]
+    loops = edges_df(spark, [(100, 101)] + extra)          # self-loops keep 0..9 as vertices
+    ranked = L.local_search(loops, a, 1, 0, guard="rank")
+    assert [r[1] for r in ranked.rounds] == [45, 0]
+    assert ranked.rounds[1][2] == 9
+    strict = L.local_search(loops, a, 1, 0, guard="one")
+    assert [r[1] for r in strict.rounds] == [45, 36]
+    assert e.count() == 1
+
+
+def test_group_rank_spreads_a_hot_group(spark):
+    from pyspark.sql import functions as F
+    from graphcluster.operators.rank import group_rank
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") < 2000, F.lit(7)).otherwise(F.col("id") % 5).alias("g"),
+        ((F.col("id") * 7919) % 3001).alias("k"))
+    got = {(r["g"], r["k"]): r["r"] for r in group_rank(df, ["g"], ["k"], "r", 6).collect()}
+    rows = sorted(got)
+    want, last, n = {}, None, 0
+    for g, k in rows:
+        n = n + 1 if g == last else 1
+        want[(g, k)] = n
+        last = g
+    assert got == want
+
+
 def test_swap_pair_simultaneous_ends_with_best(spark):
     e = edges_df(spark, [(1, 2)])
     res = L.local_search(e, assign_df(spark, {1: 1, 2: 2}), 3, 0, simultaneous=True)

@@ -37,7 +37,8 @@ from graphcluster.plans.loop import materialize, materialize_split, release, rel
 ORDERS = ("hash", "permutation")
 TIES = ("min_id", "min_prio")
 
-def permutation_rank(vertices: DataFrame, seed: int = 0, partitions: int | None = None) -> DataFrame:
+def permutation_rank(vertices: DataFrame, seed: int = 0, partitions: int | None = None,
+                     window_rows: int | None = None) -> DataFrame:
     """A seeded random permutation: ``(vid, rank)`` with ranks ``1..N``.
 
     The draw is a hash of ``(seed, 'perm', vid)``; the rank is a distributed
@@ -45,7 +46,8 @@ def permutation_rank(vertices: DataFrame, seed: int = 0, partitions: int | None
     task ever holds more than one range partition.
     """
     draws = vertices.select("vid", hash_priority(F.lit(seed), F.lit("perm"), "vid").alias("draw"))
-    ranked = group_rank(draws, [F.lit(0)], ["draw", "vid"], "rank", partitions)
+    extra = {} if window_rows is None else {"window_rows": window_rows}
+    ranked = group_rank(draws, [F.lit(0)], ["draw", "vid"], "rank", partitions, **extra)
     return ranked.select("vid", "rank")
 
 

@@ -6,6 +6,10 @@ a group to one task, which fails when one group holds a third of the data.
 over many partitions -- numbers rows inside each partition, and adds for
 each (group, partition) the count of the same group's rows in earlier
 partitions.  The only window runs over one row per (group, partition).
+
+When the largest group is small (a counted bound, ``window_rows``), a plain
+window is safe -- its buffer never exceeds that many rows -- and cheaper, so
+the distributed path is only taken for groups above the bound.
 """
 
 from __future__ import annotations
@@ -17,17 +21,30 @@ from graphcluster.plans.loop import materialize, release, shuffle_partitions
 
 # Low bits of monotonically_increasing_id() hold the row index inside a partition.
 _LOCAL_BITS = 33
+# Largest group a plain window may buffer in one task.
+WINDOW_ROWS = 1_000_000
 
 
 def group_rank(df: DataFrame, group: list[str | Column], order: list[str | Column],
-               name: str = "rank", partitions: int | None = None) -> DataFrame:
+               name: str = "rank", partitions: int | None = None,
+               window_rows: int = WINDOW_ROWS) -> DataFrame:
     """``df`` plus ``name`` = 1-based position of the row inside its group in
-    ``order`` (which must be a total order inside the group)."""
-    n_parts = partitions or shuffle_partitions(df)
+    ``order`` (which must be a total order inside the group).  Group keys
+    must not be NULL."""
     gcols = [F.col(g) if isinstance(g, str) else g for g in group]
     keys = [F.col(k) if isinstance(k, str) else k for k in order]
     gnames = [f"_g{i}" for i in range(len(gcols))]
     with_keys = df.select("*", *[g.alias(n) for g, n in zip(gcols, gnames)])
+    biggest = with_keys.groupBy(*gnames).count().agg(F.max("count")).first()[0] or 0
+    if biggest <= window_rows:
+        w = Window.partitionBy(*gnames).orderBy(*keys)
+        return with_keys.select(*df.columns, F.row_number().over(w).cast("bigint").alias(name))
+    return _distributed_rank(df, with_keys, gnames, keys, name,
+                             partitions or shuffle_partitions(df))
+
+
+def _distributed_rank(df: DataFrame, with_keys: DataFrame, gnames: list[str],
+                      keys: list[Column], name: str, n_parts: int) -> DataFrame:
     ranged = (with_keys.repartitionByRange(n_parts, *[F.col(n) for n in gnames], *keys)
               .sortWithinPartitions(*[F.col(n) for n in gnames], *keys)
               .select("*", F.spark_partition_id().alias("_part"),

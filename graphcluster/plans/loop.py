@@ -17,14 +17,9 @@ reach the driver, never vertices or clusters.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from graphcluster.session import scratch_dir
 
-# Bytes assumed per row of a (vid, cid)-like table when deciding on a broadcast.
-ROW_BYTES = 48
-
-
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and return the re-read table."""
     spark = df.sparkSession
@@ -66,29 +61,5 @@ def release(df: DataFrame | None) -> None:
     release_path(path)
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's broadcast threshold in bytes (``-1`` disables broadcasts)."""
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    raw = str(raw).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw)
-
-
-def checked_broadcast(df: DataFrame, rows: int, row_bytes: int = ROW_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when its counted size fits the session threshold.
-
-    ``rows`` must be an exact count of a materialized DataFrame, so the bound is
-    proven, not estimated.  Above the threshold the join stays a shuffle join.
-    """
-    limit = broadcast_limit(df)
-    if limit > 0 and rows * row_bytes <= limit:
-        return F.broadcast(df)
-    return df
-
-
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -176,3 +176,33 @@ def test_bad_arguments(spark):
         L.local_search(e, a, 1, target="best")
     with pytest.raises(ValueError):
         L.local_search(e, a, 1, compete="some")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rank_guard_keeps_cost_falling_from_coarse_clusters(spark, seed):
+    rng = random.Random(seed)
+    pairs = random_graph(rng, 36, 0.15)
+    vs = sorted({v for e in simple(pairs) for v in e})
+    coarse = {v: v % 2 for v in vs}                       # two big, poor clusters
+    res = L.local_search(edges_df(spark, pairs), assign_df(spark, coarse), 6, seed)
+    costs = [r[1] for r in res.rounds]
+    assert costs[0] == py_cost(pairs, coarse)
+    assert all(b < a for a, b in zip(costs, costs[1:]))
+    assert py_cost(pairs, labels_of(res.assign)) == costs[-1]
+    assert max(r[2] for r in res.rounds) > 2                 # several movers in a round
+
+
+def test_search_independent_of_partitioning(spark):
+    rng = random.Random(13)
+    pairs = random_graph(rng, 40, 0.15)
+    vs = sorted({v for e in simple(pairs) for v in e})
+    start = {v: v % 5 for v in vs}
+    base = labels_of(L.local_search(edges_df(spark, pairs), assign_df(spark, start), 3, 7).assign)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        again = labels_of(L.local_search(edges_df(spark, pairs).repartition(4),
+                                         assign_df(spark, start), 3, 7).assign)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert base == again

@@ -41,7 +41,7 @@ from graphcluster.operators.graph import (
     canonical_edges, cluster_sizes, intra_cluster_edges, neighbours, relabel,
 )
 from graphcluster.operators.rank import group_rank
-from graphcluster.plans.loop import materialize, release
+from graphcluster.plans.loop import materialize, materialize_bucketed, release
 
 TARGETS = ("max_overlap", "min_delta")
 COMPETE = ("improving", "all")
@@ -113,13 +113,14 @@ def independent_set(candidates: DataFrame, adj: DataFrame, seed: int, rnd: int,
         return df.select(F.col("vid").alias(col),
                          hash_priority(F.lit(seed), F.lit(rnd), F.col("vid")).alias(f"p_{col}"))
 
-    # One hash per vertex, joined to the rows (never one per edge).
-    rows = adj.join(prio(candidates, "vid"), "vid")
+    # One hash per vertex, joined to the rows (never one per edge); the join on
+    # ``nbr`` comes first (it reuses a bucketed adjacency and, for
+    # 'improving', drops most rows before the second join).
     if compete == "improving":
-        rows = rows.join(prio(candidates, "nbr"), "nbr")
+        rows = adj.join(prio(candidates, "nbr"), "nbr")
     else:
-        everyone = adj.select("vid").distinct()
-        rows = rows.join(prio(everyone, "nbr"), "nbr")
+        rows = adj.join(prio(adj.select("vid").distinct(), "nbr"), "nbr")
+    rows = rows.join(prio(candidates, "vid"), "vid")
     blocked = (rows.where(beats(F.col("p_nbr"), F.col("nbr"), F.col("p_vid"), F.col("vid")))
                .select("vid").distinct())
     return candidates.join(blocked, "vid", "left_anti")
@@ -226,7 +227,9 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
     canon = (edges.select("src", "dst") if canonical
              else materialize(canonical_edges(edges), "ls_edges"))
     n_edges = canon.count()
-    adj = materialize(neighbours(canon), "ls_adj")
+    # the adjacency never changes: bucket it by ``nbr`` once, so the per-round
+    # joins on ``nbr`` shuffle only the vertex-sized side
+    adj = materialize_bucketed(neighbours(canon), "nbr", "ls_adj")
     state = materialize(relabel(assign.select("vid", "cid")), "ls_state")
 
     rounds: list[tuple[int, int, int]] = []

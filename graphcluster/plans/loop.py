@@ -43,6 +43,28 @@ def materialize_split(df: DataFrame, by: str, name: str = "table") -> tuple[str,
     return path, spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, column: str, name: str = "table",
+                         buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed (hash-partitioned) by ``column`` into the
+    checkpoint folder.  Joins and aggregations on ``column`` then read it
+    without a shuffle; only the other side is shuffled into the same buckets.
+    Drop it with ``release``."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    table = f"gc_{name}_{uuid.uuid4().hex}"
+    n = buckets or shuffle_partitions(df)
+    (df.write.mode("overwrite").option("path", path)
+     .bucketBy(n, column).sortBy(column).saveAsTable(table))
+    out = spark.table(table)
+    _PATHS[id(out)] = path
+    _TABLES[id(out)] = table
+    return out
+
+
+_TABLES: dict[int, str] = {}
+
+
 def release_path(path: str) -> None:
     """Delete a folder written by this module (missing folders are ignored)."""
     from pyspark import SparkContext
@@ -55,6 +77,9 @@ def release(df: DataFrame | None) -> None:
     """Delete the files of a table made by ``materialize`` (no-op for others)."""
     if df is None:
         return
+    table = _TABLES.pop(id(df), None)
+    if table is not None:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     path = _PATHS.pop(id(df), None)
     if path is None:
         return

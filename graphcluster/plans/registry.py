@@ -208,6 +208,16 @@ def q_pivot_gu(spark, sf):
     return P.pivot_cluster(e, seed=SEED, canonical=True).assign
 
 
+def q_pivot_gd(spark, sf):
+    e = materialize(T.documents_graph(spark, sf, seed=SEED))
+    return P.pivot_cluster(e, seed=SEED, canonical=True).assign
+
+
+def q_cluster_job_inner_gd(spark, sf):
+    e = materialize(T.documents_graph(spark, sf, seed=SEED))
+    return cluster(e, "hash", "inner", LS_ROUNDS, SEED, canonical=True).assign
+
+
 def q_relabel(spark, sf):
     return _state0(spark, sf)[1]
 
@@ -446,6 +456,23 @@ def sql_pivot_gu():
     return q.render(f"SELECT vid, cid FROM {pv}")
 
 
+def sql_pivot_gd():
+    q = O.Sql()
+    g = O.graph(q, "gd", seed=SEED)
+    pv = O.pivot(q, g, "hash", SEED)
+    return q.render(f"SELECT vid, cid FROM {pv}")
+
+
+def sql_inner_job_gd():
+    q = O.Sql()
+    g = O.graph(q, "gd", seed=SEED)
+    pv = O.pivot(q, g, "hash", SEED)
+    inner = q.add("inner_e", f"SELECT e.src, e.dst FROM {g} e JOIN {pv} s ON s.vid = e.src "
+                             f"JOIN {pv} d ON d.vid = e.dst WHERE s.cid = d.cid", True)
+    r = O.local_search(q, inner, pv, LS_ROUNDS, "ls", SEED)
+    return q.render(f"SELECT vid, cid FROM {r['state']}")
+
+
 def sql_vertices_of():
     q, g = _q()
     return q.render(f"SELECT vid FROM {O.vertices(q, g)}")
@@ -665,6 +692,7 @@ REGISTRY: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "pivot_hash_min_prio": (q_pivot_hash_min_prio, sql_pivot("hash", "min_prio")),
     "pivot_permutation": (q_pivot_permutation, sql_pivot("permutation")),
     "pivot_gu": (q_pivot_gu, sql_pivot_gu),
+    "pivot_gd": (q_pivot_gd, sql_pivot_gd),
     "relabel": (q_relabel, sql_relabel),
     "cluster_sizes": (q_cluster_sizes, sql_cluster_sizes),
     "neighbour_clusters": (q_neighbour_clusters, sql_neighbour_clusters),
@@ -690,6 +718,7 @@ REGISTRY: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "cluster_job": (q_cluster_job, sql_ls()),
     "cluster_job_sim": (q_cluster_job_sim, sql_ls(simultaneous=True)),
     "cluster_job_inner": (q_cluster_job_inner, sql_inner_job),
+    "cluster_job_inner_gd": (q_cluster_job_inner_gd, sql_inner_job_gd),
 }
 
 

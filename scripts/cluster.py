@@ -1,7 +1,9 @@
 """Cluster an edge-list CSV and write ``vid,cid`` CSV (for spark-submit).
 
     spark-submit scripts/cluster.py pivot={hash,permutation} <edges.csv> <out_dir> \
-        <n_ls_iterations> [ls={regular,inner,simultaneous,none}] [--seed N] [--single-file]
+        <n_ls_iterations> [ls={regular,inner,simultaneous,none}] [--seed N] [--tie T]
+        [--target max_overlap|min_delta] [--compete improving|all] [--guard rank|one|off]
+        [--single-file]
 
 The checkpoint folder comes from ``spark.checkpoint.dir``.  Prints the PIVOT
 rounds, the local-search history and the seconds taken.
@@ -31,6 +33,9 @@ def parse(argv):
     p.add_argument("ls", nargs="?", default="ls=regular")
     p.add_argument("--seed", type=int, default=0)
     p.add_argument("--tie", default="min_id", choices=["min_id", "min_prio"])
+    p.add_argument("--target", default="max_overlap", choices=["max_overlap", "min_delta"])
+    p.add_argument("--compete", default="improving", choices=["improving", "all"])
+    p.add_argument("--guard", default="rank", choices=["rank", "one", "off"])
     p.add_argument("--single-file", action="store_true")
     a = p.parse_args(argv)
     a.order = a.pivot.split("=", 1)[-1]
@@ -46,7 +51,12 @@ def main(argv=None) -> int:
     a = parse(argv)
     spark = SparkSession.builder.appName("graphcluster").getOrCreate()
     ensure_checkpoint_dir(spark)
-    res = cluster(read_edges(spark, a.input), a.order, a.ls_mode, a.iterations, a.seed, a.tie)
+    options = {}
+    if a.ls_mode in ("regular", "inner"):
+        options = {"target": a.target, "compete": a.compete,
+                   "guard": False if a.guard == "off" else a.guard}
+    res = cluster(read_edges(spark, a.input), a.order, a.ls_mode, a.iterations, a.seed, a.tie,
+                  **options)
     for r, piv, n in res.pivot_rounds:
         print(f"[pivot] round {r}: {piv} pivots, {n} vertices assigned")
     for r, cost, moved in res.ls_rounds:

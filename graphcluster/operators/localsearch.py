@@ -126,7 +126,8 @@ def independent_set(candidates: DataFrame, adj: DataFrame, seed: int, rnd: int,
     return candidates.join(blocked, "vid", "left_anti")
 
 
-def guard_moves(moves: DataFrame, mode: bool | str = True) -> DataFrame:
+def guard_moves(moves: DataFrame, mode: bool | str = True,
+                rows_bound: int | None = None) -> DataFrame:
     """Keep a subset of independent moves whose joint cost change is negative.
 
     For non-adjacent movers the joint change is the sum of the deltas plus one
@@ -136,11 +137,13 @@ def guard_moves(moves: DataFrame, mode: bool | str = True) -> DataFrame:
     target cluster and keep those with ``delta + (r_src - 1) + (r_dst - 1) < 0``;
     the ranks are distributed (``group_rank``), so a huge cluster is never one
     task.  ``'one'``: only the first leaver and the first joiner per cluster.
+    ``rows_bound`` is a known upper bound of the number of moves.
     """
     if mode is True or mode == "rank":
-        ranked = group_rank(moves, ["from_cid"], ["delta", "vid"], "_r_src")
+        ranked = group_rank(moves, ["from_cid"], ["delta", "vid"], "_r_src",
+                            rows_bound=rows_bound)
         joins = group_rank(moves.where(~F.col("fresh")).select("vid", "to_cid", "delta"),
-                           ["to_cid"], ["delta", "vid"], "_r_dst")
+                           ["to_cid"], ["delta", "vid"], "_r_dst", rows_bound=rows_bound)
         keep = (ranked.join(joins.select("vid", "_r_dst"), "vid", "left")
                 .where(F.col("delta") + (F.col("_r_src") - 1)
                        + F.coalesce(F.col("_r_dst") - 1, F.lit(0)) < 0))
@@ -255,7 +258,8 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
         if not simultaneous:
             movers = independent_set(moves, adj, seed, rnd, compete)
             if guard:
-                movers = guard_moves(materialize(movers, "ls_indep"), guard)
+                # movers are a subset of the n_cand candidates
+                movers = guard_moves(materialize(movers, "ls_indep"), guard, rows_bound=n_cand)
         nxt = materialize(apply_moves(state, movers, flag=True), "ls_state")
         if not (simultaneous and best[1] is state):
             release(state)

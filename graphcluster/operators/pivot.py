@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from graphcluster.functions.priority import beats, hash_priority
 from graphcluster.operators.graph import canonical_edges, neighbours, vertices_of
 from graphcluster.operators.rank import group_rank
-from graphcluster.plans.loop import materialize, materialize_split, release, release_path
+from graphcluster.plans.loop import (
+    materialize, materialize_split, path_exists, release, release_path,
+)
 
 ORDERS = ("hash", "permutation")
 TIES = ("min_id", "min_prio")
@@ -137,25 +139,25 @@ def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: st
             raise ValueError("priorities must cover every vertex")
     else:
         prio = materialize(pivot_priorities(verts, order, seed), "prio")
-    n_vertices = prio.count()
     active = materialize(active_adjacency(canon, prio), "active")
 
     # One write per round: the shrunk active adjacency (kind 'a') and the
     # vertices assigned in the round (kind 'f') land in one partitioned table;
-    # the adjacency folder is deleted when the next round supersedes it.
+    # the adjacency folder is deleted when the next round supersedes it.  A
+    # partitioned write makes no folder for an empty value, so the loop ends
+    # when no 'kind=a' folder appears -- no count job per round.
     folders: list[str] = []
-    done, rnd = 0, 0
-    while done < n_vertices:
+    rnd = 0
+    remaining = not active.isEmpty()
+    while remaining:
         rnd += 1
         path, table = materialize_split(pivot_round(active, rnd), "kind", "pivot_round")
         folders.append(path)
-        counts = {r["kind"]: int(r["n"]) for r in
-                  table.groupBy("kind").agg(F.count("*").alias("n")).collect()}
-        done += counts.get("f", 0)
         if rnd == 1:
             release(active)
         else:
             release_path(f"{folders[-2]}/kind=a")
+        remaining = path_exists(f"{path}/kind=a")
         active = table.where(F.col("kind") == "a").select("vid", "vprio", "nbr", "nprio")
     if folders:
         release_path(f"{folders[-1]}/kind=a")

@@ -65,6 +65,14 @@ def materialize_bucketed(df: DataFrame, column: str, name: str = "table",
 _TABLES: dict[int, str] = {}
 
 
+def path_exists(path: str) -> bool:
+    """Whether a folder exists (a metadata call, no Spark job)."""
+    from pyspark import SparkContext
+    sc = SparkContext.getOrCreate()
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def release_path(path: str) -> None:
     """Delete a folder written by this module (missing folders are ignored)."""
     from pyspark import SparkContext

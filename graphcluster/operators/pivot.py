@@ -48,8 +48,7 @@ def permutation_rank(vertices: DataFrame, seed: int = 0, partitions: int | None
     task ever holds more than one range partition.
     """
     draws = vertices.select("vid", hash_priority(F.lit(seed), F.lit("perm"), "vid").alias("draw"))
-    extra = {} if window_rows is None else {"window_rows": window_rows}
-    ranked = group_rank(draws, [F.lit(0)], ["draw", "vid"], "rank", partitions, **extra)
+    ranked = group_rank(draws, [F.lit(0)], ["draw", "vid"], "rank", partitions, window_rows)
     return ranked.select("vid", "rank")
 
 

@@ -27,15 +27,18 @@ WINDOW_ROWS = 1_000_000
 
 def group_rank(df: DataFrame, group: list[str | Column], order: list[str | Column],
                name: str = "rank", partitions: int | None = None,
-               window_rows: int = WINDOW_ROWS, rows_bound: int | None = None) -> DataFrame:
+               window_rows: int | None = None, rows_bound: int | None = None) -> DataFrame:
     """``df`` plus ``name`` = 1-based position of the row inside its group in
     ``order`` (which must be a total order inside the group).  Group keys
-    must not be NULL.  ``rows_bound``: a known upper bound of ``df``'s row
-    count, which saves the group-size count when it is below ``window_rows``."""
+    must not be NULL.  ``window_rows`` defaults to ``WINDOW_ROWS``;
+    ``rows_bound``: a known upper bound of ``df``'s row count, which saves
+    the group-size count when it is below ``window_rows``."""
     gcols = [F.col(g) if isinstance(g, str) else g for g in group]
     keys = [F.col(k) if isinstance(k, str) else k for k in order]
     gnames = [f"_g{i}" for i in range(len(gcols))]
     with_keys = df.select("*", *[g.alias(n) for g, n in zip(gcols, gnames)])
+    if window_rows is None:
+        window_rows = WINDOW_ROWS
     if rows_bound is not None and rows_bound <= window_rows:
         biggest = rows_bound
     else:

@@ -50,7 +50,9 @@ def read_matching(spark: SparkSession, path: str) -> DataFrame:
 def write_assignments(assign: DataFrame, path: str, single_file: bool = False) -> None:
     """Write ``(vid, cid)`` as header-less CSV, replacing ``path``.
 
-    ``single_file`` funnels the rows through one task (only for small outputs).
+    ``single_file`` reproduces the one-file output of the original job by
+    funnelling all rows through one task: opt-in, for small outputs only; the
+    default writes one file per partition in parallel.
     """
     out = assign.select("vid", "cid")
     if single_file:

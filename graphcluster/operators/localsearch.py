@@ -41,9 +41,14 @@ from graphcluster.operators.graph import (
     canonical_edges, cluster_sizes, intra_cluster_edges, neighbours, relabel,
 )
 from graphcluster.operators.rank import group_rank
-from graphcluster.plans.loop import materialize, materialize_bucketed, release
+from graphcluster.plans.loop import (
+    materialize, materialize_bucketed, release, shuffle_partitions,
+)
 
 TARGETS = ("max_overlap", "min_delta")
+# Bucket the adjacency only when each bucket would hold at least this much.
+BUCKET_MIN_BYTES = 1 << 20
+ADJ_ROW_BYTES = 16
 COMPETE = ("improving", "all")
 
 
@@ -230,9 +235,13 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
     canon = (edges.select("src", "dst") if canonical
              else materialize(canonical_edges(edges), "ls_edges"))
     n_edges = canon.count()
-    # the adjacency never changes: bucket it by ``nbr`` once, so the per-round
-    # joins on ``nbr`` shuffle only the vertex-sized side
-    adj = materialize_bucketed(neighbours(canon), "nbr", "ls_adj")
+    # The adjacency never changes: bucket it by ``nbr`` once, so the per-round
+    # joins on ``nbr`` shuffle only the vertex-sized side -- when it is big
+    # enough to fill the buckets; tiny buckets would only add fixed task cost.
+    if 2 * n_edges * ADJ_ROW_BYTES >= BUCKET_MIN_BYTES * shuffle_partitions(canon):
+        adj = materialize_bucketed(neighbours(canon), "nbr", "ls_adj")
+    else:
+        adj = materialize(neighbours(canon), "ls_adj")
     state = materialize(relabel(assign.select("vid", "cid")), "ls_state")
 
     rounds: list[tuple[int, int, int]] = []

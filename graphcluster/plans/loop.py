@@ -54,7 +54,8 @@ def materialize_bucketed(df: DataFrame, column: str, name: str = "table",
     path = scratch_dir(spark, name)
     table = f"gc_{name}_{uuid.uuid4().hex}"
     n = buckets or shuffle_partitions(df)
-    (df.write.mode("overwrite").option("path", path)
+    # one task per bucket, so each bucket is one file (not tasks x buckets files)
+    (df.repartition(n, column).write.mode("overwrite").option("path", path)
      .bucketBy(n, column).sortBy(column).saveAsTable(table))
     out = spark.table(table)
     _PATHS[id(out)] = path

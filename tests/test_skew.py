@@ -43,3 +43,17 @@ def test_search_with_distributed_ranks_equals_window_ranks(spark, monkeypatch):
     assert labels_of(window.assign) == labels_of(distributed.assign)
     assert window.rounds == distributed.rounds
     assert window.rounds[1][2] > 1                          # several leavers at once
+
+
+def test_bucketed_and_plain_adjacency_agree(spark, monkeypatch):
+    rng = random.Random(23)
+    pairs = random_graph(rng, 40, 0.15)
+    vs = sorted({v for e in simple(pairs) for v in e})
+    start = {v: v % 4 for v in vs}
+    e, a = edges_df(spark, pairs), assign_df(spark, start)
+    monkeypatch.setattr(L, "BUCKET_MIN_BYTES", 1 << 40)     # plain table
+    plain = L.local_search(e, a, 3, 2)
+    monkeypatch.setattr(L, "BUCKET_MIN_BYTES", 0)           # bucketed table
+    bucketed = L.local_search(e, a, 3, 2)
+    assert labels_of(plain.assign) == labels_of(bucketed.assign)
+    assert plain.rounds == bucketed.rounds

@@ -1,16 +1,17 @@
 """Session helpers: a local session for tests/bench and the checkpoint folder.
 
-Iterative operators cut their lineage every round with a *reliable*
-``DataFrame.checkpoint``.  The folder comes from the session
-(``spark.checkpoint.dir`` or ``SparkContext.setCheckpointDir``); on a
-cluster it must be a shared filesystem, so we only invent one ourselves
-when Spark runs in local mode and nothing is configured.
+Iterative operators cut their lineage every round by writing the state as a
+Parquet table under the checkpoint folder and reading it back.  The folder
+comes from the session (``spark.checkpoint.dir`` or
+``SparkContext.setCheckpointDir``); on a cluster it must be a shared
+filesystem, so we only invent one ourselves when Spark runs in local mode and
+nothing is configured.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,12 +67,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder, for written intermediate tables."""
+    """A fresh path under the checkpoint folder, for written intermediate tables.
+
+    Only a name is made here: Spark's writers create the folder through the
+    Hadoop file system that the checkpoint folder's URI names, so ``hdfs://``,
+    ``dbfs:/``, ``file:/`` and plain paths all stay as they were given.
+    """
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

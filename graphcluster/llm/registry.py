@@ -72,7 +72,7 @@ def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in fns}
 
 
-WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
 def oracle_sql() -> dict[str, str]:

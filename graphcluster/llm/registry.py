@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphcluster.llm import bpe_tree, language, mixing, quality, token_count, token_store
+from graphcluster.llm import (
+    bpe_tree, language, mixing, ngram_join, quality, token_count, token_store)
 from graphcluster.llm.common import read
 from graphcluster.session import scratch_dir
 
@@ -48,6 +49,10 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 def held_out(key: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5 == 0
 
@@ -68,7 +73,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     fns = [op1_bpe_tree, op2_token_counts, op3_token_store, op4_host_rules,
-           op6_language_filters, op10_mix_sources]
+           op5_ngram_join, op6_language_filters, op10_mix_sources]
     return {f.__name__: f for f in fns}
 
 

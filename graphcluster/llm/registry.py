@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphcluster.llm import (
-    bpe_tree, language, mixing, ngram_join, quality, token_count, token_store)
+    bpe_tree, language, mixing, ngram_join, quality, token_count, token_store, vector_lsh)
 from graphcluster.llm.common import read
 from graphcluster.session import scratch_dir
 
@@ -64,6 +64,10 @@ def op6_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_vector_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_lsh.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.with_size(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
     mixed = mixing.sampled(docs, "source", "doc_id", mixing.WEIGHTS, mixing.MAX_COPIES, mixing.SEED,
@@ -73,7 +77,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     fns = [op1_bpe_tree, op2_token_counts, op3_token_store, op4_host_rules,
-           op5_ngram_join, op6_language_filters, op10_mix_sources]
+           op5_ngram_join, op6_language_filters, op8_vector_lsh, op10_mix_sources]
     return {f.__name__: f for f in fns}
 
 
@@ -109,6 +113,20 @@ bad AS (SELECT source, bool_or((k + mu * st) / (n + st) > 0.5) AS failed FROM h
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   f1 OR f2 AS base_failed, NOT (f1 OR f2) AND NOT bad.failed AS kept
 FROM f JOIN bad ON f.source IS NOT DISTINCT FROM bad.source""",
+        "op8_vector_lsh": """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+       AND len(e) = (SELECT count(*) FROM unnest(e) AS t(x) WHERE isfinite(x))
+       AND EXISTS (SELECT 1 FROM unnest(e) AS t(x) WHERE x <> 0)),
+pairs AS (SELECT a.r AS a, b.r AS b FROM ok AS a JOIN ok AS b
+          ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(r, o) AS (SELECT r, r FROM v UNION SELECT reach.r, pairs.b FROM reach JOIN pairs ON reach.o = pairs.a),
+comp AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.o = v.r GROUP BY reach.r),
+n AS (SELECT a AS r, count(*) AS n_links FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN comp USING (r) LEFT JOIN n USING (r)""",
         "op10_mix_sources": rf"""
 WITH d AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),

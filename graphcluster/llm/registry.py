@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphcluster.llm import (
-    bpe_tree, language, mixing, ngram_join, quality, token_count, token_store, vector_lsh)
+    bpe_tree, language, mixing, ngram_join, quality, suffix_dedup, token_count, token_store,
+    vector_lsh)
 from graphcluster.llm.common import read
 from graphcluster.session import scratch_dir
 
@@ -68,6 +69,12 @@ def op8_vector_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_lsh.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = mixing.with_size(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
     mixed = mixing.sampled(docs, "source", "doc_id", mixing.WEIGHTS, mixing.MAX_COPIES, mixing.SEED,
@@ -77,7 +84,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     fns = [op1_bpe_tree, op2_token_counts, op3_token_store, op4_host_rules,
-           op5_ngram_join, op6_language_filters, op8_vector_lsh, op10_mix_sources]
+           op5_ngram_join, op6_language_filters, op8_vector_lsh, op9_suffix_dedup, op10_mix_sources]
     return {f.__name__: f for f in fns}
 
 

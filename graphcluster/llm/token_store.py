@@ -37,16 +37,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphcluster.llm.common import partitions, ship
-from graphcluster.llm.token_count import PATTERN
 
-SAMPLE_DOCS = 400        #: documents that train the dictionary (those of lowest hash)
+SAMPLE_DOCS = 400        #: documents that train the dictionary (expected; chosen by hash)
 SAMPLE_CHARS = 8_000     #: characters of each that serve as training material
 DICT_BYTES = 65_536
 LEVEL = 3
 BLOCK_BYTES = 1 << 20    #: a block is closed beyond this size
 BLOCK_DOCS = 1_000
-MEMO_CHARS = 48
-MEMO_ROWS = 400_000
+MEMO_CHARS = 48          #: longer words are not remembered
+MEMO_ROWS = 400_000      #: words of a generation of the memo, of which a worker holds two
+JOINED = 64              #: new words that the library gets as one text
+GROUP_BYTES = 1 << 20    #: bytes of text encoded together, at least one text
 
 BLOCKS = ("part int, block int, start long, n_ids long, first_doc long, last_doc long, "
           "doc_ids array<long>, offsets array<long>, counts array<long>, "
@@ -54,11 +55,15 @@ BLOCKS = ("part int, block int, start long, n_ids long, first_doc long, last_doc
 
 
 class Encoder:
-    """Ids by the tokenizers library, which is asked once for each distinct piece.
-
-    A byte-level tokenizer encodes each match of its pattern by itself, so the
-    ids of a text are those of its pieces in a row; added tokens are cut out
-    first, as the library does by default.
+    """Ids by the tokenizers library, which is asked once for each distinct word.
+
+    A byte-level tokenizer encodes each match of its pattern by itself.  A match
+    ends before a space that precedes or follows a character other than white
+    space, and around a line end between two such characters; so the ids of a
+    text are those of its words, with or without a space before them.  Texts with white
+    space on both sides of a space are given to the library as they are.  New
+    words go to it many at a time, joined by line ends.
+    Added tokens are cut out first, as the library does by default.
     """
 
     def __init__(self, path: str):
@@ -69,35 +74,79 @@ class Encoder:
         self.added = {c: np.asarray([i], "<u4").tobytes() for c, i in added.items()}
         names = sorted(added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.find = regex.compile(PATTERN).findall
-        self.memo: dict[str, bytes] = {}
+        self.line, = self.tok.encode("\n", add_special_tokens=False).ids
+        # ids of words by what precedes them, a space or nothing; two generations
+        self.young: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
+        self.old: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
+
+    def plain(self, texts: list[str]) -> list[bytes]:
+        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+
+    def learn(self, lead: str, words: set[str]) -> None:
+        """Make sure that the memo has the ids of all words."""
+        young, old = self.young[lead], self.old[lead]
+        words = words.difference(young)
+        known = words.intersection(old)
+        young.update(zip(known, map(old.__getitem__, known)))
+        words -= known
+        words.discard("")
+        young[""] = self.plain([lead])[0]
+        even = list(filter(str.isprintable, words))  # without white space
+        split, odd = [], []
+        if len(even) < len(words):
+            for w in words.difference(even):
+                lines = w.split("\n")
+                apart = len(lines) > 1 and all(lines) and all(map(str.isprintable, lines))
+                (split if apart else odd).append((w, lines))
+        young.update(zip((w for w, _ in odd), self.plain([lead + w for w, _ in odd])))
+        if even:
+            stop = "\n" + lead
+            found = self.tok.encode_batch_fast(
+                [lead + stop.join(even[k:k + JOINED]) + "\n" for k in range(0, len(even), JOINED)],
+                add_special_tokens=False)
+            ids = np.concatenate([np.asarray(e.ids, "<u4") for e in found])
+            ends = 4 * np.flatnonzero(ids == self.line)
+            starts = np.concatenate([[0], ends[:-1] + 4])
+            slices = map(slice, starts.tolist(), ends.tolist())
+            young.update(zip(even, map(ids.tobytes().__getitem__, slices), strict=True))
+        if split:
+            self.learn(lead, {lines[0] for _, lines in split})
+            self.learn("", {x for _, lines in split for x in lines[1:]})
+            line, rest = np.asarray([self.line], "<u4").tobytes(), self.young[""]
+            for w, lines in split:
+                young[w] = line.join([young[lines[0]], *map(rest.__getitem__, lines[1:])])
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        for lead in self.young:
+            if len(self.young[lead]) > MEMO_ROWS:
+                self.old[lead], self.young[lead] = self.young[lead], {}
+        parts, where = [], []  # of each text the parts between added tokens
+        for t in texts:
+            own = self.cut.split(t) if t and self.cut else [t or ""]
+            where.append((len(parts), own[1::2]))
+            parts += own[0::2]
+        split = [[t] if _BETWEEN_SPACE(t) else t.split(" ") for t in parts]
+        heads = [words.pop(0) for words in split]
+        new: set[str] = set()
+        for words in split:
+            new.update(words)
+        self.learn(" ", new)
+        self.learn("", first := set(heads))
+        of, head = self.young[" "].__getitem__, self.young[""]
+        whole = [head[h] + b"".join(map(of, words)) for h, words in zip(heads, split)]
+        for lead, known in ((" ", new), ("", first)):
+            for w in known:
+                if len(w) > MEMO_CHARS:
+                    del self.young[lead][w]
+        out = []
+        for at, cut in where:
+            own = whole[at:at + len(cut) + 1]
+            out.append(own[0] + b"".join(self.added[c] + x for c, x in zip(cut, own[1:])))
+        return out
 
-    def learn(self, pieces: list[str]) -> None:
-        if len(self.memo) + len(pieces) > MEMO_ROWS:
-            self.memo.clear()
-        found = self.tok.encode_batch_fast(pieces, add_special_tokens=False)
-        self.memo.update((p, np.asarray(e.ids, "<u4").tobytes())
-                         for p, e in zip(pieces, found, strict=True))
 
-    def encode(self, text: str | None) -> bytes:
-        out = []
-        parts = self.cut.split(text) if text and self.cut else [text or ""]
-        for k, part in enumerate(parts):
-            if k % 2:
-                out.append(self.added[part])
-                continue
-            pieces = self.find(part)
-            got = list(map(self.memo.get, pieces))
-            if None in got:
-                new = list(dict.fromkeys(p for p, g in zip(pieces, got) if g is None))
-                self.learn(new)
-                known = self.memo
-                got = [known[p] if g is None else g for p, g in zip(pieces, got)]
-                for p in new:
-                    if len(p) > MEMO_CHARS:
-                        del known[p]
-            out += got
-        return b"".join(out)
+_BETWEEN_SPACE = regex.compile(r"\s \s").search
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -131,12 +180,15 @@ class Dictionary:
 def train(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text",
           sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Dictionary:
     """Train the dictionary on a bounded sample; it changes sizes only, never ids."""
-    rows = (docs.select(F.substring(text, 1, sample_chars).alias("t"),
-                        F.xxhash64("doc_id").alias("h"))
-            .orderBy("h", "t").limit(sample_docs).collect())
+    n, cut = docs.count(), 1 << 30
+    if not n:
+        return Dictionary(b"")
+    rate = min(cut, -(-cut * sample_docs // n))  # the expected number is sample_docs
+    rows = (docs.where(F.pmod(F.xxhash64(F.lit("dictionary"), "doc_id"), F.lit(cut)) < rate)
+            .select(F.substring(text, 1, sample_chars).alias("t")).orderBy("t").collect())
     code = encoder(tokenizer)
     end = np.asarray([end_id], "<u4").tobytes()
-    samples = [code.encode(r["t"]) + end for r in rows]
+    samples = [ids + end for ids in code.encode([r["t"] for r in rows])]
     try:
         trained = zstandard.train_dictionary(min(DICT_BYTES, sum(map(len, samples)) // 8), samples)
         return Dictionary(trained.as_bytes())
@@ -171,9 +223,21 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                 "counts": [counts], "dict_hash": [shared.hash],
                 "payload": pa.array([b"".join(frames)], pa.binary())})
 
-        for batch in batches:
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = code.encode(value.as_py()) + end
+        def groups():
+            docs, held, size = [], [], 0
+            for batch in batches:
+                for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    docs.append(doc)
+                    held.append(value.as_py())
+                    size += len(held[-1] or "")
+                    if size >= GROUP_BYTES:
+                        yield zip(docs, code.encode(held))
+                        docs, held, size = [], [], 0
+            yield zip(docs, code.encode(held))
+
+        for group in groups():
+            for doc, raw in group:
+                raw += end
                 frame = press.compress(raw)
                 ids.append(doc)
                 frames.append(frame)

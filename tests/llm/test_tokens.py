@@ -90,6 +90,26 @@ def test_every_code_point_splits_alike(tik, lib):
     assert counter.tokens(texts) == [len(e.ids) for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab's,.\n\t  \u3000\xa01é<|>", max_size=40), max_size=5))
+def test_words_encode_apart(lib, texts):
+    """Ids of words in a row are those of the text, whatever the white space."""
+    texts = texts + [t + "<|endoftext|>" + t for t in texts[:2]]
+    got = token_store.encoder(JSON).encode(texts)
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+
+
+def test_memo_generations(lib, monkeypatch, texts):
+    monkeypatch.setattr(token_store, "MEMO_ROWS", 300)
+    code = token_store.Encoder(JSON)
+    some = [t for t in texts.values() if t][:60]
+    for k in range(0, 60, 7):
+        got = code.encode(some[k:k + 7] + ODD[:3])
+        want = [e.ids for e in lib.encode_batch(some[k:k + 7] + ODD[:3], add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+
+
 def test_op1(spark, sf, texts, tik):
     rows = registry.op1_bpe_tree(spark, sf).collect()
     assert len(rows) == len(texts)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphcluster.llm import (
-    bpe_tree, language, mixing, ngram_join, quality, suffix_dedup, token_count, token_store,
+    bpe_tree, html_model, language, mixing, ngram_join, quality, suffix_dedup, token_count, token_store,
     vector_lsh)
 from graphcluster.llm.common import read
 from graphcluster.session import scratch_dir
@@ -65,6 +65,11 @@ def op6_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_html_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_model.extract(pages, html_model.learn(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op8_vector_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_lsh.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -84,7 +89,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     fns = [op1_bpe_tree, op2_token_counts, op3_token_store, op4_host_rules,
-           op5_ngram_join, op6_language_filters, op8_vector_lsh, op9_suffix_dedup, op10_mix_sources]
+           op5_ngram_join, op6_language_filters, op7_html_model, op8_vector_lsh,
+           op9_suffix_dedup, op10_mix_sources]
     return {f.__name__: f for f in fns}
 
 

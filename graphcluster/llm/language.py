@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from graphcluster.llm.common import arrow_map, ship
+from graphcluster.llm.common import Table, arrow_map, ship
 
 SAMPLE = 1500         #: labelled documents per language that train the filters (in expectation)
 MIN_RATE = 1e-5       #: least share of a language's trigrams
@@ -51,11 +51,13 @@ def letters() -> np.ndarray:
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Text index and key of every trigram: lower-case letters, other runs as one space."""
-    low = [t.lower() + " " for t in texts]
+    low = [" " + t.lower() + " " for t in texts]
     codes = np.frombuffer("".join(low).encode("utf-32-le"), dtype=np.uint32)
-    which = np.repeat(np.arange(len(low), dtype=np.int64), np.fromiter(map(len, low), np.int64, len(low)))
+    size = np.fromiter(map(len, low), np.int64, len(low))
+    which = np.repeat(np.arange(len(low), dtype=np.int64), size)
     letter = letters()[codes]
     keep = letter.copy()
+    keep[np.cumsum(size) - size] = True  # the space before a text
     keep[1:] |= letter[:-1]  # the first of a run of other characters is the space
     c = np.where(letter, codes, np.uint32(32))[keep].astype(np.uint64)
     which = which[keep]
@@ -125,11 +127,9 @@ class Filters:
                 net = (found - total[:, None] * self.false) / (1 - self.false)
                 best = net.argmax(axis=1)
                 for k, n, b, row in zip(block, total.tolist(), best.tolist(), net):
-                    if n:
+                    if n:  # a text with a letter has a trigram
                         lang[k] = self.langs[b]
                         score[k] = float(min(1.0, max(0.0, row[b] / n)))
-                    elif any(map(str.isalpha, texts[k])):  # too short for a trigram
-                        lang[k] = self.langs[0]
                 block, size = [], 0
         return lang, score
 
@@ -169,7 +169,6 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str
     grams = (chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
              .mapInArrow(count, "lang string, gram long, n long")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    from graphcluster.llm.common import Table
     kept = Table(grams, "trigrams")
     totals = {r[0]: r[1] for r in kept.df.groupBy("lang").agg(F.sum("n")).collect()}
     share: Column = F.lit(0.0)

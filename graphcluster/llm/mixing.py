@@ -105,8 +105,13 @@ def sampled(rows: DataFrame, source: str, key: str, weights, max_copies, seed, n
     return out.select(*columns, *OUTPUTS)
 
 
-def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Each document as often as it was taken (``columns`` of the mix's result)."""
+def repeat_documents(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text",
+                     weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES,
+                     seed: int = SEED) -> DataFrame:
+    """The documents themselves, each as often as the mix takes it."""
+    rows = with_size(docs.select(F.struct("*").alias("_row"), F.col(source).alias("source"),
+                                 F.col(key).alias("doc_id"), F.col(text).alias("text"))).drop("text")
+    mixed = sampled(rows, "source", "doc_id", weights, max_copies, seed, partitions(docs.sparkSession))
     return (mixed.where(F.col("copies") > 0)
-            .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-            .select(*columns))
+            .select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+            .select("_row.*"))

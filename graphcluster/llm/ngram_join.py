@@ -367,3 +367,16 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.coalesce("component_id", "doc_id").alias("component_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT,
+             words: int = WORDS) -> DataFrame:
+    """One document of each group of linked documents, that of the smallest id.
+
+    An id is one document, so of rows with equal ids one stays; rows without an
+    id can't be told apart and stay.
+    """
+    kept = join(docs, text, key, percent, words).where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = Table(kept, "kept-ids").df
+    named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
+    return named.unionByName(docs.where(F.col(key).isNull()))

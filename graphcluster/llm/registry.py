@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,7 +92,7 @@ def queries() -> dict[str, QueryFn]:
     fns = [op1_bpe_tree, op2_token_counts, op3_token_store, op4_host_rules,
            op5_ngram_join, op6_language_filters, op7_html_model, op8_vector_lsh,
            op9_suffix_dedup, op10_mix_sources]
-    return {f.__name__: f for f in fns}
+    return {f.__name__: f for f in fns} | {"pipeline": corpus_pipeline.run}
 
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
 from graphcluster.llm import blobs
 from graphcluster.llm.common import Table, arrow_map, free_shuffles, partitions, ship
@@ -474,3 +474,28 @@ def _cut(joined: DataFrame, columns: list[str], text: str) -> DataFrame:
                      [StructField("n_bytes", LongType(), False), StructField("n_removed", LongType(), False),
                       StructField("n_spans", LongType(), False), StructField("kept", BinaryType(), False)], cut)
     return made.select(*columns, "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def _text(kept: pa.Array) -> list:
+    return [[x.as_py().decode("utf-8", errors="ignore") for x in kept]]
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str = "n_chars",
+                    length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """The documents with what remains of their texts.
+
+    A character of which a byte was removed goes as a whole.  A document of
+    which something was removed and no word remains is dropped.
+    """
+    columns = docs.columns
+    rest = F.struct(*[c for c in columns if c != text])  # out of the way of the outputs' names
+    cut = remove_repeats(docs.select(key, text, rest.alias("_rest")), key, text, length, gram)
+    made = arrow_map(cut.select(text, "_rest", "n_removed", "kept"), ["kept"],
+                     [StructField("_left", StringType(), False)], _text)
+    touched = F.col("n_removed") > 0
+    made = made.where(~touched | F.col("_left").rlike(r"[^\x20\x09-\x0D]"))
+    out = {c: F.col("_rest")[c] for c in columns if c != text}
+    out[text] = F.when(touched, F.col("_left")).otherwise(F.col(text))
+    if n_chars in columns:
+        out[n_chars] = F.when(touched, F.length("_left").cast(docs.schema[n_chars].dataType)).otherwise(out[n_chars])
+    return made.select(*[out[c].alias(c) for c in columns])

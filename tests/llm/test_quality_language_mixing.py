@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from graphcluster.llm import language, mixing, quality, registry
 
@@ -132,6 +133,7 @@ def test_mix(spark):
         assert abs(taken[s] - target[s]) <= 180
         assert all(r.source_size == sizes[s] for r in got if r.source == s)
     assert sorted(map(repr, mixing.mix(df).collect())) == sorted(map(repr, got))
-    out = mixing.emit(mixed, ["doc_id", "text"])
-    assert out.count() == sum(r.copies for r in got)
+    out = mixing.repeat_documents(df.withColumn("copies", F.lit("clash")))
+    assert out.columns == [*df.columns, "copies"]
+    assert out.where("copies = 'clash'").count() == sum(r.copies for r in got)
     assert mixing.mix(df.limit(0)).count() == 0

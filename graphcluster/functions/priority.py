@@ -38,7 +38,7 @@ def hash_priority(*parts, method: str = "md5") -> Column:
         digest = F.md5(F.concat_ws(":", *cols))
         return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("bigint")
     if method == "xxhash64":
-        return F.shiftright(F.xxhash64(F.concat_ws(":", *cols)), 4) & F.lit((1 << 60) - 1)
+        return F.shiftright(F.xxhash64(F.concat_ws(":", *cols)), 4).bitwiseAND(F.lit((1 << 60) - 1))
     raise ValueError(f"unknown priority method {method!r}")
 
 

@@ -10,10 +10,20 @@ combined with a union and a second aggregate, never a cross join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphcluster.operators.graph import cluster_sizes, degrees, intra_cluster_edges, triplets
+from graphcluster.plans.loop import materialize
+
+
+def pair_count(n: str = "n") -> Column:
+    """n (n - 1) / 2 as DECIMAL(38, 0), exact for every BIGINT n: the even one of
+    the two factors is halved."""
+    c = F.col(n).cast("bigint")
+    even = (c % 2) == 0
+    half, other = F.expr(f"CAST({n} AS BIGINT) div 2"), F.when(even, c - 1).otherwise(c)
+    return half.cast("decimal(19,0)") * other.cast("decimal(19,0)")
 
 
 def _same_cluster_flags(edges: DataFrame, assign: DataFrame) -> DataFrame:
@@ -37,9 +47,8 @@ def disagreements(edges: DataFrame, assign: DataFrame) -> DataFrame:
         F.count("*").cast("bigint").alias("edges"),
         F.coalesce(F.sum(F.when(F.col("same"), 1)), F.lit(0)).cast("bigint").alias("inside"))
     p = cluster_sizes(assign).agg(
-        F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0)).cast("bigint")
-        .alias("pairs"))
-    both = (e.select("edges", "inside", F.lit(0).cast("bigint").alias("pairs"))
+        F.coalesce(F.sum(pair_count()), F.lit(0)).cast("decimal(38,0)").alias("pairs"))
+    both = (e.select("edges", "inside", F.lit(0).cast("decimal(38,0)").alias("pairs"))
             .unionByName(p.select(F.lit(0).cast("bigint").alias("edges"),
                                   F.lit(0).cast("bigint").alias("inside"), "pairs")))
     s = both.agg(F.sum("edges").alias("edges"), F.sum("inside").alias("inside"),
@@ -64,7 +73,9 @@ def vertex_disagreement(edges: DataFrame, assign: DataFrame) -> DataFrame:
     inside = intra_cluster_edges(edges, a)
     same = (inside.select(F.explode(F.array("src", "dst")).alias("vid"))
             .groupBy("vid").agg(F.count("*").alias("same")))
-    sizes = cluster_sizes(a).withColumnRenamed("n", "size")
+    sizes = materialize(cluster_sizes(a).withColumnRenamed("n", "size"), "sizes")
+    same = materialize(same, "same")
+    deg = materialize(deg, "degrees")
     out = (a.join(sizes, "cid").join(deg, "vid", "left").join(same, "vid", "left")
            .select("vid", "cid", F.col("size").cast("bigint").alias("size"),
                    F.coalesce("degree", F.lit(0)).cast("bigint").alias("degree"),

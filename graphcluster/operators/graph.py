@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphcluster.plans.loop import Stored, materialize, store
+
 
 def canonical_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Undirected simple graph: smaller id first, self-loops and duplicates removed."""
@@ -95,8 +97,9 @@ def degrees(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
 
 
 def subgraph(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Edges with both ends in ``vertices(vid)`` (two semi-joins)."""
-    keep = vertices.select("vid").distinct()
+    """Edges with both ends in ``vertices(vid)`` (two semi-joins).  The distinct
+    ids are written first, so that a hub's edges can be split."""
+    keep = materialize(vertices.select("vid").distinct(), "subgraph-ids")
     return (edges.join(keep.withColumnRenamed("vid", "src"), "src", "left_semi")
             .join(keep.withColumnRenamed("vid", "dst"), "dst", "left_semi")
             .select("src", "dst"))
@@ -119,8 +122,17 @@ def relabel(assign: DataFrame, key: str | list[str] = "cid") -> DataFrame:
     """Canonical labels: every cluster is named by its smallest member id.
 
     ``key`` may be several columns (e.g. ``['fresh', 'cid']`` for clusters made
-    in the same round), so temporary labels never collide with live ones.
+    in the same round), so temporary labels never collide with live ones.  The
+    labels are written first, so that a giant cluster can be split.
     """
+    return relabelled(assign, key)[0]
+
+
+def relabelled(assign: DataFrame, key: str | list[str] = "cid",
+               extra: list[str] | None = None) -> tuple[DataFrame, Stored]:
+    """``relabel`` (with ``extra`` columns of ``assign``) and the table of labels,
+    which the caller drops once the result is written."""
     keys = [key] if isinstance(key, str) else list(key)
-    labels = assign.groupBy(*keys).agg(F.min("vid").alias("_label"))
-    return (assign.join(labels, keys).select("vid", F.col("_label").alias("cid")))
+    labels = store(assign.groupBy(*keys).agg(F.min("vid").alias("_label")), "labels")
+    out = assign.join(labels.df, keys).select("vid", F.col("_label").alias("cid"), *(extra or []))
+    return out, labels

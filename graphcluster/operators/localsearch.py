@@ -25,8 +25,10 @@ improving move to a neighbouring cluster moves in the same round (no
 singletons, no independent set); it can oscillate, so it keeps the best
 labelling seen.
 
-Each round's state is checkpointed; only a few numbers per round reach the
-driver (cost, candidates, movers).
+A round writes vertex-sized tables only: the cluster sizes, and for every vertex
+its own-cluster count and best move (the histogram is never written).  The cost
+follows from their sums, as exact integers.  Only a few numbers per round reach
+the driver (cost, candidates, movers).
 """
 
 from __future__ import annotations
@@ -36,19 +38,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphcluster.functions.packing import KEY_OFFSET, pack, packed_id, packed_key
 from graphcluster.functions.priority import beats, hash_priority
+from graphcluster.operators.cost import pair_count
 from graphcluster.operators.graph import (
-    canonical_edges, cluster_sizes, intra_cluster_edges, neighbours, relabel,
-)
-from graphcluster.operators.rank import group_rank
-from graphcluster.plans.loop import (
-    materialize, materialize_bucketed, release, shuffle_partitions,
+    canonical_edges, cluster_sizes, intra_cluster_edges, neighbours, relabelled,
 )
+from graphcluster.operators.rank import ranked_table
+from graphcluster.plans.loop import Stored, materialize, store
 
 TARGETS = ("max_overlap", "min_delta")
-# Bucket the adjacency only when each bucket would hold at least this much.
-BUCKET_MIN_BYTES = 1 << 20
-ADJ_ROW_BYTES = 16
 COMPETE = ("improving", "all")
 
 
@@ -58,13 +57,11 @@ def neighbour_clusters(adj: DataFrame, assign: DataFrame) -> DataFrame:
     return adj.join(c, "nbr").groupBy("vid", "nbr_cid").agg(F.count("*").alias("n"))
 
 
-def best_moves(assign: DataFrame, hist: DataFrame, sizes: DataFrame,
-               target: str = "max_overlap", allow_singleton: bool = True) -> DataFrame:
-    """Improving moves ``(vid, from_cid, to_cid, fresh, delta)`` with ``delta < 0``.
-
-    ``fresh`` marks a move into a new singleton cluster (``to_cid`` then holds
-    the vertex id as a temporary label).
-    """
+def vertex_moves(assign: DataFrame, hist: DataFrame, sizes: DataFrame,
+                 target: str = "max_overlap", allow_singleton: bool = True) -> DataFrame:
+    """Per vertex its count in the own cluster and its best move:
+    ``(vid, from_cid, a, to_cid, fresh, delta)``; ``delta`` is NULL if there is
+    no other cluster to go to.  ``sizes`` should be a written table."""
     if target not in TARGETS:
         raise ValueError(f"target must be one of {TARGETS}, got {target!r}")
     a0 = assign.select("vid", "cid")
@@ -72,19 +69,20 @@ def best_moves(assign: DataFrame, hist: DataFrame, sizes: DataFrame,
     own = F.col("nbr_cid") == F.col("cid")
     if target == "max_overlap":
         # best other cluster: most neighbours, then smallest id
-        key = F.struct((-F.col("n")).alias("k"), F.col("nbr_cid").alias("d"))
+        key = F.lit(KEY_OFFSET) - F.col("n")
     else:
         # delta = (nD - 2 b) - nC + 1 + 2 a: only nD - 2 b varies with the target
         hv = hv.join(sizes.select(F.col("cid").alias("nbr_cid"), F.col("n").alias("nD")),
                      "nbr_cid")
-        key = F.struct((F.col("nD") - 2 * F.col("n")).alias("k"), F.col("nbr_cid").alias("d"))
+        key = F.lit(KEY_OFFSET) + F.col("nD") - 2 * F.col("n")
     # one pass over the histogram: own-cluster count and the best other cluster
     per = hv.groupBy("vid").agg(F.sum(F.when(own, F.col("n"))).alias("a"),
-                                F.min(F.when(~own, key)).alias("m"))
+                                F.min(F.when(~own, pack(key, F.col("nbr_cid")))).alias("m"))
     base = (a0.join(sizes.select("cid", F.col("n").alias("nC")), "cid")
             .join(per, "vid", "left")
             .select("vid", "cid", "nC", F.coalesce("a", F.lit(0)).alias("a"),
-                    F.col("m.d").alias("to_cid"), F.col("m.k").alias("k")))
+                    packed_id(F.col("m")).alias("to_cid"),
+                    (packed_key(F.col("m")) - KEY_OFFSET).alias("k")))
     if target == "max_overlap":
         dsize = sizes.select(F.col("cid").alias("to_cid"), F.col("n").alias("nD"))
         moved = base.join(dsize, "to_cid", "left").withColumn(
@@ -100,9 +98,23 @@ def best_moves(assign: DataFrame, hist: DataFrame, sizes: DataFrame,
         fresh = use_single
     else:
         to_cid, delta, fresh = F.col("to_cid"), F.col("dmove"), F.lit(False)
-    return (moved.select("vid", F.col("cid").alias("from_cid"), to_cid.alias("to_cid"),
-                         fresh.alias("fresh"), delta.cast("bigint").alias("delta"))
-            .where(F.col("delta") < 0))
+    return moved.select("vid", F.col("cid").alias("from_cid"), F.col("a").cast("bigint").alias("a"),
+                        to_cid.alias("to_cid"), fresh.alias("fresh"), delta.cast("bigint").alias("delta"))
+
+
+def improving(vertex: DataFrame) -> DataFrame:
+    """The moves of ``vertex_moves`` that lower the cost."""
+    return vertex.where(F.col("delta") < 0).select("vid", "from_cid", "to_cid", "fresh", "delta")
+
+
+def best_moves(assign: DataFrame, hist: DataFrame, sizes: DataFrame,
+               target: str = "max_overlap", allow_singleton: bool = True) -> DataFrame:
+    """Improving moves ``(vid, from_cid, to_cid, fresh, delta)`` with ``delta < 0``.
+
+    ``fresh`` marks a move into a new singleton cluster (``to_cid`` then holds
+    the vertex id as a temporary label).
+    """
+    return improving(vertex_moves(assign, hist, materialize(sizes, "sizes"), target, allow_singleton))
 
 
 def independent_set(candidates: DataFrame, adj: DataFrame, seed: int, rnd: int,
@@ -112,27 +124,34 @@ def independent_set(candidates: DataFrame, adj: DataFrame, seed: int, rnd: int,
     ``compete='improving'``: only other candidates compete; ``'all'``: every
     neighbour does (then a round may move nobody).
     """
+    return _independent(candidates, adj, seed, rnd, compete)[0]
+
+
+def _independent(candidates: DataFrame, adj: DataFrame, seed: int, rnd: int,
+                 compete: str) -> tuple[DataFrame, list[Stored]]:
+    """``independent_set`` and the tables behind it."""
     if compete not in COMPETE:
         raise ValueError(f"compete must be one of {COMPETE}, got {compete!r}")
+    used: list[Stored] = []
+
     def prio(df, col):
         return df.select(F.col("vid").alias(col),
                          hash_priority(F.lit(seed), F.lit(rnd), F.col("vid")).alias(f"p_{col}"))
 
-    # One hash per vertex, joined to the rows (never one per edge); the join on
-    # ``nbr`` comes first (it reuses a bucketed adjacency and, for
-    # 'improving', drops most rows before the second join).
+    # One hash per vertex, joined to the rows (never one per edge); for
+    # 'improving' the join on ``nbr`` drops most rows before the second join.
     if compete == "improving":
         rows = adj.join(prio(candidates, "nbr"), "nbr")
     else:
-        rows = adj.join(prio(adj.select("vid").distinct(), "nbr"), "nbr")
+        used.append(store(prio(adj.select("vid").distinct(), "nbr"), "round-prio"))
+        rows = adj.join(used[-1].df, "nbr")
     rows = rows.join(prio(candidates, "vid"), "vid")
-    blocked = (rows.where(beats(F.col("p_nbr"), F.col("nbr"), F.col("p_vid"), F.col("vid")))
-               .select("vid").distinct())
-    return candidates.join(blocked, "vid", "left_anti")
+    used.append(store(rows.where(beats(F.col("p_nbr"), F.col("nbr"), F.col("p_vid"), F.col("vid")))
+                      .select("vid").distinct(), "blocked"))
+    return candidates.join(used[-1].df, "vid", "left_anti"), used
 
 
-def guard_moves(moves: DataFrame, mode: bool | str = True,
-                rows_bound: int | None = None) -> DataFrame:
+def guard_moves(moves: DataFrame, mode: bool | str = True) -> DataFrame:
     """Keep a subset of independent moves whose joint cost change is negative.
 
     For non-adjacent movers the joint change is the sum of the deltas plus one
@@ -142,25 +161,29 @@ def guard_moves(moves: DataFrame, mode: bool | str = True,
     target cluster and keep those with ``delta + (r_src - 1) + (r_dst - 1) < 0``;
     the ranks are distributed (``group_rank``), so a huge cluster is never one
     task.  ``'one'``: only the first leaver and the first joiner per cluster.
-    ``rows_bound`` is a known upper bound of the number of moves.
     """
+    return _guarded(moves, mode)[0]
+
+
+def _guarded(moves: DataFrame, mode: bool | str) -> tuple[DataFrame, list[Stored]]:
+    """``guard_moves`` and the tables behind it."""
     if mode is True or mode == "rank":
-        ranked = group_rank(moves, ["from_cid"], ["delta", "vid"], "_r_src",
-                            rows_bound=rows_bound)
-        joins = group_rank(moves.where(~F.col("fresh")).select("vid", "to_cid", "delta"),
-                           ["to_cid"], ["delta", "vid"], "_r_dst", rows_bound=rows_bound)
-        keep = (ranked.join(joins.select("vid", "_r_dst"), "vid", "left")
+        ranked = ranked_table(moves, ["from_cid"], ["delta", "vid"], "_r_src")
+        joins = ranked_table(moves.where(~F.col("fresh")).select("vid", "to_cid", "delta"),
+                             ["to_cid"], ["delta", "vid"], "_r_dst")
+        keep = (ranked.df.join(joins.df.select("vid", "_r_dst"), "vid", "left")
                 .where(F.col("delta") + (F.col("_r_src") - 1)
                        + F.coalesce(F.col("_r_dst") - 1, F.lit(0)) < 0))
-        return keep.select(*moves.columns)
+        return keep.select(*moves.columns), [ranked, joins]
     if mode == "one":
-        first = F.min(F.struct("delta", "vid")).alias("m")
-        leaders = moves.groupBy("from_cid").agg(first).select(F.col("m.vid").alias("vid"))
-        joiners = (moves.where(~F.col("fresh")).groupBy("to_cid").agg(first)
-                   .select(F.col("m.vid").alias("vid"), F.lit(True).alias("_first_in")))
-        return (moves.join(leaders, "vid", "left_semi").join(joiners, "vid", "left")
-                .where(F.col("fresh") | F.col("_first_in").isNotNull())
-                .select(*moves.columns))
+        key = F.min(pack(F.lit(KEY_OFFSET) + F.col("delta"), F.col("vid"))).alias("m")
+        first = packed_id(F.col("m")).alias("vid")
+        leaders = moves.groupBy("from_cid").agg(key).select(first)
+        joiners = (moves.where(~F.col("fresh")).groupBy("to_cid").agg(key)
+                   .select(first, F.lit(True).alias("_first_in")))
+        keep = (moves.join(leaders, "vid", "left_semi").join(joiners, "vid", "left")
+                .where(F.col("fresh") | F.col("_first_in").isNotNull()))
+        return keep.select(*moves.columns), []
     raise ValueError(f"guard must be True, 'rank' or 'one', got {mode!r}")
 
 
@@ -169,46 +192,35 @@ def apply_moves(assign: DataFrame, moves: DataFrame, flag: bool = False) -> Data
 
     ``flag=True`` adds a boolean ``moved`` column (the loop counts movers from it).
     """
+    return _applied(assign, moves, flag)[0]
+
+
+def _applied(assign: DataFrame, moves: DataFrame, flag: bool) -> tuple[DataFrame, list[Stored]]:
     m = moves.select("vid", F.col("to_cid").alias("_to"), F.col("fresh").alias("_fresh"))
-    keyed = assign.select("vid", "cid").join(m, "vid", "left").select(
+    keyed = store(assign.select("vid", "cid").join(m, "vid", "left").select(
         "vid",
         F.coalesce(F.col("_fresh"), F.lit(False)).alias("fresh"),
         F.coalesce(F.col("_to"), F.col("cid")).alias("cid"),
-        F.col("_to").isNotNull().alias("moved"))
-    labels = keyed.groupBy("fresh", "cid").agg(F.min("vid").alias("_label"))
-    out = keyed.join(labels, ["fresh", "cid"]).select(
-        "vid", F.col("_label").alias("cid"), "moved")
-    return out if flag else out.drop("moved")
-
-
-def state_cost(hist: DataFrame, assign: DataFrame, sizes: DataFrame, n_edges: int,
-               moves: DataFrame | None = None) -> tuple[int, int, int]:
-    """One job for three numbers: the disagreements of ``assign`` from its
-    histogram (E - 2*inside + sum C(n, 2)), the rows of ``moves``, and the
-    vertices flagged ``moved`` in ``assign`` (0 without that column)."""
-    zero = F.lit(0).cast("bigint")
-    moved = (F.col("moved").cast("bigint") if "moved" in assign.columns else zero)
-    inside2 = (hist.join(assign.select("vid", "cid"), "vid")
-               .where(F.col("nbr_cid") == F.col("cid"))
-               .select(F.col("n").cast("bigint").alias("i"), zero.alias("p"), zero.alias("m"),
-                       zero.alias("f")))
-    pairs = sizes.select(zero.alias("i"),
-                         (F.col("n") * (F.col("n") - 1) / 2).cast("bigint").alias("p"),
-                         zero.alias("m"), zero.alias("f"))
-    flags = assign.select(zero.alias("i"), zero.alias("p"), zero.alias("m"), moved.alias("f"))
-    parts = inside2.unionByName(pairs).unionByName(flags)
-    if moves is not None:
-        parts = parts.unionByName(moves.select(zero.alias("i"), zero.alias("p"),
-                                               F.lit(1).cast("bigint").alias("m"),
-                                               zero.alias("f")))
-    row = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "ipmf"]).first()
-    return int(n_edges - row["i"] + row["p"]), int(row["m"]), int(row["f"])
+        F.col("_to").isNotNull().alias("moved")), "keyed")
+    out, labels = relabelled(keyed.df, ["fresh", "cid"], ["moved"] if flag else [])
+    return out, [keyed, labels]
+
+
+def state_cost(vertex: DataFrame, sizes: DataFrame, n_edges: int) -> tuple[int, int]:
+    """The disagreements of a state, E - sum(a) + sum C(n, 2) (``a`` counts each
+    inside edge at both ends), and the number of improving moves; exact, one job."""
+    zero, none = F.lit(0).cast("bigint"), F.lit(0).cast("decimal(38,0)")
+    parts = (vertex.select("a", (F.col("delta") < 0).cast("bigint").alias("m"), none.alias("p"))
+             .unionByName(sizes.select(zero.alias("a"), zero.alias("m"), pair_count().alias("p"))))
+    row = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "amp"]).first()
+    return int(n_edges - row["a"] + row["p"]), int(row["m"])
 
 
 @dataclass
 class SearchResult:
     assign: DataFrame                          # (vid, cid)
     rounds: list[tuple[int, int, int]] = field(default_factory=list)  # (round, cost, moved)
+    stopped: bool = False                      # no improving move was left
 
     def history(self, spark) -> DataFrame:
         return spark.createDataFrame(self.rounds, "round INT, cost BIGINT, moved BIGINT")
@@ -232,55 +244,60 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
     """
     if simultaneous:
         allow_singleton = False
-    canon = (edges.select("src", "dst") if canonical
-             else materialize(canonical_edges(edges), "ls_edges"))
-    n_edges = canon.count()
-    # The adjacency never changes: bucket it by ``nbr`` once, so the per-round
-    # joins on ``nbr`` shuffle only the vertex-sized side -- when it is big
-    # enough to fill the buckets; tiny buckets would only add fixed task cost.
-    if 2 * n_edges * ADJ_ROW_BYTES >= BUCKET_MIN_BYTES * shuffle_partitions(canon):
-        adj = materialize_bucketed(neighbours(canon), "nbr", "ls_adj")
+    if canonical:
+        canon = edges.select("src", "dst")
+        adj = store(neighbours(canon), "ls_adj")
     else:
-        adj = materialize(neighbours(canon), "ls_adj")
-    state = materialize(relabel(assign.select("vid", "cid")), "ls_state")
+        once = store(canonical_edges(edges), "ls_edges")
+        adj = store(neighbours(once.df), "ls_adj")
+        once.drop()
+    n_edges = adj.df.count() // 2
+    first, labels = relabelled(assign.select("vid", "cid"))
+    state = store(first.withColumn("moved", F.lit(False)), "ls_state")
+    labels.drop()
 
     rounds: list[tuple[int, int, int]] = []
-    best = (None, None)       # (cost, state) for the simultaneous variant
+    best: tuple[int, Stored] | None = None       # (cost, state) for the simultaneous variant
+    moved, stopped = 0, False
     for rnd in range(1, max_iter + 2):
-        sizes = cluster_sizes(state)
-        hist = materialize(neighbour_clusters(adj, state), "ls_hist")
-        moves = None
-        if rnd <= max_iter:
-            moves = materialize(best_moves(state, hist, sizes, target, allow_singleton),
-                                "ls_moves")
-        cost, n_cand, moved_last = state_cost(hist, state, sizes, n_edges, moves)
-        release(hist)
-        rounds.append((rnd - 1, cost, moved_last))
-        if simultaneous and (best[0] is None or cost < best[0]):
-            if best[1] is not None and best[1] is not state:
-                release(best[1])
-            best = (cost, state)
-        if moves is None or n_cand == 0:
-            release(moves)
+        sizes = store(cluster_sizes(state.df), "ls_sizes")
+        vertex = store(vertex_moves(state.df, neighbour_clusters(adj.df, state.df), sizes.df,
+                                    target, allow_singleton), "ls_vertex")
+        cost, n_cand = state_cost(vertex.df, sizes.df, n_edges)
+        sizes.drop()
+        rounds.append((rnd - 1, cost, moved))
+        superseded = None
+        if simultaneous:
+            if best is None or cost < best[0]:
+                superseded = best[1] if best else None
+                best = (cost, state)
+        if superseded is not None:
+            superseded.drop()
+        stopped = n_cand == 0
+        if stopped or rnd > max_iter:
+            vertex.drop()
             break
-        movers = moves
+        movers, used = improving(vertex.df), [vertex]
         if not simultaneous:
-            movers = independent_set(moves, adj, seed, rnd, compete)
+            free, more = _independent(movers, adj.df, seed, rnd, compete)
+            used += [store(free, "ls_indep"), *more]
+            movers = used[1].df
             if guard:
-                # movers are a subset of the n_cand candidates
-                movers = guard_moves(materialize(movers, "ls_indep"), guard, rows_bound=n_cand)
-        nxt = materialize(apply_moves(state, movers, flag=True), "ls_state")
-        if not (simultaneous and best[1] is state):
-            release(state)
-        release(moves)
+                movers, more = _guarded(movers, guard)
+                used += more
+        after, more = _applied(state.df, movers, True)
+        nxt = store(after, "ls_state")
+        moved = nxt.df.where("moved").count()
+        for table in [*used, *more]:
+            table.drop()
+        if best is None or best[1] is not state:
+            state.drop()
         state = nxt
-    release(adj); release(canon)
-
-    if simultaneous:
-        if best[1] is not state:
-            release(state)
+    adj.drop()
+    if best is not None and best[1] is not state:
+        state.drop()
         state = best[1]
-    return SearchResult(state.select("vid", "cid"), rounds)
+    return SearchResult(state.df.select("vid", "cid"), rounds, stopped)
 
 
 def refine_within_clusters(edges: DataFrame, assign: DataFrame, max_iter: int = 10,

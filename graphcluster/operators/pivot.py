@@ -13,9 +13,10 @@ edge between two unassigned vertices in both directions, plus one self row
 * shrink:  rows touching a vertex assigned this round are dropped, so the
            work of a round is proportional to what is still unclustered.
 
-The pivots and the new assignments are vertex sets; they are counted after
-their checkpoint and broadcast only when that count fits the session's
-broadcast threshold, otherwise the joins stay shuffle joins.
+The pivots and the new labels of a round are written as vertex-sized tables
+before they are joined to the adjacency: they are computed once, the planner
+knows their sizes, and both sides of each join are shuffled for it, so a hub's
+rows can be split.
 
 The pivot set equals that of sequential PIVOT in ``(prio, id)`` order.  With
 ``tie='min_prio'`` each non-pivot is finally re-attached to its lowest-priority
@@ -29,36 +30,43 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphcluster.functions.packing import pack, packed_id
 from graphcluster.functions.priority import beats, hash_priority
 from graphcluster.operators.graph import canonical_edges, neighbours, vertices_of
 from graphcluster.operators.rank import group_rank
-from graphcluster.plans.loop import (
-    materialize, materialize_split, path_exists, release, release_path,
-)
+from graphcluster.plans.loop import Stored, store
 
 ORDERS = ("hash", "permutation")
 TIES = ("min_id", "min_prio")
 
+
+def _draw(seed: int, order: str, method: str):
+    parts = [F.lit(seed), "vid"] if order == "hash" else [F.lit(seed), F.lit("perm"), "vid"]
+    return hash_priority(*parts, method=method)
+
+
 def permutation_rank(vertices: DataFrame, seed: int = 0, partitions: int | None = None,
-                     window_rows: int | None = None) -> DataFrame:
+                     method: str = "md5") -> DataFrame:
     """A seeded random permutation: ``(vid, rank)`` with ranks ``1..N``.
 
     The draw is a hash of ``(seed, 'perm', vid)``; the rank is a distributed
     zipWithIndex over ``(draw, vid)`` (``group_rank`` with one group), so no
     task ever holds more than one range partition.
     """
-    draws = vertices.select("vid", hash_priority(F.lit(seed), F.lit("perm"), "vid").alias("draw"))
-    ranked = group_rank(draws, [F.lit(0)], ["draw", "vid"], "rank", partitions, window_rows)
-    return ranked.select("vid", "rank")
+    draws = vertices.select("vid", _draw(seed, "permutation", method).alias("draw"))
+    return group_rank(draws, [F.lit(0)], ["draw", "vid"], "rank", partitions).select("vid", "rank")
+
 
+def pivot_priorities(vertices: DataFrame, order: str = "hash", seed: int = 0,
+                     method: str = "md5") -> DataFrame:
+    """``(vid, prio)`` for the chosen PIVOT order.
 
-def pivot_priorities(vertices: DataFrame, order: str = "hash", seed: int = 0) -> DataFrame:
-    """``(vid, prio)`` for the chosen PIVOT order."""
-    if order == "hash":
-        return vertices.select("vid", hash_priority(F.lit(seed), "vid").alias("prio"))
-    if order == "permutation":
-        return permutation_rank(vertices, seed).select("vid", F.col("rank").alias("prio"))
-    raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
+    PIVOT only compares priorities, so for a permutation the draw itself serves:
+    ``(draw, vid)`` orders the vertices as their ranks would.
+    """
+    if order not in ORDERS:
+        raise ValueError(f"order must be one of {ORDERS}, got {order!r}")
+    return vertices.select("vid", _draw(seed, order, method).alias("prio"))
 
 
 def active_adjacency(edges: DataFrame, prio: DataFrame) -> DataFrame:
@@ -88,25 +96,23 @@ def pivot_assign(active: DataFrame, pivots: DataFrame) -> DataFrame:
             .select(F.col("nbr").alias("vid"), "cid"))
 
 
-def pivot_round(active: DataFrame, rnd: int) -> DataFrame:
-    """One PIVOT round as one table: new labels (``kind='f'``) and the active
-    rows that survive them (``kind='a'``)."""
-    fresh = pivot_assign(active, pivot_select(active))
-    gone = fresh.select("vid")
-    kept = (active.join(gone, "vid", "left_anti")
-            .join(gone.select(F.col("vid").alias("nbr")), "nbr", "left_anti"))
-    none = F.lit(None).cast("bigint")
-    return (kept.select("vid", "vprio", "nbr", "nprio", none.alias("cid"),
-                        none.cast("int").alias("rnd"), F.lit("a").alias("kind"))
-            .unionByName(fresh.select("vid", none.alias("vprio"), none.alias("nbr"),
-                                      none.alias("nprio"), "cid", F.lit(rnd).alias("rnd"),
-                                      F.lit("f").alias("kind"))))
+def pivot_round(active: DataFrame) -> tuple[Stored, Stored]:
+    """One PIVOT round: the new labels ``(vid, cid)`` and the active rows that survive them."""
+    pivots = store(pivot_select(active), "pivots")
+    fresh = store(pivot_assign(active, pivots.df), "fresh")
+    gone = fresh.df.select("vid")
+    kept = store(active.join(gone, "vid", "left_anti")
+                 .join(gone.select(F.col("vid").alias("nbr")), "nbr", "left_anti")
+                 .select("vid", "vprio", "nbr", "nprio"), "active")
+    pivots.drop()
+    return fresh, kept
 
 
 @dataclass
 class PivotResult:
     assign: DataFrame          # (vid, cid)
     rounds: list[tuple[int, int, int]]   # (round, pivots, assigned)
+    table: Stored              # the table behind ``assign``; the caller may drop it
 
     def history(self, spark) -> DataFrame:
         return spark.createDataFrame(
@@ -115,7 +121,7 @@ class PivotResult:
 
 def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: str = "hash",
                   seed: int = 0, tie: str = "min_id", canonical: bool = False,
-                  priorities: DataFrame | None = None) -> PivotResult:
+                  priorities: DataFrame | None = None, method: str = "md5") -> PivotResult:
     """Cluster an undirected graph with parallel PIVOT.
 
     ``edges`` may hold duplicates, reversed pairs and self-loops; they are
@@ -125,79 +131,62 @@ def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: st
     unassigned vertex).  ``canonical=True`` skips canonicalisation for edges
     that are already simple with ``src < dst``.  ``priorities(vid, prio)``
     replaces the ``order`` draw with given ranks (it must cover every vertex).
+    ``method`` is the hash of the draw (see ``hash_priority``).
     """
     if tie not in TIES:
         raise ValueError(f"tie must be one of {TIES}, got {tie!r}")
-    canon = (edges.select("src", "dst") if canonical
-             else materialize(canonical_edges(edges), "edges"))
+    used: list[Stored] = []
+    if canonical:
+        canon = edges.select("src", "dst")
+    else:
+        used.append(store(canonical_edges(edges), "edges"))
+        canon = used[-1].df
     verts = vertices_of(edges, vertices)
     if priorities is not None:
         given = priorities.select(F.col("vid").cast("bigint"), F.col("prio").cast("bigint"))
-        prio = materialize(verts.join(given, "vid", "left"), "prio")
-        if not prio.where(F.col("prio").isNull()).isEmpty():
+        used.append(store(verts.join(given, "vid", "left"), "prio"))
+        if not used[-1].df.where(F.col("prio").isNull()).isEmpty():
             raise ValueError("priorities must cover every vertex")
     else:
-        prio = materialize(pivot_priorities(verts, order, seed), "prio")
-    active = materialize(active_adjacency(canon, prio), "active")
-
-    # One write per round: the shrunk active adjacency (kind 'a') and the
-    # vertices assigned in the round (kind 'f') land in one partitioned table;
-    # the adjacency folder is deleted when the next round supersedes it.  A
-    # partitioned write makes no folder for an empty value, so the loop ends
-    # when no 'kind=a' folder appears -- no count job per round.
-    folders: list[str] = []
-    rnd = 0
-    remaining = not active.isEmpty()
-    while remaining:
-        rnd += 1
-        path, table = materialize_split(pivot_round(active, rnd), "kind", "pivot_round")
-        folders.append(path)
-        if rnd == 1:
-            release(active)
-        else:
-            release_path(f"{folders[-2]}/kind=a")
-        remaining = path_exists(f"{path}/kind=a")
-        active = table.where(F.col("kind") == "a").select("vid", "vprio", "nbr", "nprio")
-    if folders:
-        release_path(f"{folders[-1]}/kind=a")
-    else:
-        release(active)
-
-    spark = edges.sparkSession
-    schema = "vid BIGINT, cid BIGINT, rnd INT"
-    tagged = prio.select("vid", F.col("vid").alias("cid"), F.lit(0).alias("rnd")).where(
-        F.lit(False))
-    for path in folders:
-        tagged = tagged.unionByName(spark.read.schema(schema).parquet(f"{path}/kind=f"))
-    tagged = materialize(tagged, "pivot_rounds")
-    for path in folders:
-        release_path(path)
+        used.append(store(pivot_priorities(verts, order, seed, method), "prio"))
+    prio = used[-1].df
+
+    active = store(active_adjacency(canon, prio), "active")
+    done: list[Stored] = []
+    while not active.df.isEmpty():
+        fresh, kept = pivot_round(active.df)
+        active.drop()
+        active = kept
+        done.append(fresh)
+    active.drop()
+    tagged = prio.select("vid", F.col("vid").alias("cid"), F.lit(0).alias("rnd")).where(F.lit(False))
+    for rnd, fresh in enumerate(done, 1):
+        tagged = tagged.unionByName(fresh.df.select("vid", "cid", F.lit(rnd).alias("rnd")))
+    result = store(tagged, "pivot_rounds")
     # per-round statistics in one small aggregate (one row per round)
-    stats = (tagged.groupBy("rnd")
+    stats = (result.df.groupBy("rnd")
              .agg(F.count(F.when(F.col("vid") == F.col("cid"), 1)).alias("p"),
                   F.count("*").alias("n"))
              .orderBy("rnd").collect())
     rounds = [(int(r["rnd"]), int(r["p"]), int(r["n"])) for r in stats]
-
-    assign = tagged.select("vid", "cid")
     if tie == "min_prio":
-        assign = materialize(reattach_min_prio(canon, prio, assign), "pivot")
-        release(tagged)
-    release(prio)
-    if not canonical:
-        release(canon)
-    return PivotResult(assign, rounds)
+        done.append(result)
+        result = store(reattach_min_prio(canon, prio, result.df.select("vid", "cid"), used), "pivot")
+    for table in [*done, *used]:
+        table.drop()
+    return PivotResult(result.df.select("vid", "cid"), rounds, result)
 
 
-def reattach_min_prio(canon: DataFrame, prio: DataFrame, assign: DataFrame) -> DataFrame:
-    """Give every non-pivot its lowest-priority adjacent pivot (sequential PIVOT labels)."""
+def reattach_min_prio(canon: DataFrame, prio: DataFrame, assign: DataFrame,
+                      used: list[Stored]) -> DataFrame:
+    """Give every non-pivot its lowest-priority adjacent pivot (sequential PIVOT
+    labels); the tables behind the result are added to ``used``."""
     pivots = assign.where(F.col("vid") == F.col("cid")).select("vid")
-    pp = prio.join(pivots, "vid", "left_semi").select(
-        F.col("vid").alias("nbr"), F.col("prio").alias("nprio"))
-    best = (neighbours(canon).join(pp, "nbr")
-            .groupBy("vid").agg(F.min(F.struct(F.col("nprio").alias("p"),
-                                               F.col("nbr").alias("v"))).alias("m"))
-            .select("vid", F.col("m.v").alias("best")))
-    return (assign.join(best, "vid", "left")
+    used.append(store(prio.join(pivots, "vid", "left_semi").select(
+        F.col("vid").alias("nbr"), F.col("prio").alias("nprio")), "pivot-prio"))
+    used.append(store(neighbours(canon).join(used[-1].df, "nbr")
+                      .groupBy("vid").agg(F.min(pack(F.col("nprio"), F.col("nbr"))).alias("m"))
+                      .select("vid", packed_id(F.col("m")).alias("best")), "best-pivot"))
+    return (assign.join(used[-1].df, "vid", "left")
             .select("vid", F.when(F.col("vid") == F.col("cid"), F.col("cid"))
                     .otherwise(F.col("best")).alias("cid")))

@@ -6,10 +6,6 @@ a group to one task, which fails when one group holds a third of the data.
 over many partitions -- numbers rows inside each partition, and adds for
 each (group, partition) the count of the same group's rows in earlier
 partitions.  The only window runs over one row per (group, partition).
-
-When the largest group is small (a counted bound, ``window_rows``), a plain
-window is safe -- its buffer never exceeds that many rows -- and cheaper, so
-the distributed path is only taken for groups above the bound.
 """
 
 from __future__ import annotations
@@ -17,57 +13,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphcluster.plans.loop import materialize, release, shuffle_partitions
+from graphcluster.plans.loop import Stored, shuffle_partitions, store
 
 # Low bits of monotonically_increasing_id() hold the row index inside a partition.
 _LOCAL_BITS = 33
-# Largest group a plain window may buffer in one task.
-WINDOW_ROWS = 1_000_000
 
 
 def group_rank(df: DataFrame, group: list[str | Column], order: list[str | Column],
-               name: str = "rank", partitions: int | None = None,
-               window_rows: int | None = None, rows_bound: int | None = None) -> DataFrame:
+               name: str = "rank", partitions: int | None = None) -> DataFrame:
     """``df`` plus ``name`` = 1-based position of the row inside its group in
     ``order`` (which must be a total order inside the group).  Group keys
-    must not be NULL.  ``window_rows`` defaults to ``WINDOW_ROWS``;
-    ``rows_bound``: a known upper bound of ``df``'s row count, which saves
-    the group-size count when it is below ``window_rows``."""
+    must not be NULL."""
+    return ranked_table(df, group, order, name, partitions).df
+
+
+def ranked_table(df: DataFrame, group: list[str | Column], order: list[str | Column],
+                 name: str = "rank", partitions: int | None = None) -> Stored:
+    """``group_rank`` as a table the caller may drop."""
     gcols = [F.col(g) if isinstance(g, str) else g for g in group]
     keys = [F.col(k) if isinstance(k, str) else k for k in order]
     gnames = [f"_g{i}" for i in range(len(gcols))]
     with_keys = df.select("*", *[g.alias(n) for g, n in zip(gcols, gnames)])
-    if window_rows is None:
-        window_rows = WINDOW_ROWS
-    if rows_bound is not None and rows_bound <= window_rows:
-        biggest = rows_bound
-    else:
-        biggest = with_keys.groupBy(*gnames).count().agg(F.max("count")).first()[0] or 0
-    if biggest <= window_rows:
-        w = Window.partitionBy(*gnames).orderBy(*keys)
-        return with_keys.select(*df.columns, F.row_number().over(w).cast("bigint").alias(name))
-    return _distributed_rank(df, with_keys, gnames, keys, name,
-                             partitions or shuffle_partitions(df))
-
-
-def _distributed_rank(df: DataFrame, with_keys: DataFrame, gnames: list[str],
-                      keys: list[Column], name: str, n_parts: int) -> DataFrame:
-    ranged = (with_keys.repartitionByRange(n_parts, *[F.col(n) for n in gnames], *keys)
-              .sortWithinPartitions(*[F.col(n) for n in gnames], *keys)
-              .select("*", F.spark_partition_id().alias("_part"),
-                      F.monotonically_increasing_id()
-                      .bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_pos")))
-    # Range bounds come from sampling: materialize so every use sees one layout.
-    ranged = materialize(ranged, "rank")
-    chunks = ranged.groupBy(*gnames, "_part").agg(F.min("_pos").alias("_first"),
-                                                  F.count("*").alias("_k"))
+    by = [*map(F.col, gnames), *keys]
+    # Range bounds come from sampling: written, so every use sees one layout.
+    ranged = store(with_keys.repartitionByRange(partitions or shuffle_partitions(df), *by)
+                   .sortWithinPartitions(*by)
+                   .select("*", F.spark_partition_id().alias("_part"),
+                           F.monotonically_increasing_id()
+                           .bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_pos")), "ranged")
+    chunks = ranged.df.groupBy(*gnames, "_part").agg(F.min("_pos").alias("_first"),
+                                                     F.count("*").alias("_k"))
     before = Window.partitionBy(*gnames).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1)
     chunks = chunks.select(*gnames, "_part", "_first",
                            F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_offset"))
-    out = ranged.join(chunks, [*gnames, "_part"]).select(
+    out = ranged.df.join(chunks, [*gnames, "_part"]).select(
         *df.columns,
         (F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint").alias(name))
-    result = materialize(out, "ranked")
-    release(ranged)
+    result = store(out, "ranked")
+    ranged.drop()
     return result

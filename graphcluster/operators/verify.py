@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from graphcluster.operators.cost import vertex_disagreement
 from graphcluster.operators.graph import canonical_edges, vertices_of
+from graphcluster.plans.loop import materialize
 
 
 def _one_row(parts: dict[str, DataFrame]) -> DataFrame:
@@ -26,25 +27,42 @@ def _one_row(parts: dict[str, DataFrame]) -> DataFrame:
 
 
 def verify_clustering(edges: DataFrame, assign: DataFrame) -> DataFrame:
-    """``(duplicates, missing, unknown, valid, disagreements)``.
+    """``(duplicates, missing, unknown, unassigned, valid, disagreements)``.
 
     duplicates: solution rows whose vertex already appeared; missing: graph
-    vertices without a row; unknown: rows for vertices not in the graph.
-    ``disagreements`` is computed only for a valid solution (else NULL).
+    vertices without a row; unknown: distinct ids that aren't in the graph;
+    unassigned: rows whose vertex or label is NULL.  ``disagreements`` is
+    computed for a valid solution only (else NULL), on one row per vertex, so
+    that repeated rows never multiply in a join.
     """
-    verts = vertices_of(edges)
     sol = assign.select("vid", "cid")
-    sol_ids = sol.select("vid").distinct()
-    dup = sol.groupBy("vid").agg(F.count("*").alias("k")).agg(
-        F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("duplicates"))
-    missing = verts.join(sol_ids, "vid", "left_anti").agg(F.count("*").alias("missing"))
-    unknown = sol_ids.join(verts, "vid", "left_anti").agg(F.count("*").alias("unknown"))
-    cost = vertex_disagreement(canonical_edges(edges), sol).agg(
-        (F.coalesce(F.sum("disagreement"), F.lit(0)) / 2).cast("bigint").alias("cost"))
-    row = _one_row({"duplicates": dup, "missing": missing, "unknown": unknown, "cost": cost})
-    valid = (F.col("duplicates") == 0) & (F.col("missing") == 0) & (F.col("unknown") == 0)
-    return row.select("duplicates", "missing", "unknown", valid.alias("valid"),
-                      F.when(valid, F.col("cost")).alias("disagreements"))
+    one = F.lit(1).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    rows = (vertices_of(edges).select("vid", one.alias("graph"), zero.alias("rows"), zero.alias("nulls"))
+            .unionByName(sol.select("vid", zero.alias("graph"), one.alias("rows"),
+                                    (F.col("vid").isNull() | F.col("cid").isNull()).cast("bigint").alias("nulls"))))
+    per = rows.groupBy("vid").agg(*[F.sum(c).alias(c) for c in ("graph", "rows", "nulls")])
+    named = F.col("vid").isNotNull()
+    found = per.agg(*[F.coalesce(F.sum(x), F.lit(0)).cast("bigint").alias(n) for n, x in (
+        ("duplicates", F.when(named & (F.col("rows") > 1), F.col("rows") - 1)),
+        ("missing", F.when(named & (F.col("rows") == 0), 1)),
+        ("unknown", F.when(named & (F.col("graph") == 0), 1)),
+        ("unassigned", F.col("nulls")))])
+    once = materialize(sol.where(F.col("vid").isNotNull() & F.col("cid").isNotNull())
+                       .groupBy("vid").agg(F.min("cid").alias("cid")), "solution")
+    cost = vertex_disagreement(canonical_edges(edges), once).agg(
+        F.coalesce(F.sum(F.col("disagreement").cast("decimal(38,0)")), F.lit(0)).alias("twice"))
+    names = ["duplicates", "missing", "unknown", "unassigned"]
+    none = F.lit(None)
+    row = (found.select(*names, none.cast("decimal(38,0)").alias("twice"))
+           .unionByName(cost.select(*[none.cast("bigint").alias(n) for n in names],
+                                    F.col("twice").cast("decimal(38,0)").alias("twice")))
+           .agg(*[F.max(n).alias(n) for n in [*names, "twice"]]))
+    valid = F.lit(True)
+    for n in names:
+        valid = valid & (F.col(n) == 0)
+    return row.select(*names, valid.alias("valid"),
+                      F.when(valid, F.expr("twice div 2")).cast("bigint").alias("disagreements"))
 
 
 def verify_matching(edges: DataFrame, matching: DataFrame) -> DataFrame:

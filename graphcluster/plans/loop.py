@@ -1,99 +1,81 @@
-"""Helpers for driver loops over DataFrames.
+"""Written intermediate tables.
 
-Every round of PIVOT and local search builds one lazy plan from the previous
-round's state.  Without a cut the plan (and the recovery lineage) grows with
-the round number, so each state is written as a Parquet table into the
-session's checkpoint folder (a shared filesystem on a cluster) and read back:
-a lost executor re-reads the files instead of replaying earlier rounds.
+Iterative operators build one lazy plan from the previous round's state.
+Without a cut the plan (and the recovery lineage) grows with the round number,
+so each state is written as a Parquet table into the session's checkpoint
+folder (a shared filesystem on a cluster) and read back: a lost executor
+re-reads the files instead of replaying earlier rounds.
 
 A written table beats ``DataFrame.checkpoint()`` here: the plan is computed
-once (a reliable checkpoint of an uncached plan computes it twice), the data
-is columnar and compressed, and the re-read scan carries exact file sizes, so
-the planner's broadcast decisions rest on measured sizes.  Tables that a loop
-has superseded are deleted with ``release``.  Only small per-round statistics
-reach the driver, never vertices or clusters.
+once, the data is columnar and compressed, and the re-read scan carries exact
+file sizes, so the planner's broadcast decisions rest on measured sizes.
+
+Tables also make hot keys splittable.  Adaptive execution splits a skewed join
+only if *both* sides are shuffled for it; an aggregate on the join key reuses
+its own shuffle and is not.  So the small aggregated side of a join on a hot
+key (hubs, labels, cluster sizes, pivots) is written first.  A join that feeds
+an aggregate on the same key is split only if the session allows the extra
+shuffle, which ``store`` sets while it writes.
+
+A ``Stored`` is the only handle to a table: whoever holds it may ``drop`` it;
+nothing is ever deleted by way of a DataFrame.  Tables that back a lazily
+returned DataFrame stay in the checkpoint folder with the application.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 
 from graphcluster.session import scratch_dir
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and return the re-read table."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    _PATHS[id(out)] = path
-    return out
+FORCE_SPLIT = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 
-_PATHS: dict[int, str] = {}
+@contextmanager
+def split_skew(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, skewed joins are split even if that costs a shuffle."""
+    before = spark.conf.get(FORCE_SPLIT, "false")
+    spark.conf.set(FORCE_SPLIT, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FORCE_SPLIT, before)
 
 
-def materialize_split(df: DataFrame, by: str, name: str = "table") -> tuple[str, DataFrame]:
-    """Write ``df`` partitioned by the low-cardinality column ``by`` (one job, one
-    folder per value); returns the folder and the re-read table.  A value's
-    folder can later be deleted alone with ``release_path(f"{path}/{by}=v")``."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.mode("overwrite").partitionBy(by).parquet(path)
-    return path, spark.read.schema(df.schema).parquet(path)
+@dataclass(frozen=True)
+class Stored:
+    """A written table."""
+    df: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        release_path(self.df.sparkSession, self.path)
 
 
-def materialize_bucketed(df: DataFrame, column: str, name: str = "table",
-                         buckets: int | None = None) -> DataFrame:
-    """Write ``df`` as a table bucketed (hash-partitioned) by ``column`` into the
-    checkpoint folder.  Joins and aggregations on ``column`` then read it
-    without a shuffle; only the other side is shuffled into the same buckets.
-    Drop it with ``release``."""
-    import uuid
+def store(df: DataFrame, name: str = "table") -> Stored:
+    """Write ``df`` as Parquet under the checkpoint folder; the handle reads it back."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    table = f"gc_{name}_{uuid.uuid4().hex}"
-    n = buckets or shuffle_partitions(df)
-    # one task per bucket, so each bucket is one file (not tasks x buckets files)
-    (df.repartition(n, column).write.mode("overwrite").option("path", path)
-     .bucketBy(n, column).sortBy(column).saveAsTable(table))
-    out = spark.table(table)
-    _PATHS[id(out)] = path
-    _TABLES[id(out)] = table
-    return out
+    with split_skew(spark):
+        df.write.mode("overwrite").parquet(path)
+    return Stored(spark.read.schema(df.schema).parquet(path), path)
 
 
-_TABLES: dict[int, str] = {}
-
-
-def path_exists(path: str) -> bool:
-    """Whether a folder exists (a metadata call, no Spark job)."""
-    from pyspark import SparkContext
-    sc = SparkContext.getOrCreate()
-    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """A written table that stays with the application."""
+    return store(df, name).df
 
 
-def release_path(path: str) -> None:
+def release_path(spark: SparkSession, path: str) -> None:
     """Delete a folder written by this module (missing folders are ignored)."""
-    from pyspark import SparkContext
-    sc = SparkContext.getOrCreate()
+    sc = spark.sparkContext
     hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def release(df: DataFrame | None) -> None:
-    """Delete the files of a table made by ``materialize`` (no-op for others)."""
-    if df is None:
-        return
-    table = _TABLES.pop(id(df), None)
-    if table is not None:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    path = _PATHS.pop(id(df), None)
-    if path is None:
-        return
-    release_path(path)
-
-
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

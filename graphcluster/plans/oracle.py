@@ -10,7 +10,7 @@ composed (graph -> PIVOT -> local search -> cost).
 from __future__ import annotations
 
 from graphcluster.functions.priority import sql_hash_priority as H
-from graphcluster.sources.tables import MIN_SENTENCE_CHARS, SENTENCE_SPLIT
+from graphcluster.sources.tables import SENTENCE_SPLIT
 
 
 class Sql:
@@ -41,7 +41,7 @@ class Sql:
 # ---------------------------------------------------------------------------
 # graphs
 
-def star_edges(q: Sql, name: str, members_sql: str, min_shared: int = 1, seed: int = 0) -> str:
+def star_edges(q: Sql, name: str, members_sql: str, seed: int = 0) -> str:
     """``members_sql`` yields (item BIGINT, basket VARCHAR); adds CTE ``name``(src, dst)."""
     m = q.add(f"{name}_m", f"SELECT DISTINCT item, basket FROM ({members_sql}) "
                            "WHERE item IS NOT NULL AND basket IS NOT NULL", True)
@@ -51,29 +51,29 @@ def star_edges(q: Sql, name: str, members_sql: str, min_shared: int = 1, seed: i
     return q.add(name,
                  f"SELECT least(m.item, h.hub) AS src, greatest(m.item, h.hub) AS dst "
                  f"FROM {m} m JOIN {h} h ON m.basket = h.basket WHERE m.item <> h.hub "
-                 f"GROUP BY 1, 2 HAVING count(*) >= {int(min_shared)}", True)
+                 "GROUP BY 1, 2", True)
 
 
-def parts_graph(q: Sql, name: str = "gp", min_shared: int = 1, seed: int = 0) -> str:
+def parts_graph(q: Sql, name: str = "gp", seed: int = 0) -> str:
     members = ("SELECT CAST(l_partkey AS BIGINT) AS item, CAST(l_orderkey AS VARCHAR) AS basket "
                "FROM lineitem")
-    return star_edges(q, name, members, min_shared, seed)
+    return star_edges(q, name, members, seed)
 
 
-def users_graph(q: Sql, name: str = "gu", min_shared: int = 1, seed: int = 0) -> str:
+def users_graph(q: Sql, name: str = "gu", seed: int = 0) -> str:
     members = ("SELECT CAST(user_id AS BIGINT) AS item, "
                "concat_ws(':', event_type, strftime(ts, '%Y-%m-%d %H')) AS basket FROM events")
-    return star_edges(q, name, members, min_shared, seed)
+    return star_edges(q, name, members, seed)
 
 
-def documents_graph(q: Sql, name: str = "gd", min_shared: int = 1, seed: int = 0) -> str:
+def documents_graph(q: Sql, name: str = "gd", seed: int = 0) -> str:
     split = SENTENCE_SPLIT.replace("'", "''")
     sent = q.add(f"{name}_s",
                  "SELECT doc_id, trim(s) AS sentence FROM ("
                  f"SELECT doc_id, unnest(regexp_split_to_array(text, '{split}')) AS s FROM documents"
-                 f") WHERE length(trim(s)) >= {MIN_SENTENCE_CHARS}")
+                 ") WHERE length(trim(s)) >= 1")
     members = f"SELECT CAST(doc_id AS BIGINT) AS item, md5(sentence) AS basket FROM {sent}"
-    return star_edges(q, name, members, min_shared, seed)
+    return star_edges(q, name, members, seed)
 
 
 GRAPHS = {"gp": parts_graph, "gu": users_graph, "gd": documents_graph}
@@ -173,7 +173,7 @@ def cost_row(q: Sql, edges: str, state: str, name: str) -> str:
   FROM (SELECT CAST(count(*) AS BIGINT) AS k,
                CAST(COALESCE(sum(CASE WHEN s.cid = d.cid THEN 1 ELSE 0 END), 0) AS BIGINT) AS inside
         FROM {edges} x JOIN {state} s ON s.vid = x.src JOIN {state} d ON d.vid = x.dst) e,
-       (SELECT CAST(COALESCE(sum(n * (n - 1) / 2), 0) AS BIGINT) AS pairs
+       (SELECT CAST(COALESCE(sum(n * (n - 1) // 2), 0) AS BIGINT) AS pairs
         FROM (SELECT cid, count(*) AS n FROM {state} GROUP BY cid)) p""")
 
 

@@ -28,6 +28,7 @@ from graphcluster.sources import tables as T
 
 SEED = 0
 LS_ROUNDS = 2
+STOP_ROUNDS = 24   # more than the documents graph needs until nothing improves
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +74,14 @@ def _broken_assign(a: DataFrame) -> DataFrame:
                          .select((-F.col("vid") - 1).alias("vid"), "cid")))
 
 
+def _unassigned(a: DataFrame) -> DataFrame:
+    """The clustering with the label of each cluster's first non-pivot member lost."""
+    first = a.where(F.col("vid") != F.col("cid")).groupBy("cid").agg(F.min("vid").alias("_lost"))
+    return (a.join(first, "cid", "left")
+            .select("vid", F.when(F.col("_lost").isNull() | (F.col("vid") != F.col("_lost")),
+                                  F.col("cid")).alias("cid")))
+
+
 def _broken_matching(m: DataFrame, e: DataFrame) -> DataFrame:
     """A damaged matching: every pair twice, plus one reversed non-graph pair per
     matched vertex pair (dst, src + 1) when that is not an edge."""
@@ -339,6 +348,48 @@ def q_cluster_job_inner(spark, sf):
     return cluster(_gp(spark, sf), "hash", "inner", LS_ROUNDS, SEED, canonical=True).assign
 
 
+def q_verify_clustering_unassigned(spark, sf):
+    e, a = _pivot(spark, sf)
+    return verify_clustering(e, _unassigned(a))
+
+
+def q_cluster_job_permutation(spark, sf):
+    return cluster(_gp(spark, sf), "permutation", "regular", LS_ROUNDS, SEED, canonical=True).assign
+
+
+def q_cluster_job_csv(spark, sf):
+    """The whole job on raw input: star rows in both directions, with repeats and
+    self-loops, as CSV; read, clustered, written and read back."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey")
+    raw = T.star_rows(li, "l_partkey", "l_orderkey", SEED)
+    both = raw.unionByName(raw.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    given, found = scratch_dir(spark, "raw-csv"), scratch_dir(spark, "clusters-csv")
+    both.write.mode("overwrite").csv(given)
+    IO.write_assignments(cluster(IO.read_edges(spark, given), "hash", "regular", LS_ROUNDS, SEED).assign, found)
+    return IO.read_assignments(spark, found)
+
+
+def q_cluster_job_gd_all(spark, sf):
+    """Every document gets a cluster, also those that share no sentence."""
+    e = materialize(T.documents_graph(spark, sf, seed=SEED))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("vid"))
+    return cluster(e, "hash", "inner", LS_ROUNDS, SEED, canonical=True, vertices=docs).assign
+
+
+def _ls_gd(spark, sf):
+    e = materialize(T.documents_graph(spark, sf, seed=SEED))
+    return L.local_search(e, P.pivot_cluster(e, seed=SEED, canonical=True).assign, STOP_ROUNDS, SEED, canonical=True)
+
+
+def q_ls_gd_stop(spark, sf):
+    """The search on the documents graph until no vertex has an improving move."""
+    return _ls_gd(spark, sf).assign
+
+
+def q_ls_gd_stop_history(spark, sf):
+    return _ls_gd(spark, sf).history(spark)
+
+
 # ---------------------------------------------------------------------------
 # the oracle side
 
@@ -379,21 +430,24 @@ def _sql_broken(pv: str) -> str:
 def _sql_verify_clustering(q, g, sol: str) -> str:
     v = O.vertices(q, g)
     adj = O.adjacency(q, g)
+    once = q.add("sol_once", f"SELECT vid, min(cid) AS cid FROM {sol} "
+                             "WHERE vid IS NOT NULL AND cid IS NOT NULL GROUP BY vid", True)
     return q.render(f"""
-SELECT duplicates, missing, unknown, valid, CASE WHEN valid THEN cost END AS disagreements FROM (
-  SELECT d.duplicates, m.missing, u.unknown,
-         (d.duplicates = 0 AND m.missing = 0 AND u.unknown = 0) AS valid, c.cost
+SELECT duplicates, missing, unknown, unassigned, valid, CASE WHEN valid THEN cost END AS disagreements FROM (
+  SELECT d.duplicates, m.missing, u.unknown, n.unassigned,
+         (d.duplicates = 0 AND m.missing = 0 AND u.unknown = 0 AND n.unassigned = 0) AS valid, c.cost
   FROM (SELECT CAST(COALESCE(sum(k - 1), 0) AS BIGINT) AS duplicates
-        FROM (SELECT vid, count(*) AS k FROM {sol} GROUP BY vid)) d,
-       (SELECT count(*) AS missing FROM {v} WHERE vid NOT IN (SELECT vid FROM {sol})) m,
-       (SELECT count(*) AS unknown FROM (SELECT DISTINCT vid FROM {sol})
-        WHERE vid NOT IN (SELECT vid FROM {v})) u,
-       (SELECT CAST(floor(COALESCE(sum(dis), 0) / 2) AS BIGINT) AS cost FROM (
+        FROM (SELECT vid, count(*) AS k FROM {sol} WHERE vid IS NOT NULL GROUP BY vid)) d,
+       (SELECT count(*) AS missing FROM {v} x WHERE NOT EXISTS (SELECT 1 FROM {sol} s WHERE s.vid = x.vid)) m,
+       (SELECT count(*) AS unknown FROM (SELECT DISTINCT vid FROM {sol} WHERE vid IS NOT NULL) s
+        WHERE NOT EXISTS (SELECT 1 FROM {v} x WHERE x.vid = s.vid)) u,
+       (SELECT count(*) AS unassigned FROM {sol} WHERE vid IS NULL OR cid IS NULL) n,
+       (SELECT CAST(COALESCE(sum(dis), 0) // 2 AS BIGINT) AS cost FROM (
           SELECT (z.n - 1 - COALESCE(x.same, 0)) + (COALESCE(x.deg, 0) - COALESCE(x.same, 0)) AS dis
-          FROM {sol} s JOIN (SELECT cid, count(*) AS n FROM {sol} GROUP BY cid) z ON z.cid = s.cid
+          FROM {once} s JOIN (SELECT cid, count(*) AS n FROM {once} GROUP BY cid) z ON z.cid = s.cid
           LEFT JOIN (SELECT a.vid, count(*) AS deg,
                             sum(CASE WHEN sa.cid = sb.cid THEN 1 ELSE 0 END) AS same
-                     FROM {adj} a JOIN {sol} sa ON sa.vid = a.vid JOIN {sol} sb ON sb.vid = a.nbr
+                     FROM {adj} a JOIN {once} sa ON sa.vid = a.vid JOIN {once} sb ON sb.vid = a.nbr
                      GROUP BY a.vid) x ON x.vid = s.vid)) c)""")
 
 
@@ -646,6 +700,54 @@ def sql_verify_clustering_broken():
     return _sql_verify_clustering(q, g, b)
 
 
+def sql_verify_clustering_unassigned():
+    q, g, pv = _qpivot()
+    b = q.add("broken", f"""
+  SELECT a.vid, CASE WHEN f.lost IS NULL OR a.vid <> f.lost THEN a.cid END AS cid FROM {pv} a
+  LEFT JOIN (SELECT cid, min(vid) AS lost FROM {pv} WHERE vid <> cid GROUP BY cid) f ON f.cid = a.cid""", True)
+    return _sql_verify_clustering(q, g, b)
+
+
+def sql_cluster_job_permutation():
+    q, g, pv = _qpivot("permutation")
+    r = O.local_search(q, g, pv, LS_ROUNDS, "ls", SEED)
+    return q.render(f"SELECT vid, cid FROM {r['state']}")
+
+
+def sql_cluster_job_csv():
+    q, g = _q()
+    q.add(f"{g}_v", f"SELECT DISTINCT item AS vid FROM {g}_m", True)  # also vertices with self-loops only
+    r = O.local_search(q, g, O.pivot(q, g, "hash", SEED), LS_ROUNDS, "ls", SEED)
+    return q.render(f"SELECT vid, cid FROM {r['state']}")
+
+
+def sql_cluster_job_gd_all():
+    q = O.Sql()
+    g = O.graph(q, "gd", seed=SEED)
+    q.add(f"{g}_v", "SELECT DISTINCT CAST(doc_id AS BIGINT) AS vid FROM documents", True)
+    pv = O.pivot(q, g, "hash", SEED)
+    inner = q.add("inner_e", f"SELECT e.src, e.dst FROM {g} e JOIN {pv} s ON s.vid = e.src "
+                             f"JOIN {pv} d ON d.vid = e.dst WHERE s.cid = d.cid", True)
+    r = O.local_search(q, inner, pv, LS_ROUNDS, "ls", SEED)
+    return q.render(f"SELECT vid, cid FROM {r['state']}")
+
+
+def _qls_gd():
+    q = O.Sql()
+    g = O.graph(q, "gd", seed=SEED)
+    return q, O.local_search(q, g, O.pivot(q, g, "hash", SEED), STOP_ROUNDS, "ls", SEED)
+
+
+def sql_ls_gd_stop():
+    q, r = _qls_gd()
+    return q.render(f"SELECT vid, cid FROM {r['state']}")
+
+
+def sql_ls_gd_stop_history():
+    q, r = _qls_gd()
+    return q.render(f"SELECT CAST(round AS INTEGER) AS round, cost, moved FROM {r['history']}")
+
+
 def sql_verify_matching():
     q, g = _q()
     return _sql_verify_matching(q, g, O.greedy_matching(q, g, SEED))
@@ -719,6 +821,12 @@ REGISTRY: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "cluster_job_sim": (q_cluster_job_sim, sql_ls(simultaneous=True)),
     "cluster_job_inner": (q_cluster_job_inner, sql_inner_job),
     "cluster_job_inner_gd": (q_cluster_job_inner_gd, sql_inner_job_gd),
+    "verify_clustering_unassigned": (q_verify_clustering_unassigned, sql_verify_clustering_unassigned),
+    "cluster_job_permutation": (q_cluster_job_permutation, sql_cluster_job_permutation),
+    "cluster_job_csv": (q_cluster_job_csv, sql_cluster_job_csv),
+    "cluster_job_gd_all": (q_cluster_job_gd_all, sql_cluster_job_gd_all),
+    "ls_gd_stop": (q_ls_gd_stop, sql_ls_gd_stop),
+    "ls_gd_stop_history": (q_ls_gd_stop_history, sql_ls_gd_stop_history),
 }
 
 

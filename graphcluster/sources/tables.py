@@ -9,12 +9,12 @@ quadratic in the largest basket (one basket may hold a third of all rows).
 Instead each basket is a **star**: every member is linked to the basket's hub,
 the member with the smallest hash of ``(seed, basket, item)``.  The edge count
 is at most the number of (basket, member) rows, every basket stays connected,
-and the hub choice is deterministic and spread evenly.  ``min_shared`` keeps a
-star edge only if it was produced by at least that many baskets.
+and the hub choice is deterministic and spread evenly.
 
 All steps are distinct / grouped aggregates (map-side combined, so a hot
-basket shrinks before the shuffle) and one equi-join on the basket key, which
-AQE splits when one basket is skewed.
+basket shrinks before the shuffle) and one equi-join on the basket key.  The
+members and the hubs are written first, so both sides of that join are
+shuffled for it and adaptive execution can split a hot basket.
 """
 
 from __future__ import annotations
@@ -22,11 +22,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphcluster.functions.packing import pack, packed_id
 from graphcluster.functions.priority import hash_priority
+from graphcluster.operators.graph import canonical_edges
+from graphcluster.plans.loop import materialize
 
 # Sentence splitting for the shared-sentence graph.
 SENTENCE_SPLIT = r"[.!?][ \t\n\r\f]+"
-MIN_SENTENCE_CHARS = 30
 
 
 def _col(c: str | Column) -> Column:
@@ -40,22 +42,18 @@ def star_rows(df: DataFrame, item: str | Column, basket: str | Column, seed: int
                          _col(basket).cast("string").alias("basket"))
                .where(F.col("item").isNotNull() & F.col("basket").isNotNull())
                .distinct())
+    members = materialize(members, "members")
     rank = hash_priority(F.lit(seed), F.col("basket"), F.col("item"))
-    hubs = (members.groupBy("basket")
-            .agg(F.min(F.struct(rank.alias("h"), F.col("item").alias("i"))).alias("m"))
-            .select("basket", F.col("m.i").alias("hub")))
+    hubs = materialize(members.groupBy("basket").agg(F.min(pack(rank, F.col("item"))).alias("m"))
+                       .select("basket", packed_id(F.col("m")).alias("hub")), "hubs")
     return members.join(hubs, "basket").select(F.col("item").alias("src"),
                                                F.col("hub").alias("dst"))
 
 
 def cooccurrence_edges(df: DataFrame, item: str | Column, basket: str | Column,
-                       min_shared: int = 1, seed: int = 0) -> DataFrame:
+                       seed: int = 0) -> DataFrame:
     """Canonical edges ``(src, dst)`` of the basket stars (see module doc)."""
-    star = (star_rows(df, item, basket, seed)
-            .where(F.col("src") != F.col("dst"))
-            .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")))
-    return (star.groupBy("src", "dst").agg(F.count("*").alias("shared"))
-            .where(F.col("shared") >= min_shared).select("src", "dst"))
+    return canonical_edges(star_rows(df, item, basket, seed))
 
 
 def greedy_matching(edges: DataFrame, seed: int = 0) -> DataFrame:
@@ -70,18 +68,18 @@ def greedy_matching(edges: DataFrame, seed: int = 0) -> DataFrame:
     return hits.select(F.col("k.s").alias("src"), F.col("k.d").alias("dst"))
 
 
-def sentences(docs: DataFrame, min_len: int = MIN_SENTENCE_CHARS) -> DataFrame:
-    """``(doc_id, sentence)``: whole texts split on sentence ends, trimmed, long enough."""
+def sentences(docs: DataFrame, min_len: int = 1) -> DataFrame:
+    """``(doc_id, sentence)``: whole texts split on sentence ends, trimmed; pieces
+    without a character are no sentences (``min_len`` may ask for longer ones)."""
     parts = docs.select("doc_id", F.explode(F.split(F.col("text"), SENTENCE_SPLIT)).alias("s"))
     return (parts.select("doc_id", F.trim(F.col("s")).alias("sentence"))
             .where(F.length("sentence") >= min_len))
 
 
-def shared_sentence_edges(docs: DataFrame, min_shared: int = 1,
-                          min_len: int = MIN_SENTENCE_CHARS, seed: int = 0) -> DataFrame:
+def shared_sentence_edges(docs: DataFrame, min_len: int = 1, seed: int = 0) -> DataFrame:
     """Documents linked through sentences they contain verbatim (sentence = basket)."""
     s = sentences(docs, min_len)
-    return cooccurrence_edges(s, "doc_id", F.md5(F.col("sentence")), min_shared, seed)
+    return cooccurrence_edges(s, "doc_id", F.md5(F.col("sentence")), seed)
 
 
 # ---------------------------------------------------------------------------
@@ -91,23 +89,23 @@ def _read(spark, sf_dir: str, table: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols)
 
 
-def parts_graph(spark, sf_dir: str, min_shared: int = 1, seed: int = 0) -> DataFrame:
+def parts_graph(spark, sf_dir: str, seed: int = 0) -> DataFrame:
     """``gp``: parts linked through the orders that contain them."""
     li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
-    return cooccurrence_edges(li, "l_partkey", "l_orderkey", min_shared, seed)
+    return cooccurrence_edges(li, "l_partkey", "l_orderkey", seed)
 
 
-def users_graph(spark, sf_dir: str, min_shared: int = 1, seed: int = 0) -> DataFrame:
+def users_graph(spark, sf_dir: str, seed: int = 0) -> DataFrame:
     """``gu``: users linked through (event type, hour) slots they were active in."""
     ev = _read(spark, sf_dir, "events", "user_id", "event_type", "ts")
     slot = F.concat_ws(":", F.col("event_type"), F.date_format(F.col("ts"), "yyyy-MM-dd HH"))
-    return cooccurrence_edges(ev, "user_id", slot, min_shared, seed)
+    return cooccurrence_edges(ev, "user_id", slot, seed)
 
 
-def documents_graph(spark, sf_dir: str, min_shared: int = 1, seed: int = 0) -> DataFrame:
+def documents_graph(spark, sf_dir: str, seed: int = 0) -> DataFrame:
     """``gd``: documents linked through shared sentences."""
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
-    return shared_sentence_edges(docs, min_shared, seed=seed)
+    return shared_sentence_edges(docs, seed=seed)
 
 
 GRAPHS = {"gp": parts_graph, "gu": users_graph, "gd": documents_graph}

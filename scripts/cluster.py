@@ -3,7 +3,7 @@
     spark-submit scripts/cluster.py pivot={hash,permutation} <edges.csv> <out_dir> \
         <n_ls_iterations> [ls={regular,inner,simultaneous,none}] [--seed N] [--tie T]
         [--target max_overlap|min_delta] [--compete improving|all] [--guard rank|one|off]
-        [--single-file]
+        [--hash md5|xxhash64]
 
 The checkpoint folder comes from ``spark.checkpoint.dir``.  Prints the PIVOT
 rounds, the local-search history and the seconds taken.
@@ -36,7 +36,7 @@ def parse(argv):
     p.add_argument("--target", default="max_overlap", choices=["max_overlap", "min_delta"])
     p.add_argument("--compete", default="improving", choices=["improving", "all"])
     p.add_argument("--guard", default="rank", choices=["rank", "one", "off"])
-    p.add_argument("--single-file", action="store_true")
+    p.add_argument("--hash", default="md5", choices=["md5", "xxhash64"])
     a = p.parse_args(argv)
     a.order = a.pivot.split("=", 1)[-1]
     a.ls_mode = a.ls.split("=", 1)[-1]
@@ -56,13 +56,13 @@ def main(argv=None) -> int:
         options = {"target": a.target, "compete": a.compete,
                    "guard": False if a.guard == "off" else a.guard}
     res = cluster(read_edges(spark, a.input), a.order, a.ls_mode, a.iterations, a.seed, a.tie,
-                  **options)
+                  method=a.hash, **options)
     for r, piv, n in res.pivot_rounds:
         print(f"[pivot] round {r}: {piv} pivots, {n} vertices assigned")
     for r, cost, moved in res.ls_rounds:
         print(f"[local search] round {r}: cost {cost}, moved {moved}")
     print(f"vertices {res.vertices}, seconds {res.seconds:.2f}")
-    write_assignments(res.assign, a.output, single_file=a.single_file)
+    write_assignments(res.assign, a.output)
     spark.stop()
     return 0
 

@@ -19,7 +19,7 @@ from graphcluster.operators import graph as G  # noqa: E402
 from graphcluster.operators import localsearch as L  # noqa: E402
 from graphcluster.operators import pivot as P  # noqa: E402
 from graphcluster.operators.cost import disagreements  # noqa: E402
-from graphcluster.plans.loop import materialize, materialize_bucketed  # noqa: E402
+from graphcluster.plans.loop import materialize  # noqa: E402
 from graphcluster.session import local_session  # noqa: E402
 from graphcluster.sources import tables as T  # noqa: E402
 
@@ -45,10 +45,12 @@ def main() -> None:
     e = materialize(T.parts_graph(spark, sf))
     prio = materialize(P.pivot_priorities(G.vertices_of(e)))
     act = materialize(P.active_adjacency(e, prio))
-    show("one PIVOT round", P.pivot_round(act, 1))
+    pivots = materialize(P.pivot_select(act))
+    show("pivots of a round", P.pivot_select(act))
+    show("new labels of a round", P.pivot_assign(act, pivots))
     a = P.pivot_cluster(e, canonical=True).assign
-    adj = materialize_bucketed(G.neighbours(e), "nbr", "explain_adj")
-    show("neighbour-cluster histogram (bucketed adjacency)", L.neighbour_clusters(adj, a))
+    adj = materialize(G.neighbours(e))
+    show("neighbour-cluster histogram", L.neighbour_clusters(adj, a))
     hist = materialize(L.neighbour_clusters(adj, a))
     moves = materialize(L.best_moves(a, hist, G.cluster_sizes(a)))
     show("best moves", L.best_moves(a, hist, G.cluster_sizes(a)))

@@ -27,12 +27,14 @@ def main(argv=None) -> int:
     row = verify_clustering(read_edges(spark, argv[0]), read_assignments(spark, argv[1])).first()
     spark.stop()
     if row["duplicates"]:
-        print(f"{row['duplicates']} repeated vertex rows in the solution")
+        print(f"rows that repeat a vertex: {row['duplicates']}")
+    if row["unassigned"]:
+        print(f"rows without a vertex or label: {row['unassigned']}")
     if row["missing"] or row["unknown"]:
-        print(f"vertex sets differ: {row['missing']} missing, {row['unknown']} unknown")
+        print(f"vertices without a row: {row['missing']}, rows for other ids: {row['unknown']}")
     if not row["valid"]:
         return 1
-    print(f"The clustering has {row['disagreements']} disagreements")
+    print(f"valid, cost {row['disagreements']}")
     return 0
 
 

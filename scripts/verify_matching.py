@@ -25,14 +25,14 @@ def main(argv=None) -> int:
     row = verify_matching(read_edges(spark, argv[0]), read_matching(spark, argv[1])).first()
     spark.stop()
     if row["duplicates"]:
-        print(f"{row['duplicates']} repeated edges in the matching")
+        print(f"rows that repeat a pair: {row['duplicates']}")
     if row["foreign"]:
-        print(f"{row['foreign']} matched edges are not in the graph")
+        print(f"pairs without an edge in the input: {row['foreign']}")
     if row["max_degree"] > 1:
-        print("the matched edges do not form a matching")
+        print(f"most pairs at one vertex: {row['max_degree']}")
     if not row["valid"]:
         return 1
-    print(f"The matched edges form a matching of size {row['size']}")
+    print(f"valid, {row['size']} pairs")
     return 0
 
 

@@ -25,19 +25,32 @@ def test_read_edges_crlf_and_negative_ids(spark):
     assert sorted(tuple(r) for r in df.collect()) == [(-5, 9000000000), (0, 1), (1, 2)]
 
 
-@pytest.mark.parametrize("text", ["1,2\n3,4,5\n", "1,2\nx,4\n", "7\n1,2\n", "1,2.5\n"])
+@pytest.mark.parametrize("text", ["1,2\n3,4,5\n", "1,2\nx,4\n", "7\n1,2\n", "1,2.5\n", ",5\n", "5,\n", "1,2\n\n3,4\n",
+                                  "1,99999999999999999999\n"])
 def test_malformed_lines_fail(spark, text):
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="malformed|CAST"):
         IO.read_edges(spark, write(text)).collect()
 
 
+@pytest.mark.parametrize("text", ["7\n1,2,3\n", ",5\n", "5,\n", "1,2\n\n"])
+def test_malformed_lines_fail_a_count(spark, text):
+    with pytest.raises(Exception, match="malformed"):
+        IO.read_edges(spark, write(text)).count()
+
+
+def test_scratch_paths_keep_their_scheme(spark, monkeypatch):
+    from graphcluster import session
+    for base in ("hdfs://nn:8020/ckpt/a", "dbfs:/ckpt", "file:/mnt/shared/x/", "/mnt/plain"):
+        monkeypatch.setattr(session, "ensure_checkpoint_dir", lambda s, b=base: b)
+        path = session.scratch_dir(spark, "t")
+        assert path.startswith(base.rstrip("/") + "/t-") and path != session.scratch_dir(spark, "t")
+
+
 def test_assignment_round_trip(spark):
     d = tempfile.mkdtemp(prefix="gc-out-")
     a = assign_df(spark, {0: 1, 1: 1, 2: 3})
-    IO.write_assignments(a, d, single_file=True)
-    IO.write_assignments(a, d, single_file=True)          # overwrite
-    files = [f for f in os.listdir(d) if f.endswith(".csv")]
-    assert len(files) == 1
+    IO.write_assignments(a, d)
+    IO.write_assignments(a, d)          # overwrite
     assert sorted(tuple(r) for r in IO.read_assignments(spark, d).collect()) == [
         (0, 1), (1, 1), (2, 3)]
 
@@ -57,6 +70,37 @@ def test_verify_clustering_valid_and_broken(spark):
     assert bad["disagreements"] is None
 
 
+def test_verify_clustering_unassigned(spark):
+    e = edges_df(spark, [(1, 2), (2, 3)])
+    for rows, want in (([(1, 1), (2, 1), (3, None)], (0, 0, 0, 1)), ([(1, 1), (2, 1), (3, 1), (None, 1)], (0, 0, 0, 1)),
+                       ([(1, 1), (2, 1)], (0, 1, 0, 0)), ([(1, 1), (2, None), (2, None), (3, 1)], (1, 0, 0, 2))):
+        r = verify_clustering(e, spark.createDataFrame(rows, "vid BIGINT, cid BIGINT")).first()
+        assert (r["duplicates"], r["missing"], r["unknown"], r["unassigned"]) == want
+        assert (r["valid"], r["disagreements"]) == (False, None)
+
+
+def test_costs_are_exact(spark):
+    from pyspark.sql import functions as F
+    from graphcluster.operators.cost import pair_count
+    ns = [0, 1, 2, 3, 200_000_003, 4_000_000_000, 4_000_000_001, (1 << 62) + 1]
+    df = spark.createDataFrame([(n,) for n in ns], "n BIGINT").select("n", pair_count().alias("p"))
+    got = {r["n"]: int(r["p"]) for r in df.collect()}
+    assert got == {n: n * (n - 1) // 2 for n in ns}
+    assert int(df.agg(F.sum("p")).first()[0]) == sum(got.values())
+
+
+def test_packed_pairs_keep_their_order(spark):
+    from graphcluster.functions.packing import pack, packed_id, packed_key
+    from pyspark.sql import functions as F
+    pairs = [(k, i) for k in (0, 1, 7, (1 << 61) - 3, 1 << 61, 1 << 62) for i in (-(1 << 63), -1, 0, 5, (1 << 63) - 1)]
+    df = spark.createDataFrame(pairs, "k BIGINT, i BIGINT").withColumn("p", pack(F.col("k"), F.col("i")))
+    rows = df.select("k", "i", "p", packed_key(F.col("p")).alias("a"), packed_id(F.col("p")).alias("b")).collect()
+    assert all((r.k, r.i) == (r.a, r.b) for r in rows)
+    assert [(r.k, r.i) for r in sorted(rows, key=lambda r: r.p)] == sorted(pairs)
+    plan = df.groupBy("k").agg(F.min("p"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_verify_clustering_sample_shape(spark):
     # 50 disjoint edges over 0..99 and 10 clusters of 10 consecutive ids:
     # 47 cut, 3 inside, 10 * C(10, 2) - 3 missing -> 494

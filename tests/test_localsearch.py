@@ -112,7 +112,7 @@ def test_group_rank_spreads_a_hot_group(spark):
         F.when(F.col("id") < 2000, F.lit(7)).otherwise(F.col("id") % 5).alias("g"),
         ((F.col("id") * 7919) % 3001).alias("k"))
     got = {(r["g"], r["k"]): r["r"] for r in
-           group_rank(df, ["g"], ["k"], "r", 6, window_rows=100).collect()}
+           group_rank(df, ["g"], ["k"], "r", 6).collect()}
     assert got == {(r["g"], r["k"]): r["r"] for r in group_rank(df, ["g"], ["k"], "r").collect()}
     rows = sorted(got)
     want, last, n = {}, None, 0

@@ -6,11 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from graphcluster.plans import registry
 from conftest import SF
 
 TABLES = ["lineitem", "events", "documents", "part"]
 CHECK = ["gp", "gu", "gd", "pivot_hash", "pivot_permutation", "local_search_2",
-         "ls_history", "verify_clustering_broken", "verify_matching_broken", "best_moves"]
+         "ls_history", "verify_clustering_broken", "verify_matching_broken", "best_moves",
+         "verify_clustering_unassigned", "cluster_job_csv", "cluster_job_permutation",
+         "cluster_job_gd_all", "ls_gd_stop_history", "pivot_hash_min_prio"]
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +35,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", CHECK)

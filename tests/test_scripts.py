@@ -25,14 +25,14 @@ def test_cluster_then_verify(spark, capsys):
     spark.stop = lambda: None                 # the scripts stop their session; keep ours
     try:
         assert cluster_script.main(["pivot=hash", edges, out, "3", "ls=regular",
-                                    "--single-file"]) == 0
+                                    "--hash", "md5"]) == 0
         assert vc.main([edges, out]) == 0
         text = capsys.readouterr().out
-        assert "The clustering has 1 disagreements" in text
+        assert "valid, cost 1" in text
         match = os.path.join(d, "matching.csv")
         with open(match, "w") as fh:
             fh.write("1,0\n2,3\n5,4\n")
         assert vm.main([edges, match]) == 0
-        assert "matching of size 3" in capsys.readouterr().out
+        assert "valid, 3 pairs" in capsys.readouterr().out
     finally:
         spark.stop = orig_stop

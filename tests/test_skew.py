@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import gc
+import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import assign_df, edges_df, labels_of, py_cost, random_graph, simple
+from graphcluster.operators import graph as G
 from graphcluster.operators import localsearch as L
-from graphcluster.operators import rank as R
+from graphcluster.operators import pivot as P
+from graphcluster.operators.cost import vertex_disagreement
 from graphcluster.operators.pivot import pivot_cluster
-from graphcluster.sources.tables import cooccurrence_edges
+from graphcluster.plans import loop
+from graphcluster.plans.job import cluster
+from graphcluster.sources.tables import cooccurrence_edges, star_rows
 
 
 def test_hot_basket_gives_a_star_not_a_clique(spark):
@@ -31,29 +38,148 @@ def test_hub_vertex_pivot(spark):
     assert py_cost(pairs, lab) <= py_cost(pairs, {v: v for v in vs}) + 1500
 
 
-def test_search_with_distributed_ranks_equals_window_ranks(spark, monkeypatch):
+def final_plan(df, monkeypatch=None):
+    """The plan that ran, after adaptive execution."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def hot(spark, monkeypatch):
+    """Low thresholds, no broadcast: a key with a third of the rows must be split.
+    Yields the plans of all tables written meanwhile."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", loop.FORCE_SPLIT: "true"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+N = 60_000
+
+
+def spread(df):
+    return loop.materialize(df.repartition(12))
+
+
+def hub_edges(spark):
+    """Half of the edges at vertex 0."""
+    return spread(spark.range(1, N).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("src"),
+                                           (F.col("id") + 1).alias("dst")))
+
+
+def giant(spark):
+    """Half of the vertices in cluster 0."""
+    return spread(spark.range(0, N + 1).select(F.col("id").alias("vid"),
+                                               F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("cid")))
+
+
+def test_hot_basket_splits(hot):
+    rows = spread(hot.range(0, 2 * N).select(F.col("id").alias("item"), F.when(F.col("id") % 2 == 0, 0).otherwise(
+        F.col("id")).alias("basket")))
+    assert "skew=true" in final_plan(star_rows(rows, "item", "basket"))
+
+
+def test_giant_cluster_splits(hot):
+    a = giant(hot)
+    assert "skew=true" in final_plan(G.relabel(a))
+    moves = hot.createDataFrame([(2, 0, 4, False, -1)], "vid long, from_cid long, to_cid long, fresh boolean, delta long")
+    assert "skew=true" in final_plan(L.apply_moves(a, moves))
+    assert "skew=true" in final_plan(vertex_disagreement(hub_edges(hot), a))
+
+
+def test_hub_splits(hot):
+    e, a = hub_edges(hot), giant(hot)
+    assert "skew=true" in final_plan(G.subgraph(e, a.where("vid % 3 < 2")))
+    adj = loop.materialize(G.neighbours(e))
+    hist = loop.materialize(L.neighbour_clusters(adj, a))
+    moves = loop.materialize(L.best_moves(a, hist, G.cluster_sizes(a)))
+    assert "skew=true" in final_plan(L.neighbour_clusters(adj, a))
+    assert "skew=true" in final_plan(L.best_moves(a, adj.groupBy("vid", F.col("nbr").alias("nbr_cid")).agg(
+        F.count("*").alias("n")).transform(spread), G.cluster_sizes(a)))
+    prio = loop.materialize(P.pivot_priorities(G.vertices_of(e)))
+    active = spread(P.active_adjacency(e, prio))
+    pivots = loop.materialize(P.pivot_select(active))
+    assert "skew=true" in final_plan(P.pivot_assign(active, pivots))
+    gone = loop.materialize(P.pivot_assign(active, pivots)).select("vid")
+    kept = active.join(gone, "vid", "left_anti")
+    assert "skew=true" in final_plan(kept)
+    assert moves.count() >= 0
+
+
+def test_hub_splits_inside_tables(hot, monkeypatch):
+    """Joins whose result is written at once: their plans, caught as they are written."""
+    plans = []
+    real = loop.store
+
+    def caught(df, name="table"):
+        with loop.split_skew(df.sparkSession):
+            plans.append((name, final_plan(df)))
+        return real(df, name)
+
+    e = hub_edges(hot)
+    adj = loop.materialize(G.neighbours(e))
+    everyone = loop.materialize(G.vertices_of(e).select(
+        "vid", F.col("vid").alias("from_cid"), F.lit(-1).alias("to_cid"), F.lit(False).alias("fresh"),
+        F.lit(-1).cast("bigint").alias("delta")))
+    monkeypatch.setattr(L, "store", caught)
+    L.independent_set(everyone, adj, 0, 1, "all")
+    L.independent_set(everyone, adj, 0, 1, "improving")
+    found = [p for n, p in plans if n == "blocked"]
+    assert len(found) == 2 and all("skew=true" in p for p in found)
+
+
+def test_held_frames_outlive_their_parents(spark):
+    """Tables are deleted by their handles alone."""
+    kept = loop.store(spark.range(0, 1000).select(F.col("id").alias("v")))
+    derived = kept.df.where("v % 2 = 0")
+    path = kept.path
+    del kept
+    gc.collect()
+    others = [loop.store(spark.range(0, 5)) for _ in range(20)]
+    frames = [spark.range(0, 5).select("id") for _ in range(300)]
+    for t in others:
+        t.drop()
+    assert len(frames) == 300 and derived.count() == 500
+    loop.release_path(spark, path)
+
+
+def test_cluster_leaves_only_its_result(spark):
+    folder = spark.sparkContext.getCheckpointDir()
+    local = folder.split(":", 1)[-1] if folder.startswith("file:") else folder
+    seen = set(os.listdir(local))
+    rng = random.Random(3)
+    for order, mode in (("hash", "regular"), ("permutation", "simultaneous"), ("hash", "inner")):
+        res = cluster(edges_df(spark, random_graph(rng, 40, 0.15)), order, mode, 4, 1)
+        left = set(os.listdir(local)) - seen
+        assert len(left) == 1 and next(iter(left)).startswith("ls_state"), left
+        assert res.assign.count() == res.vertices
+        seen |= left
+
+
+def test_search_stops_when_nothing_improves(spark):
     rng = random.Random(17)
     pairs = random_graph(rng, 40, 0.12)
     vs = sorted({v for e in simple(pairs) for v in e})
-    giant = {v: 0 for v in vs}                              # one giant cluster
-    e, a = edges_df(spark, pairs), assign_df(spark, giant)
-    window = L.local_search(e, a, 3, 5)
-    monkeypatch.setattr(R, "WINDOW_ROWS", 2)               # force the distributed ranks
-    distributed = L.local_search(e, a, 3, 5)
-    assert labels_of(window.assign) == labels_of(distributed.assign)
-    assert window.rounds == distributed.rounds
-    assert window.rounds[1][2] > 1                          # several leavers at once
-
-
-def test_bucketed_and_plain_adjacency_agree(spark, monkeypatch):
-    rng = random.Random(23)
-    pairs = random_graph(rng, 40, 0.15)
-    vs = sorted({v for e in simple(pairs) for v in e})
-    start = {v: v % 4 for v in vs}
-    e, a = edges_df(spark, pairs), assign_df(spark, start)
-    monkeypatch.setattr(L, "BUCKET_MIN_BYTES", 1 << 40)     # plain table
-    plain = L.local_search(e, a, 3, 2)
-    monkeypatch.setattr(L, "BUCKET_MIN_BYTES", 0)           # bucketed table
-    bucketed = L.local_search(e, a, 3, 2)
-    assert labels_of(plain.assign) == labels_of(bucketed.assign)
-    assert plain.rounds == bucketed.rounds
+    res = L.local_search(edges_df(spark, pairs), assign_df(spark, {v: 0 for v in vs}), 40, 5)
+    assert res.stopped and len(res.rounds) < 40
+    assert res.rounds[1][2] > 1                          # several leavers at once
+    costs = [c for _, c, _ in res.rounds]
+    assert costs == sorted(costs, reverse=True) and costs[-1] == py_cost(pairs, labels_of(res.assign))
+
+
+def test_xxhash_priorities_cluster_too(spark):
+    pairs = random_graph(random.Random(9), 30, 0.2)
+    res = cluster(edges_df(spark, pairs), "hash", "regular", 3, 1, method="xxhash64",
+                  vertices=spark.createDataFrame([(999,)], "vid long"))
+    lab = labels_of(res.assign)
+    assert lab[999] == 999 and py_cost(pairs, lab) == res.cost

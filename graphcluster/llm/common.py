@@ -10,6 +10,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,15 +22,24 @@ from graphcluster.session import ensure_checkpoint_dir, scratch_dir
 #: Words are runs of anything but ASCII white space (space, tab to carriage return).
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Arrow batches are kept small, so that a task's memory doesn't follow the length
+#: of texts: Spark's usual value, and ours in its place (a user's own value stays).
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+         "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors (once per application), so that tasks
-    can import the operators wherever the driver was started from."""
+    can import the operators wherever the driver was started from; and bound the
+    size of Arrow batches."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
+    for key, (usual, bound) in BATCH.items():
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, bound)
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     name = os.path.basename(top)
     folder = tempfile.mkdtemp(prefix="ship-")  # the driver serves the archive from here
@@ -47,6 +57,18 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+#: What a worker process remembers between batches, by module: how to forget it.
+MEMOS: dict[str, Callable[[], None]] = {}
+
+
+def enter(module: str) -> None:
+    """Called by a task of an operator: a worker that now serves this operator
+    forgets what others remembered, so that memos of several never add up."""
+    for name, forget in MEMOS.items():
+        if name != module:
+            forget()
+
+
 class Table:
     """A table written under the checkpoint folder: ``df`` reads it, ``drop`` deletes it.
 
@@ -101,10 +123,12 @@ def arrow_map(df: DataFrame, inputs: list[str], outputs: list[StructField],
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
     schema = StructType(kept + outputs)
     names = [f.name for f in schema.fields]
+    module = (fn.func if isinstance(fn, partial) else fn).__module__
     types = [to_arrow_type(f.dataType) for f in outputs]
     kept_names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(module)
         for batch in batches:
             made = fn(*(batch.column(batch.schema.get_field_index(c)) for c in inputs))
             made = [a if isinstance(a, pa.Array) else pa.array(a, type=t)

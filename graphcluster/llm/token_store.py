@@ -36,7 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphcluster.llm.common import partitions, ship
+from graphcluster.llm.common import MEMOS, enter, partitions, ship
+from graphcluster.llm.token_count import PATTERN
 
 SAMPLE_DOCS = 400        #: documents that train the dictionary (expected; chosen by hash)
 SAMPLE_CHARS = 8_000     #: characters of each that serve as training material
@@ -44,9 +45,9 @@ DICT_BYTES = 65_536
 LEVEL = 3
 BLOCK_BYTES = 1 << 20    #: a block is closed beyond this size
 BLOCK_DOCS = 1_000
-MEMO_CHARS = 48          #: longer words are not remembered
-MEMO_ROWS = 400_000      #: words of a generation of the memo, of which a worker holds two
-JOINED = 64              #: new words that the library gets as one text
+MEMO_CHARS = 48          #: longer pieces are not remembered
+MEMO_ROWS = 300_000      #: remembered pieces per worker; the memo is emptied beyond
+JOINED = 64              #: new pieces that the library gets as one text
 GROUP_BYTES = 1 << 20    #: bytes of text encoded together, at least one text
 
 BLOCKS = ("part int, block int, start long, n_ids long, first_doc long, last_doc long, "
@@ -55,15 +56,13 @@ BLOCKS = ("part int, block int, start long, n_ids long, first_doc long, last_doc
 
 
 class Encoder:
-    """Ids by the tokenizers library, which is asked once for each distinct word.
-
-    A byte-level tokenizer encodes each match of its pattern by itself.  A match
-    ends before a space that precedes or follows a character other than white
-    space, and around a line end between two such characters; so the ids of a
-    text are those of its words, with or without a space before them.  Texts with white
-    space on both sides of a space are given to the library as they are.  New
-    words go to it many at a time, joined by line ends.
-    Added tokens are cut out first, as the library does by default.
+    """Ids by the tokenizers library, which is asked once for each distinct piece.
+
+    A byte-level tokenizer encodes each match of its pattern by itself, so the
+    ids of a text are those of its pieces in a row.  New pieces go to the
+    library many at a time, joined by line ends (which are pieces of their own
+    between others without white space).  Added tokens are cut out first, as the
+    library does by default.
     """
 
     def __init__(self, path: str):
@@ -75,81 +74,53 @@ class Encoder:
         names = sorted(added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.line, = self.tok.encode("\n", add_special_tokens=False).ids
-        # ids of words by what precedes them, a space or nothing; two generations
-        self.young: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
-        self.old: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
-
-    def plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
-
-    def learn(self, lead: str, words: set[str]) -> None:
-        """Make sure that the memo has the ids of all words."""
-        young, old = self.young[lead], self.old[lead]
-        words = words.difference(young)
-        known = words.intersection(old)
-        young.update(zip(known, map(old.__getitem__, known)))
-        words -= known
-        words.discard("")
-        young[""] = self.plain([lead])[0]
-        even = list(filter(str.isprintable, words))  # without white space
-        split, odd = [], []
-        if len(even) < len(words):
-            for w in words.difference(even):
-                lines = w.split("\n")
-                apart = len(lines) > 1 and all(lines) and all(map(str.isprintable, lines))
-                (split if apart else odd).append((w, lines))
-        young.update(zip((w for w, _ in odd), self.plain([lead + w for w, _ in odd])))
+        self.find = regex.compile(PATTERN).findall
+        self.memo: dict[str, bytes] = {}
+
+    def ask(self, pieces: list[str]) -> dict[str, bytes]:
+        """The library's ids of distinct pieces."""
+        even = [p for p in pieces if p.isprintable() and not p.isspace()]
+        odd = set(pieces).difference(even)
+        out = {}
+        if odd:
+            found = self.tok.encode_batch_fast(list(odd), add_special_tokens=False)
+            out.update((p, np.asarray(e.ids, "<u4").tobytes()) for p, e in zip(odd, found))
         if even:
-            stop = "\n" + lead
             found = self.tok.encode_batch_fast(
-                [lead + stop.join(even[k:k + JOINED]) + "\n" for k in range(0, len(even), JOINED)],
+                ["\n".join(even[k:k + JOINED]) + "\n" for k in range(0, len(even), JOINED)],
                 add_special_tokens=False)
             ids = np.concatenate([np.asarray(e.ids, "<u4") for e in found])
             ends = 4 * np.flatnonzero(ids == self.line)
             starts = np.concatenate([[0], ends[:-1] + 4])
             slices = map(slice, starts.tolist(), ends.tolist())
-            young.update(zip(even, map(ids.tobytes().__getitem__, slices), strict=True))
-        if split:
-            self.learn(lead, {lines[0] for _, lines in split})
-            self.learn("", {x for _, lines in split for x in lines[1:]})
-            line, rest = np.asarray([self.line], "<u4").tobytes(), self.young[""]
-            for w, lines in split:
-                young[w] = line.join([young[lines[0]], *map(rest.__getitem__, lines[1:])])
+            out.update(zip(even, map(ids.tobytes().__getitem__, slices), strict=True))
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        for lead in self.young:
-            if len(self.young[lead]) > MEMO_ROWS:
-                self.old[lead], self.young[lead] = self.young[lead], {}
-        parts, where = [], []  # of each text the parts between added tokens
+        memo, rows = self.memo, []
         for t in texts:
-            own = self.cut.split(t) if t and self.cut else [t or ""]
-            where.append((len(parts), own[1::2]))
-            parts += own[0::2]
-        split = [[t] if _BETWEEN_SPACE(t) else t.split(" ") for t in parts]
-        heads = [words.pop(0) for words in split]
-        new: set[str] = set()
-        for words in split:
-            new.update(words)
-        self.learn(" ", new)
-        self.learn("", first := set(heads))
-        of, head = self.young[" "].__getitem__, self.young[""]
-        whole = [head[h] + b"".join(map(of, words)) for h, words in zip(heads, split)]
-        for lead, known in ((" ", new), ("", first)):
-            for w in known:
-                if len(w) > MEMO_CHARS:
-                    del self.young[lead][w]
-        out = []
-        for at, cut in where:
-            own = whole[at:at + len(cut) + 1]
-            out.append(own[0] + b"".join(self.added[c] + x for c, x in zip(cut, own[1:])))
-        return out
-
-
-_BETWEEN_SPACE = regex.compile(r"\s \s").search
+            parts = self.cut.split(t) if t and self.cut else [t or ""]
+            pieces = self.find(parts[0])
+            for k in range(1, len(parts), 2):
+                pieces.append(parts[k])
+                pieces += self.find(parts[k + 1])
+            rows.append(pieces)
+        found = [list(map(memo.get, pieces)) for pieces in rows]
+        new = {p for pieces, ids in zip(rows, found) if None in ids
+               for p, i in zip(pieces, ids) if i is None}
+        if new:
+            here = {p: i for p, i in self.added.items() if p in new}
+            here.update(self.ask([p for p in new if p not in here]))
+            found = [[here[p] if i is None else i for p, i in zip(pieces, ids)] if None in ids else ids
+                     for pieces, ids in zip(rows, found)]
+            if len(memo) > MEMO_ROWS:
+                memo.clear()
+            memo.update((p, i) for p, i in here.items() if len(p) <= MEMO_CHARS)
+        return [b"".join(ids) for ids in found]
 
 
 _ENCODERS: dict[str, Encoder] = {}
+MEMOS[__name__] = _ENCODERS.clear
 
 
 def encoder(path: str) -> Encoder:
@@ -207,6 +178,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     end = np.asarray([end_id], "<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         code, press = encoder(tokenizer), shared.compressor()
         part, number, start = TaskContext.get().partitionId(), 0, 0
         ids, frames, counts, size = [], [], [], 0

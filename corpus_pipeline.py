@@ -51,8 +51,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, n_tokens, ids (packed unsigned 32-bit) and whether they decode to the text."""
     path = public_tokenizers.path(TOKENIZER)
-    coded = bpe_tree.encode(docs.select("doc_id", "source", "lang", "text"), path, public_tokenizers.PATTERN)
-    both = bpe_tree.decode(coded, path, public_tokenizers.PATTERN)
+    both = bpe_tree.round_trip(docs.select("doc_id", "source", "lang", "text"), path, public_tokenizers.PATTERN)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return both.select("doc_id", "source", "lang", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        "ids", same.alias("round_trip"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FLUSH = 4_000_000    #: postings held by a task before they are sent
+FLUSH = 1_000_000    #: postings held by a task before they are sent
 SCHEMA = "bucket long, owner binary, size binary, count binary, hash binary, extra binary"
 
 
@@ -91,6 +91,37 @@ def dealt(rows: DataFrame, n: int) -> DataFrame:
     return rows.repartition(n, "bucket")
 
 
+def repeated(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, size and hash of the postings of a partition whose hash two owners have
+    at least, each pair of hash and owner once, in the order of hash and owner."""
+    owner, size, h, _ = unpack(batches)
+    if not len(h):
+        return owner, size, h
+    order = np.argsort(h)
+    same = h[order]
+    same = same[1:] == same[:-1]
+    some = np.zeros(len(h), bool)  # most hashes come once and leave here
+    some[order[1:][same]] = some[order[:-1][same]] = True
+    del order, same
+    owner, size, h = owner[some], size[some], h[some]
+    order = np.lexsort((owner, h))
+    owner, size, h = owner[order], size[order], h[order]
+    fresh = np.ones(len(h), bool)  # an owner sent by several tasks counts once
+    fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    owner, size, h = owner[fresh], size[fresh], h[fresh]
+    keep = owners_of(h) > 1
+    return owner[keep], size[keep], h[keep]
+
+
+def owners_of(h: np.ndarray) -> np.ndarray:
+    """For each entry of a sorted array, how often its value occurs."""
+    if not len(h):
+        return np.empty(0, np.int64)
+    first = np.flatnonzero(np.diff(h, prepend=h[0] ^ np.uint64(1)))
+    count = np.diff(np.append(first, len(h)))
+    return np.repeat(count, count)
+
+
 def unpack(batches: Iterator[pa.RecordBatch], extra_type=None):
     """All postings of a partition: owner, size, hash (and extra) arrays of equal length."""
     owner, size, hashes, extras = [], [], [], []

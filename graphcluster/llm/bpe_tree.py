@@ -35,12 +35,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField
 
-from graphcluster.llm.common import arrow_map
+from graphcluster.llm.common import MEMOS, arrow_map
 
 LEAF_CHARS = 4096      #: a text up to this length is a leaf
 LEAF_BYTES = 24        #: a piece up to this length is merged directly
 MEMO_CHARS = 48        #: longer pieces are not remembered
-MEMO_ROWS = 400_000    #: remembered pieces per worker; the memo is emptied beyond
+MEMO_ROWS = 200_000    #: remembered pieces per worker; the memo is emptied beyond
+FIT_ROWS = 50_000     #: remembered pairs of ids
 
 
 class Bpe:
@@ -105,7 +106,7 @@ class Bpe:
         """Whether the ids a, b are the encoding of their bytes together."""
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) >= MEMO_ROWS:
+            if len(self.fits) >= FIT_ROWS:
                 self.fits.clear()
             known = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
             self.fits[a, b] = known
@@ -234,6 +235,7 @@ class Bpe:
 
 
 _LOADED: dict[tuple[str, str], Bpe] = {}
+MEMOS[__name__] = _LOADED.clear
 
 
 def load(path: str, pattern: str) -> Bpe:
@@ -254,6 +256,12 @@ def _decode(path: str, pattern: str, ids: pa.Array) -> list:
     return [[coder.decode(x.as_py()) for x in ids]]
 
 
+def _round_trip(path: str, pattern: str, texts: pa.Array) -> list:
+    coder = load(path, pattern)
+    ids = [coder.encode(t.as_py()) for t in texts]
+    return [ids, [coder.decode(x) for x in ids]]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text",
            out: str = "ids") -> DataFrame:
     """Append ``out``: the ids of ``text`` as packed little-endian unsigned 32-bit
@@ -267,3 +275,10 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids",
     """Append ``out``: the bytes that the packed ``ids`` stand for (null ids: none)."""
     return arrow_map(docs, [ids], [StructField(out, BinaryType(), False)],
                      partial(_decode, path, pattern))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """Append what ``encode`` and then ``decode`` give, in one pass over the rows."""
+    return arrow_map(docs, [text], [StructField(ids, BinaryType(), False), StructField(decoded, BinaryType(), False)],
+                     partial(_round_trip, path, pattern))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import sys
@@ -67,6 +68,10 @@ def enter(module: str) -> None:
     for name, forget in MEMOS.items():
         if name != module:
             forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 class Table:

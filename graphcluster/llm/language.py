@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from graphcluster.llm.common import Table, arrow_map, ship
+from graphcluster.llm.common import Table, arrow_map, enter, ship
 
 SAMPLE = 1500         #: labelled documents per language that train the filters (in expectation)
 MIN_RATE = 1e-5       #: least share of a language's trigrams
@@ -37,7 +37,7 @@ MIN_SHARE = 0.2       #: least share of the rate in the language that uses a tri
 HASHES = 3
 CELLS_PER_GRAM = 16
 UNKNOWN = "und"
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18   #: characters looked up at once, at least one text
 
 _LETTER: list[np.ndarray] = []
 
@@ -163,6 +163,7 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str
     chosen = rows.where(F.pmod(F.xxhash64(F.lit("language"), key), F.lit(cut)) < rate)
 
     def count(batches):
+        enter(__name__)
         for b in batches:
             yield _rates(b.column(0), b.column(1))
 

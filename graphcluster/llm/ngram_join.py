@@ -42,13 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphcluster.llm import blobs
-from graphcluster.llm.common import Table, free_shuffles, partitions, ship
+from graphcluster.llm.common import MEMOS, Table, enter, free_shuffles, partitions, ship
 from graphcluster.llm.components import components
 
 WORDS = 5              #: words of a shingle
 PERCENT = 80           #: least Jaccard similarity, in percent
 BLOCK_ROWS = 1024      #: rows of a block of the product
-MEMO_WORDS = 500_000   #: remembered word hashes per worker
+MEMO_WORDS = 300_000   #: remembered word hashes per worker
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)  # any odd numbers
@@ -63,6 +63,7 @@ class _Hashes(dict):
 
 
 _HASH = _Hashes()
+MEMOS[__name__] = _HASH.clear
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -98,6 +99,7 @@ def need(n: np.ndarray, percent: int) -> np.ndarray:
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         for b in batches:
             sig, full, n = [], [], []
             for t in b.column(1):
@@ -116,6 +118,7 @@ def _sets(words: int):
 
 def _incidences(keys: list[int], words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         pack, sent = blobs.Packer(keys), set()
         for b in batches:
             for t in b.column(0):
@@ -139,19 +142,8 @@ def _incidences(keys: list[int], words: int):
 def _shared(keys: list[int]):
     """A column block: columns of two rows at least, sent to the rows' buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner, size, h, _ = blobs.unpack(batches)
-        order = np.lexsort((owner, h))
-        owner, size, h = owner[order], size[order], h[order]
-        if not len(h):
-            return
-        fresh = np.ones(len(h), bool)  # a row sent by several tasks counts once
-        fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-        owner, size, h = owner[fresh], size[fresh], h[fresh]
-        first = np.flatnonzero(np.diff(h, prepend=h[0] ^ np.uint64(1)))
-        rows = np.diff(np.append(first, len(h)))
-        rows = np.repeat(rows, rows).astype(np.uint32)
-        keep = rows > 1
-        owner, size, h, rows = owner[keep], size[keep], h[keep], rows[keep]
+        owner, size, h = blobs.repeated(batches)
+        rows = blobs.owners_of(h).astype(np.uint32)
         order = np.argsort(owner, kind="stable")
         owner, size, h, rows = owner[order], size[order], h[order], rows[order]
         cuts = np.flatnonzero(np.diff(owner)) + 1

@@ -24,8 +24,7 @@ COUNT_LIMIT = 512
 def op1_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe_tree.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    both = bpe_tree.decode(ids, path, public_tokenizers.PATTERN)
+    both = bpe_tree.round_trip(docs, path, public_tokenizers.PATTERN)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

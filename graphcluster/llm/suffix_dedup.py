@@ -31,6 +31,7 @@ replaced); an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,13 +43,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
 from graphcluster.llm import blobs
-from graphcluster.llm.common import Table, arrow_map, free_shuffles, partitions, ship
+from graphcluster.llm.common import Table, arrow_map, enter, free_shuffles, partitions, ship
 from graphcluster.llm.suffix_array import equal_windows
 
 LENGTH = 50            #: bytes of a window
 GRAM = 20              #: bytes of the k-grams that anchors are chosen from
 SCAN_BYTES = 1 << 18   #: bytes hashed at once, at least one text
-FLUSH_BYTES = 24 << 20   #: bytes of contexts that a task holds before it sends them
+FLUSH_BYTES = 8 << 20   #: bytes of contexts that a task holds before it sends them
 CHUNK_BYTES = 1 << 20  #: bytes of contexts sorted at once, at least one anchor
 
 CONTEXTS = ("row long, bucket long, anchor binary, low binary, size binary, bytes binary, "
@@ -112,6 +113,7 @@ def text_id(raw: bytes) -> int:
 
 def _anchors(keys: list[int], length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         pack, sent = blobs.Packer(keys), set()
         for b in batches:
             texts, ids = [], []
@@ -134,18 +136,7 @@ def _anchors(keys: list[int], length: int, gram: int):
 def _shared(keys: list[int]):
     """Anchors of two texts at least, sent to the texts' buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner, _, h, _ = blobs.unpack(batches)
-        if not len(h):
-            return
-        order = np.lexsort((owner, h))
-        owner, h = owner[order], h[order]
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-        owner, h = owner[fresh], h[fresh]
-        first = np.flatnonzero(np.diff(h, prepend=h[0] ^ np.uint64(1)))
-        texts = np.diff(np.append(first, len(h)))
-        keep = np.repeat(texts, texts) > 1
-        owner, h = owner[keep], h[keep]
+        owner, _, h = blobs.repeated(batches)
         order = np.argsort(owner, kind="stable")
         owner, h = owner[order], h[order]
         cuts = np.flatnonzero(np.diff(owner)) + 1
@@ -183,13 +174,9 @@ class _Contexts:
 
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.anchor: list[int] = []
-        self.low: list[int] = []
-        self.place: list[int] = []
-        self.text: list[int] = []
-        self.start: list[int] = []
-        self.doc: list[int] = []
-        self.owner: list[int] = []
+        self.anchor, self.low = array("Q"), array("q")    # of each context
+        self.place, self.text, self.start = array("q"), array("q"), array("q")  # of each place
+        self.doc, self.owner = array("q"), array("q")     # of each text
         self.held = 0
 
     def add(self, doc: int, raw: bytes, first: list[int], last: list[int], anchor: list[int], length: int) -> None:
@@ -246,6 +233,7 @@ class _Contexts:
 
 def _contexts(keys: list[int], length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         out = _Contexts(keys)
         for b in batches:
             texts = [t.as_buffer().to_pybytes() for t in b.column("text")]
@@ -266,6 +254,7 @@ def _contexts(keys: list[int], length: int, gram: int):
 def _verdicts(length: int):
     """Per row and context: runs of windows (first, count) and the smallest id that has them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         rows, anchors, lows, sizes, data = [], [], [], [], []
         for b in batches:
             rows += b.column("row").to_pylist()
@@ -444,17 +433,24 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
                    gram: int = GRAM) -> DataFrame:
     """Append n_bytes, n_removed, n_spans and kept (the remaining bytes)."""
+    return _removed(docs, key, text, length, gram, StructField("kept", BinaryType(), False))
+
+
+def _removed(docs: DataFrame, key: str, text: str, length: int, gram: int, left: StructField) -> DataFrame:
     plan = find_spans(docs, key, text, length, gram).select(
         F.col("_id").alias("_pid"), F.col("_hash").alias("_phash"), "_all", "_spans")
-    outputs = {"n_bytes", "n_removed", "n_spans", "kept"}
+    outputs = {"n_bytes", "n_removed", "n_spans", left.name}
     columns = [c for c in docs.columns if c.lower() not in outputs]
     rows = (docs.select(*columns).withColumn("_id", F.col(key).cast("long"))
             .withColumn("_hash", F.when(F.octet_length(text) >= length, F.unhex(F.sha2(text, 256)))))
     joined = rows.join(plan, (F.col("_id") == F.col("_pid")) & (F.col("_hash") == F.col("_phash")), "left")
-    return _cut(joined, columns, text)
+    return _cut(joined, columns, text, left)
 
 
-def _cut(joined: DataFrame, columns: list[str], text: str) -> DataFrame:
+def _cut(joined: DataFrame, columns: list[str], text: str, left: StructField) -> DataFrame:
+    """Append the counts and what is left, as bytes or (whole characters only) as text."""
+    as_text = isinstance(left.dataType, StringType)
+
     def cut(texts: pa.Array, spans: pa.Array, whole: pa.Array) -> list:
         out: list[list] = [[], [], [], []]
         for t, s, w in zip(texts, spans, whole.to_pylist()):
@@ -466,18 +462,16 @@ def _cut(joined: DataFrame, columns: list[str], text: str) -> DataFrame:
                 gone += b - a
                 at = b
             kept.append(raw[at:])
-            for o, v in zip(out, (len(raw), gone, len(ends) // 2, b"".join(kept))):
+            rest = b"".join(kept)
+            for o, v in zip(out, (len(raw), gone, len(ends) // 2,
+                                  rest.decode("utf-8", errors="ignore") if as_text else rest)):
                 o.append(v)
         return out
 
     made = arrow_map(joined.select(*columns, "_spans", "_all"), [text, "_spans", "_all"],
                      [StructField("n_bytes", LongType(), False), StructField("n_removed", LongType(), False),
-                      StructField("n_spans", LongType(), False), StructField("kept", BinaryType(), False)], cut)
-    return made.select(*columns, "n_bytes", "n_removed", "n_spans", "kept")
-
-
-def _text(kept: pa.Array) -> list:
-    return [[x.as_py().decode("utf-8", errors="ignore") for x in kept]]
+                      StructField("n_spans", LongType(), False), left], cut)
+    return made.select(*columns, "n_bytes", "n_removed", "n_spans", left.name)
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str = "n_chars",
@@ -489,9 +483,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n_
     """
     columns = docs.columns
     rest = F.struct(*[c for c in columns if c != text])  # out of the way of the outputs' names
-    cut = remove_repeats(docs.select(key, text, rest.alias("_rest")), key, text, length, gram)
-    made = arrow_map(cut.select(text, "_rest", "n_removed", "kept"), ["kept"],
-                     [StructField("_left", StringType(), False)], _text)
+    made = _removed(docs.select(key, text, rest.alias("_rest")), key, text, length, gram,
+                    StructField("_left", StringType(), False))
     touched = F.col("n_removed") > 0
     made = made.where(~touched | F.col("_left").rlike(r"[^\x20\x09-\x0D]"))
     out = {c: F.col("_rest")[c] for c in columns if c != text}

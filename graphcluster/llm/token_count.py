@@ -28,10 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, LongType, StructField
 
-from graphcluster.llm.common import arrow_map
+from graphcluster.llm.common import MEMOS, arrow_map
 
 MEMO_CHARS = 48       #: longer pieces are not remembered
-MEMO_ROWS = 600_000   #: remembered pieces per worker; the memo is emptied beyond
+MEMO_ROWS = 400_000   #: remembered pieces per worker; the memo is emptied beyond
 BLOCK_SYMBOLS = 2_000_000  #: symbols merged at once, at least one piece
 
 #: The pattern that byte-level tokenizers of this file kind apply to a text (fixed value).
@@ -178,6 +178,7 @@ class Merges:
 
 
 _LOADED: dict[str, Merges] = {}
+MEMOS[__name__] = _LOADED.clear
 
 
 def load(path: str) -> Merges:

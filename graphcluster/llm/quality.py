@@ -20,7 +20,6 @@ a host of their own; repeated rows count each; an empty table has no hosts.
 from __future__ import annotations
 
 from collections import Counter
-from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame

@@ -12,7 +12,6 @@ import corpus_pipeline as C
 from graphcluster.llm import language, mixing, registry
 
 from test_ngram_join import brute as near
-from test_suffix_dedup import brute as repeated  # noqa: F401
 
 
 def cut(rows, length=50):

@@ -12,6 +12,10 @@ that length) meet in one task and everything else stays apart:
 3. *Contexts.*  A run of windows with one shared anchor is a context; the bytes
    of equal contexts of a batch are sent once, with the smallest id.  The places
    where they occur are kept in the row that was sent, by its number.
+   An anchor with more than ``GROUP`` different contexts is *wide*: the windows at
+   the edge of a shared passage hold some of the text around it, so each document
+   brings its own context.  Such an anchor's windows get their own hash as anchor,
+   and only those that two texts have are sent, each as a context of its own.
 4. *Suffix arrays.*  The contexts of an anchor are sorted together (see
    ``suffix_array``); adjacent common prefixes give the groups of equal windows
    and each group's smallest id.
@@ -31,6 +35,7 @@ replaced); an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -51,6 +56,7 @@ GRAM = 20              #: bytes of the k-grams that anchors are chosen from
 SCAN_BYTES = 1 << 18   #: bytes hashed at once, at least one text
 FLUSH_BYTES = 8 << 20   #: bytes of contexts that a task holds before it sends them
 CHUNK_BYTES = 1 << 20  #: bytes of contexts sorted at once, at least one anchor
+GROUP = 1024           #: different contexts of an anchor that are sorted together; beyond, windows part by their own hash
 
 CONTEXTS = ("row long, bucket long, anchor binary, low binary, size binary, bytes binary, "
             "place binary, text binary, start binary, doc binary, owner binary")
@@ -65,8 +71,8 @@ def _power(e: int) -> np.uint64:
     return np.uint64(pow(6364136223846793005, e, 1 << 64))
 
 
-def least_hashes(raw: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """For each window, the least hash of its k-grams."""
+def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
+    """The hash of each k-gram."""
     n = len(raw)
     blocks, width = {1: _table()[raw]}, 1
     while 2 * width <= gram:
@@ -81,32 +87,68 @@ def least_hashes(raw: np.ndarray, length: int, gram: int) -> np.ndarray:
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(29)
-    span, width = length - gram + 1, 1  # k-grams of a window
+    return h
+
+
+def least_hashes(h: np.ndarray, span: int) -> np.ndarray:
+    """For each window of ``span`` k-grams, the least of their hashes."""
+    width = 1
     while 2 * width <= span:
         h = np.minimum(h[:-width], h[width:])
         width *= 2
     return np.minimum(h[:len(h) - (span - width)], h[span - width:]) if span > width else h
 
 
-def runs(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def signed_runs(texts: list[bytes], length: int, gram: int
+                ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each text with a window: its number, and of its runs of windows with
-    one anchor the first window, the last window, and the anchor."""
-    todo, size = [], 0
+    one anchor the first window, the last window, the anchor, and a sign of the
+    run's bytes (from the sum of its k-grams' hashes)."""
+    todo, size, span = [], 0, length - gram + 1
     for i, t in enumerate([*texts, None]):
         if t is not None and len(t) >= length:
             todo.append(i)
             size += len(t)
         if todo and (t is None or size >= SCAN_BYTES):
-            low = least_hashes(np.frombuffer(b"".join(texts[k] for k in todo), np.uint8), length, gram)
+            h = gram_hashes(np.frombuffer(b"".join(texts[k] for k in todo), np.uint8), gram)
+            low = least_hashes(h, span)
+            total = np.concatenate([[np.uint64(0)], np.cumsum(h, dtype=np.uint64)])
             at = 0
             for k in todo:
                 own = low[at:at + len(texts[k]) - length + 1]
-                at += len(texts[k])
                 first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                yield k, first, np.append(first[1:], len(own)) - 1, own[first]
+                last = np.append(first[1:], len(own)) - 1
+                sign = (total[at + last + span] - total[at + first]) >> np.uint64(32)
+                at += len(texts[k])
+                yield k, first, last, own[first], sign.astype(np.uint32)
             todo, size = [], 0
 
 
+def runs(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``signed_runs`` without the signs."""
+    for run in signed_runs(texts, length, gram):
+        yield run[:4]
+
+
+def windows_of(raw: bytes, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of some runs of a text, and the hash of each."""
+    count = last - first + 1
+    at = np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+    return at, gram_hashes(np.frombuffer(raw, np.uint8), length)[at]
+
+
+def among(known: pa.Scalar, h: np.ndarray) -> np.ndarray:
+    """Which hashes are in a sorted list of them."""
+    if not known.is_valid:
+        return np.zeros(len(h), bool)
+    values = np.frombuffer(known.as_buffer(), np.uint64)
+    if not len(values):
+        return np.zeros(len(h), bool)
+    at = np.searchsorted(values, h)
+    at[at == len(values)] = 0
+    return values[at] == h
+
+
 def text_id(raw: bytes) -> int:
     return int.from_bytes(hashlib.sha256(raw).digest()[:8], "big", signed=True)
 
@@ -125,43 +167,97 @@ def _anchors(keys: list[int], length: int, gram: int):
                         sent.add(own)
                     texts.append(raw)
                     ids.append(own)
-            for k, _, _, anchor in runs(texts, length, gram):
-                pack.add(ids[k], 0, anchor)
+            for k, _, _, anchor, sign in signed_runs(texts, length, gram):
+                pack.add(ids[k], 0, anchor, sign)
+                if pack.held >= blobs.FLUSH:
+                    yield from pack.rows()
+        yield from pack.rows()
+    return run
+
+
+def _windows(keys: list[int], length: int, gram: int):
+    """The hashes of the windows whose anchors are wide."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
+        pack = blobs.Packer(keys)
+        for b in batches:
+            texts = [t.as_buffer().to_pybytes() for t in b.column("text")]
+            wide = b.column("wide")
+            for k, first, last, anchor in runs(texts, length, gram):
+                hit = among(wide[k], anchor)
+                _, h = windows_of(texts[k], first[hit], last[hit], length)
+                pack.add(text_id(texts[k]), 0, h, np.zeros(len(h), np.uint32))
                 if pack.held >= blobs.FLUSH:
                     yield from pack.rows()
         yield from pack.rows()
     return run
 
 
-def _shared(keys: list[int]):
-    """Anchors of two texts at least, sent to the texts' buckets."""
+def _repeated(owner: np.ndarray, h: np.ndarray, sign: np.ndarray, most: float):
+    """The anchors that two texts have at least, each pair of anchor and text once,
+    and whether the anchor is wide."""
+    order = np.argsort(h)
+    same = h[order]
+    same = same[1:] == same[:-1]
+    some = np.zeros(len(h), bool)  # most anchors come once and leave here
+    some[order[1:][same]] = some[order[:-1][same]] = True
+    del order, same
+    owner, h, sign = owner[some], h[some], sign[some]
+    order = np.lexsort((owner, h))
+    owner, h, sign = owner[order], h[order], sign[order]
+    often = blobs.owners_of(h) > most
+    times, signs = h[often], sign[often]
+    order = np.lexsort((signs, times))
+    times, signs = times[order], signs[order]
+    new = np.ones(len(times), bool)
+    new[1:] = (times[1:] != times[:-1]) | (signs[1:] != signs[:-1])
+    wide, count = np.unique(times[new], return_counts=True)
+    fresh = np.ones(len(h), bool)  # a text sent by several tasks counts once
+    fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    owner, h = owner[fresh], h[fresh]
+    keep = blobs.owners_of(h) > 1
+    owner, h = owner[keep], h[keep]
+    return owner, h, np.isin(h, wide[count > most])
+
+
+def _shared(keys: list[int], most: float):
+    """Anchors of two texts at least, sent to the texts' buckets; those with more
+    than ``most`` different contexts are marked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner, _, h = blobs.repeated(batches)
+        owner, _, h, sign = blobs.unpack(batches, np.uint32)
+        if not len(h):
+            return
+        owner, h, wide = _repeated(owner, h, sign, most)
         order = np.argsort(owner, kind="stable")
-        owner, h = owner[order], h[order]
+        owner, h, wide = owner[order], h[order], wide[order].astype(np.uint8)
         cuts = np.flatnonzero(np.diff(owner)) + 1
         pack, where = blobs.Packer(keys), []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(h)]):
             if b > a:
-                pack.add(int(owner[a]), 0, h[a:b])
+                pack.add(int(owner[a]), 0, h[a:b], wide[a:b])
                 where.append(int(owner[a]) % len(keys))
         yield from pack.rows(np.asarray(where, np.int64))
     return run
 
 
 def _by_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    owner, _, h, _ = blobs.unpack(batches)
+    owner, _, h, wide = blobs.unpack(batches, np.uint8)
     if not len(h):
         return
-    order = np.lexsort((h, owner))
-    owner, h = owner[order], h[order]
+    order = np.lexsort((h, wide, owner))
+    owner, h, wide = owner[order], h[order], wide[order]
     first = np.flatnonzero(np.diff(owner, prepend=owner[0] ^ 1))
     ends = np.append(first[1:], len(owner))
+    cuts = ends - np.add.reduceat(wide.astype(np.int64), first)
     for k in range(0, len(first), 5000):
-        a, b = first[k:k + 5000], ends[k:k + 5000]
+        a, c, b = first[k:k + 5000], cuts[k:k + 5000], ends[k:k + 5000]
         yield pa.RecordBatch.from_pydict({
             "owner": pa.array(owner[a], pa.int64()),
-            "anchors": pa.array([h[i:j].tobytes() for i, j in zip(a.tolist(), b.tolist())], pa.binary())})
+            "anchors": pa.array([h[i:j].tobytes() for i, j in zip(a.tolist(), c.tolist())], pa.binary()),
+            "wide": pa.array([h[i:j].tobytes() if j > i else None for i, j in zip(c.tolist(), b.tolist())], pa.binary())})
+
+
+BY_TEXT = "owner long, anchors binary, wide binary"
 
 
 class _Contexts:
@@ -238,12 +334,16 @@ def _contexts(keys: list[int], length: int, gram: int):
         for b in batches:
             texts = [t.as_buffer().to_pybytes() for t in b.column("text")]
             docs = b.column("doc_id").to_pylist()
-            anchors = b.column("anchors")
+            anchors, wide, windows = b.column("anchors"), b.column("wide"), b.column("windows")
             for k, first, last, anchor in runs(texts, length, gram):
-                known = np.frombuffer(anchors[k].as_buffer(), np.uint64)
-                at = np.searchsorted(known, anchor)
-                at[at == len(known)] = 0
-                hit = known[at] == anchor
+                hit = among(anchors[k], anchor)
+                if windows[k].is_valid:
+                    split = among(wide[k], anchor)
+                    at, h = windows_of(texts[k], first[split], last[split], length)
+                    own = among(windows[k], h)
+                    first, last, anchor = (np.concatenate([x[hit], y[own]]) for x, y in (
+                        (first, at), (last, at), (anchor, h)))
+                    hit = slice(None)
                 out.add(docs[k], texts[k], first[hit].tolist(), last[hit].tolist(), anchor[hit].tolist(), length)
                 if out.held >= FLUSH_BYTES:
                     yield from out.rows()
@@ -399,18 +499,29 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     firsts = Table(ids.groupBy(F.col("_hash").alias("_sha")).agg(F.min("_id").alias("_first")), "firsts").df
 
     anchors = source.select("text").mapInArrow(_anchors(keys, length, gram), blobs.SCHEMA)
-    shared = blobs.dealt(anchors, parts).mapInArrow(_shared(keys), blobs.SCHEMA)
-    by_text = Table(blobs.dealt(shared, parts).mapInArrow(_by_text, "owner long, anchors binary"), "anchors")
+    shared = blobs.dealt(anchors, parts).mapInArrow(_shared(keys, GROUP), blobs.SCHEMA)
+    by_text = Table(blobs.dealt(shared, parts).mapInArrow(_by_text, BY_TEXT), "anchors")
     free_shuffles(spark)
 
     owner = F.conv(F.hex(F.substring("_sha", 1, 8)), 16, -10).cast("long")
     owned = firsts.withColumn("_owner", owner)
-    wanted = owned.join(by_text.df, F.col("_owner") == F.col("owner")).select(
-        F.col("_first").alias("_id"), "_sha", "anchors")
+    wide = Table(owned.join(by_text.df.where("wide is not null"), F.col("_owner") == F.col("owner")).select(
+        F.col("_first").alias("_id"), "_sha", "wide"), "wide")
+    windows = (source.join(wide.df, "_id").where(sha == F.col("_sha")).select("text", "wide")
+               .mapInArrow(_windows(keys, length, gram), blobs.SCHEMA))
+    shared = blobs.dealt(windows, parts).mapInArrow(_shared(keys, math.inf), blobs.SCHEMA)
+    by_window = Table(blobs.dealt(shared, parts).mapInArrow(_by_text, BY_TEXT), "windows")
+    wide.drop()
+    free_shuffles(spark)
+
+    known = by_text.df.join(by_window.df.select("owner", F.col("anchors").alias("windows")), "owner", "left")
+    wanted = owned.join(known, F.col("_owner") == F.col("owner")).select(
+        F.col("_first").alias("_id"), "_sha", "anchors", "wide", "windows")
     texts = source.join(wanted, "_id").where(sha == F.col("_sha")).select(
-        F.col("_id").alias("doc_id"), "text", "anchors")
+        F.col("_id").alias("doc_id"), "text", "anchors", "wide", "windows")
     contexts = Table(texts.mapInArrow(_contexts(keys, length, gram), CONTEXTS), "contexts")
     by_text.drop()
+    by_window.drop()
     free_shuffles(spark)
 
     verdicts = Table(blobs.dealt(contexts.df.select("row", "bucket", "anchor", "low", "size", "bytes"), parts)

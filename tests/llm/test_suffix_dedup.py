@@ -109,3 +109,34 @@ def test_repeated_ids_and_nulls(spark, docs_of):
 def test_whole_table(spark, sf, texts):
     got = sorted(map(tuple, registry.op9_suffix_dedup(spark, sf).collect()))
     assert got == sorted(brute(sorted(texts.items())))
+
+
+def test_wide_anchors(spark, docs_of, monkeypatch):
+    """One passage in thousands of surroundings: no anchor gathers their contexts."""
+    rng = random.Random(3)
+    letters = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+    passage, phrase = letters(120), letters(20)
+    rows = [(i, letters(60) + passage + letters(60)) for i in range(3000)]
+    rows += [(3000 + i, letters(60) + phrase + letters(60)) for i in range(3000)]
+    rows += [(6000 + i, rows[3000 + i][1][i % 50:100 + i % 50]) for i in range(200)]  # some surroundings come again
+    groups = {}
+
+    class Seen(suffix_dedup.Table):
+        def __init__(self, df, name, *more):
+            super().__init__(df, name, *more)
+            if name == "contexts":
+                for r in self.df.select("anchor", "size", "bytes").collect():
+                    at = 0
+                    for a, n in zip(np.frombuffer(r.anchor, np.uint64).tolist(), np.frombuffer(r.size, np.uint32).tolist()):
+                        groups.setdefault(a, set()).add(bytes(r.bytes[at:at + n]))
+                        at += n
+
+    monkeypatch.setattr(suffix_dedup, "Table", Seen)
+    assert result(suffix_dedup.remove_repeats(docs_of(rows))) == brute(rows)
+    assert max(map(len, groups.values())) <= 1024
+
+
+def test_every_anchor_wide(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP", 0)
+    rows = sample(11)
+    assert result(suffix_dedup.remove_repeats(docs_of(rows))) == brute(rows)

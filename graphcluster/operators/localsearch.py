@@ -34,6 +34,7 @@ the driver (cost, candidates, movers).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -230,7 +231,7 @@ class SearchResult:
         return self.rounds[-1][1]
 
 
-def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed: int = 0,
+def local_search(edges: DataFrame, assign: DataFrame, max_iter: int | None = 10, seed: int = 0,
                  target: str = "max_overlap", compete: str = "improving",
                  guard: bool | str = True,
                  allow_singleton: bool = True, simultaneous: bool = False,
@@ -239,9 +240,12 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
 
     History rows: round 0 is the (relabelled) input; round i the state after
     round i with the number of vertices moved.  The search stops after
-    ``max_iter`` rounds, or earlier when no vertex has an improving move.
+    ``max_iter`` rounds, or earlier when no vertex has an improving move; ``None``
+    is no limit, for the guarded search only (its cost falls, so it ends).
     With ``simultaneous=True`` the returned clustering is the cheapest seen.
     """
+    if max_iter is None and (simultaneous or not guard):
+        raise ValueError("a search without guard may never end; give max_iter")
     if simultaneous:
         allow_singleton = False
     if canonical:
@@ -259,7 +263,7 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
     rounds: list[tuple[int, int, int]] = []
     best: tuple[int, Stored] | None = None       # (cost, state) for the simultaneous variant
     moved, stopped = 0, False
-    for rnd in range(1, max_iter + 2):
+    for rnd in count(1):
         sizes = store(cluster_sizes(state.df), "ls_sizes")
         vertex = store(vertex_moves(state.df, neighbour_clusters(adj.df, state.df), sizes.df,
                                     target, allow_singleton), "ls_vertex")
@@ -274,7 +278,7 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
         if superseded is not None:
             superseded.drop()
         stopped = n_cand == 0
-        if stopped or rnd > max_iter:
+        if stopped or (max_iter is not None and rnd > max_iter):
             vertex.drop()
             break
         movers, used = improving(vertex.df), [vertex]
@@ -300,7 +304,7 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int = 10, seed:
     return SearchResult(state.df.select("vid", "cid"), rounds, stopped)
 
 
-def refine_within_clusters(edges: DataFrame, assign: DataFrame, max_iter: int = 10,
+def refine_within_clusters(edges: DataFrame, assign: DataFrame, max_iter: int | None = 10,
                            seed: int = 0, canonical: bool = False, **kw) -> SearchResult:
     """Local search on the edges inside clusters, for every cluster at once.
 

@@ -376,6 +376,19 @@ def q_cluster_job_gd_all(spark, sf):
     return cluster(e, "hash", "inner", LS_ROUNDS, SEED, canonical=True, vertices=docs).assign
 
 
+def q_refine_within_clusters_stop(spark, sf):
+    """The search inside clusters until no vertex has an improving move."""
+    e, a = _pivot(spark, sf)
+    return L.refine_within_clusters(e, a, None, SEED, canonical=True).assign
+
+
+def q_cluster_job_stop(spark, sf):
+    """The whole job on all documents until no vertex has an improving move."""
+    e = materialize(T.documents_graph(spark, sf, seed=SEED))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("vid"))
+    return cluster(e, "hash", "regular", None, SEED, canonical=True, vertices=docs).assign
+
+
 def _ls_gd(spark, sf):
     e = materialize(T.documents_graph(spark, sf, seed=SEED))
     return L.local_search(e, P.pivot_cluster(e, seed=SEED, canonical=True).assign, STOP_ROUNDS, SEED, canonical=True)
@@ -732,6 +745,22 @@ def sql_cluster_job_gd_all():
     return q.render(f"SELECT vid, cid FROM {r['state']}")
 
 
+def sql_refine_within_clusters_stop():
+    q, g, pv = _qpivot()
+    inner = q.add("inner_e", f"SELECT e.src, e.dst FROM {g} e JOIN {pv} s ON s.vid = e.src "
+                             f"JOIN {pv} d ON d.vid = e.dst WHERE s.cid = d.cid", True)
+    r = O.local_search(q, inner, pv, STOP_ROUNDS, "ls", SEED)
+    return q.render(f"SELECT vid, cid FROM {r['state']}")
+
+
+def sql_cluster_job_stop():
+    q = O.Sql()
+    g = O.graph(q, "gd", seed=SEED)
+    q.add(f"{g}_v", "SELECT DISTINCT CAST(doc_id AS BIGINT) AS vid FROM documents", True)
+    r = O.local_search(q, g, O.pivot(q, g, "hash", SEED), STOP_ROUNDS, "ls", SEED)
+    return q.render(f"SELECT vid, cid FROM {r['state']}")
+
+
 def _qls_gd():
     q = O.Sql()
     g = O.graph(q, "gd", seed=SEED)
@@ -825,6 +854,8 @@ REGISTRY: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "cluster_job_permutation": (q_cluster_job_permutation, sql_cluster_job_permutation),
     "cluster_job_csv": (q_cluster_job_csv, sql_cluster_job_csv),
     "cluster_job_gd_all": (q_cluster_job_gd_all, sql_cluster_job_gd_all),
+    "refine_within_clusters_stop": (q_refine_within_clusters_stop, sql_refine_within_clusters_stop),
+    "cluster_job_stop": (q_cluster_job_stop, sql_cluster_job_stop),
     "ls_gd_stop": (q_ls_gd_stop, sql_ls_gd_stop),
     "ls_gd_stop_history": (q_ls_gd_stop_history, sql_ls_gd_stop_history),
 }

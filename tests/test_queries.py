@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 import duckdb
 import pytest
 
@@ -46,3 +48,18 @@ def test_query_matches_oracle(spark, duck, name):
     cols = [d[0] for d in rel.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == canon(rel.fetchall(), cols)
+
+
+@pytest.mark.parametrize("name", ["cluster_job_stop", "refine_within_clusters_stop"])
+def test_searches_run_to_their_end(spark, duck, name, monkeypatch):
+    seen = []
+    search = registry.L.local_search
+
+    def watched(*args, **kw):
+        seen.append(search(*args, **kw))
+        return seen[-1]
+
+    for module in (registry.L, sys.modules["graphcluster.plans.job"]):
+        monkeypatch.setattr(module, "local_search", watched)
+    test_query_matches_oracle(spark, duck, name)
+    assert seen[0].stopped and len(seen[0].rounds) - 1 < registry.STOP_ROUNDS

@@ -391,7 +391,7 @@ def q_cluster_job_stop(spark, sf):
 
 def _ls_gd(spark, sf):
     e = materialize(T.documents_graph(spark, sf, seed=SEED))
-    return L.local_search(e, P.pivot_cluster(e, seed=SEED, canonical=True).assign, STOP_ROUNDS, SEED, canonical=True)
+    return L.local_search(e, P.pivot_cluster(e, seed=SEED, canonical=True).assign, None, SEED, canonical=True)
 
 
 def q_ls_gd_stop(spark, sf):

@@ -173,14 +173,14 @@ def features(dom: Dom) -> list[list[str]]:
     return out
 
 
-def labels(dom: Dom) -> list[int] | None:
-    """Labels of a page that marks its article (or has data-y); None if it doesn't."""
+def labels(dom: Dom, layout: bool = False) -> list[int] | None:
+    """Labels of a page that marks its article (a layout: has data-y); None if it doesn't."""
     y, marked = [0] * len(dom.tag), False
     for i in range(1, len(dom.tag)):
         tag, attrs = dom.tag[i], dom.attrs[i]
         y[i] = y[dom.parent[i]]
-        if "data-y" in attrs:
-            y[i], marked = int(attrs["data-y"] or 0), True
+        if layout and "data-y" in attrs:
+            y[i], marked = int(attrs["data-y"]), True
         elif tag in ("article", "main") and not y[i]:
             y[i] = marked = 1
         elif y[i] and (tag in ASIDE or tag in HIDDEN or names(attrs) & NAMES):
@@ -267,12 +267,12 @@ class Model:
         return "\n".join(blocks)
 
 
-def observe(pages: list[str], weight: int = 1) -> tuple[Counter, Counter]:
+def observe(pages: list[str], weight: int = 1, layout: bool = True) -> tuple[Counter, Counter]:
     """Counts of (feature, label) and (parent's label, label) over the labelled pages."""
     feature, edge = Counter(), Counter()
     for html in pages:
         dom = Dom(html)
-        y = labels(dom)
+        y = labels(dom, layout)
         if y is None:
             continue
         for i, own in enumerate(features(dom)):
@@ -295,7 +295,7 @@ def learn(pages: DataFrame, html: str = "html", key: str = "page_id", sample: in
 
         def count(batches):
             for b in batches:
-                f, e = observe(b.column(0).to_pylist())
+                f, e = observe(b.column(0).to_pylist(), layout=False)
                 yield pa.RecordBatch.from_pylist(
                     [{"name": k, "y": y, "n": v} for (k, y), v in f.items()]
                     + [{"name": f"e:{p}", "y": y, "n": v} for (p, y), v in e.items()],

@@ -86,3 +86,14 @@ def test_edges(spark, model):
     assert got[5].text == got[6].text == ("word, and word. " * 50000).strip()
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert html_model.extract(df.limit(0), html_model.learn(df.limit(0))).count() == 0
+
+
+def test_data_y_of_a_page_is_no_label(spark):
+    page = "<body><div {}>Menu</div><article><p>Text, of course.</p></article></body>"
+    values = ["12px", "1", "7", ""]
+
+    def learned(pages):
+        return html_model.learn(spark.createDataFrame(list(enumerate(pages)), "page_id long, html string"))
+
+    marked = learned([page.format(f'data-y="{v}"') for v in values])
+    assert marked == learned([page.format("") for _ in values])

@@ -206,3 +206,15 @@ def test_search_independent_of_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert base == again
+
+
+def test_stop_query_takes_no_round_limit(spark, monkeypatch):
+    """The last round of the query has no candidate, whatever the SQL's unrolling."""
+    from graphcluster.plans import registry
+    pairs = random_graph(random.Random(5), 16, 0.3)
+    monkeypatch.setattr(registry, "STOP_ROUNDS", 0)
+    monkeypatch.setattr(registry.T, "documents_graph", lambda *a, **kw: edges_df(spark, pairs))
+    res = registry._ls_gd(spark, "")
+    assert res.stopped and len(res.rounds) > 1
+    with pytest.raises(ValueError):
+        L.local_search(edges_df(spark, pairs), res.assign, None, guard=False)

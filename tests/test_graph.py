@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import assign_df, edges_df, py_cost, simple
+from graph_models import assign_df, edges_df, py_cost, simple
 from graphcluster.operators import graph as G
 from graphcluster.operators.cost import cut_edges, disagreements, vertex_disagreement
 from graphcluster.sources.tables import cooccurrence_edges, greedy_matching, star_rows

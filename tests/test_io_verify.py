@@ -7,7 +7,7 @@ import tempfile
 
 import pytest
 
-from conftest import assign_df, edges_df
+from graph_models import assign_df, edges_df
 from graphcluster.operators.verify import verify_clustering, verify_matching
 from graphcluster.sources import edges as IO
 

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from conftest import assign_df, edges_df, labels_of, py_cost, py_prio, random_graph, simple
+from graph_models import assign_df, edges_df, labels_of, py_cost, py_prio, random_graph, simple
 from graphcluster.operators import graph as G
 from graphcluster.operators import localsearch as L
 from graphcluster.operators.pivot import pivot_cluster

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import edges_df, labels_of, py_pivot, py_prio, random_graph, simple
+from graph_models import edges_df, labels_of, py_pivot, py_prio, random_graph, simple
 from graphcluster.operators import graph as G
 from graphcluster.operators.pivot import permutation_rank, pivot_cluster
 

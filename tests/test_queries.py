@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from graphcluster.plans import registry
-from conftest import SF
+from graph_models import SF
 
 TABLES = ["lineitem", "events", "documents", "part"]
 CHECK = ["gp", "gu", "gd", "pivot_hash", "pivot_permutation", "local_search_2",

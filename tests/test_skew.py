@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import assign_df, edges_df, labels_of, py_cost, random_graph, simple
+from graph_models import assign_df, edges_df, labels_of, py_cost, random_graph, simple
 from graphcluster.operators import graph as G
 from graphcluster.operators import localsearch as L
 from graphcluster.operators import pivot as P

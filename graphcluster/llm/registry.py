@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphcluster.llm import (
-    bpe_tree, html_model, language, mixing, ngram_join, quality, suffix_dedup, token_count, token_store,
-    vector_lsh)
+    bpe_tree, divergence, html_model, language, mixing, ngram_join, quality, suffix_dedup, token_count,
+    token_store, vector_lsh, warc, whitening)
 from graphcluster.llm.common import read
 from graphcluster.session import scratch_dir
 
@@ -87,16 +87,38 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_pages(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read_warc(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def queries() -> dict[str, QueryFn]:
     fns = [op1_bpe_tree, op2_token_counts, op3_token_store, op4_host_rules,
            op5_ngram_join, op6_language_filters, op7_html_model, op8_vector_lsh,
-           op9_suffix_dedup, op10_mix_sources]
+           op9_suffix_dedup, op10_mix_sources, op11_whitening, op12_arc_to_warc, op13_divergence]
     return {f.__name__: f for f in fns} | {"pipeline": corpus_pipeline.run}
 
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: SQL for the base32 letters of the hexadecimal digits ``h`` of a SHA-1.
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {1 + 5 * (i // 4)}, 5))::INT >> {15 - 5 * (i % 4)}) & 31) + 1, 1)"
+    for i in range(32))
+
+
 def oracle_sql() -> dict[str, str]:
     u = mixing.offset()
     return {
@@ -157,4 +179,34 @@ r AS (SELECT d.*, source_size, target, row_number() OVER (PARTITION BY d.source
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (SELECT *, least(3, floor(n * step + {u!r}::DOUBLE) - floor((n - 1) * step + {u!r}::DOUBLE))::BIGINT AS copies FROM r)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c""",
+        "op12_arc_to_warc": f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, row_number() OVER w AS k, first_value(page_id) OVER w AS first FROM p
+      WINDOW w AS (PARTITION BY h, payload_bytes ORDER BY page_id NULLS LAST))
+SELECT page_id, payload_bytes, {BASE32} AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first END AS refers_to FROM r""",
+        "op13_divergence": rf"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+             regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS terms FROM documents),
+w AS (SELECT lang, source, r, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+tl AS (SELECT lang, sum(total)::HUGEINT AS total FROM t GROUP BY lang),
+p AS (SELECT t.lang, t.source, kept.term, coalesce(c.n, 0) AS n,
+        1 + ({divergence.SCALE}::HUGEINT * (coalesce(c.n, 0) + {divergence.ALPHA})) // (t.total + {divergence.ALPHA} * v.v) AS p
+      FROM t JOIN kept USING (lang) JOIN v USING (lang)
+      LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = kept.term),
+q AS (SELECT s.lang, s.term, 1 + ({divergence.SCALE}::HUGEINT * (s.n + {divergence.ALPHA})) // (tl.total + {divergence.ALPHA} * v.v) AS q
+      FROM (SELECT lang, term, sum(n) AS n FROM p GROUP BY lang, term) AS s JOIN tl USING (lang) JOIN v USING (lang)),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p AS a JOIN p AS b
+      ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+      FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      UNION ALL SELECT p.lang, p.source, 'term', p.term, (p.p - q.q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p.p > q.q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM f)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= {divergence.TOP}""",
     }

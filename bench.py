@@ -26,7 +26,7 @@ HEADLINE = [
     "pivot_gu",            # PIVOT on the dense users graph
     "local_search_2",      # PIVOT + 2 guarded local-search rounds
     "local_search_sim_2",  # PIVOT + 2 all-at-once rounds
-    "refine_within_clusters",
+    "refine_within_clusters_2",  # search inside the clusters
     "disagreements",
     "verify_clustering",
     "verify_matching",

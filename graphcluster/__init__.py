@@ -18,7 +18,7 @@ from graphcluster.operators.cost import cut_edges, disagreements, vertex_disagre
 from graphcluster.operators.verify import verify_clustering, verify_matching
 from graphcluster.operators.localsearch import (
     apply_moves, best_moves, guard_moves, independent_set, local_search,
-    neighbour_clusters, refine_within_clusters,
+    neighbour_clusters, refine_one_cluster, refine_within_clusters,
 )
 from graphcluster.sources.edges import (
     read_assignments, read_edges, read_matching, write_assignments,
@@ -34,7 +34,7 @@ __all__ = [
     "edge_stats", "greedy_matching", "group_rank", "guard_moves", "independent_set",
     "intra_cluster_edges", "local_search", "neighbour_clusters", "neighbours",
     "permutation_rank", "pivot_assign", "pivot_cluster", "pivot_priorities", "pivot_round",
-    "pivot_select", "read_assignments", "read_edges", "read_matching", "refine_within_clusters",
+    "pivot_select", "read_assignments", "read_edges", "read_matching", "refine_one_cluster", "refine_within_clusters",
     "relabel", "shared_sentence_edges", "star_rows", "subgraph", "triplets", "verify_clustering",
     "verify_matching", "vertex_disagreement", "vertices_of", "write_assignments",
 ]

@@ -25,31 +25,36 @@ improving move to a neighbouring cluster moves in the same round (no
 singletons, no independent set); it can oscillate, so it keeps the best
 labelling seen.
 
-A round writes vertex-sized tables only: the cluster sizes, and for every vertex
-its own-cluster count and best move (the histogram is never written).  The cost
-follows from their sums, as exact integers.  Only a few numbers per round reach
-the driver (cost, candidates, movers).
+The search is incremental.  The state of a vertex (own cluster and its size, own
+count, best target, move) is a written table; after a round only *dirty* vertices are
+counted again: movers, their neighbours, and the neighbours of clusters whose label
+(for ``'min_delta'`` also size) has changed.  So the counting of a round follows its
+moves, and no histogram of all edges is made after the first.  Cost, candidates and
+movers are observed by the writes; a round has no job besides them.
+
+The all-at-once search ends when nothing changes or a state comes again: states are
+known by an order-free fingerprint of their labels.  In a search inside groups (see
+``refine_within_clusters``) groups without improving moves leave the working set.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphcluster.functions.packing import KEY_OFFSET, pack, packed_id, packed_key
 from graphcluster.functions.priority import beats, hash_priority
-from graphcluster.operators.cost import pair_count
-from graphcluster.operators.graph import (
-    canonical_edges, cluster_sizes, intra_cluster_edges, neighbours, relabelled,
-)
-from graphcluster.operators.rank import ranked_table
+from graphcluster.operators.graph import canonical_edges, intra_cluster_edges, neighbours, relabelled
+from graphcluster.operators.guard import guard_moves, guarded
 from graphcluster.plans.loop import Stored, materialize, store
 
 TARGETS = ("max_overlap", "min_delta")
 COMPETE = ("improving", "all")
+RETIRE = 8   #: finished groups leave once they hold one in so many vertices of the working set
 
 
 def neighbour_clusters(adj: DataFrame, assign: DataFrame) -> DataFrame:
@@ -152,42 +157,6 @@ def _independent(candidates: DataFrame, adj: DataFrame, seed: int, rnd: int,
     return candidates.join(used[-1].df, "vid", "left_anti"), used
 
 
-def guard_moves(moves: DataFrame, mode: bool | str = True) -> DataFrame:
-    """Keep a subset of independent moves whose joint cost change is negative.
-
-    For non-adjacent movers the joint change is the sum of the deltas plus one
-    missing pair for every two movers leaving the same cluster and every two
-    joining the same cluster (other cross terms only lower it).  ``'rank'``
-    (``True``): rank movers by ``(delta, vid)`` inside their source and their
-    target cluster and keep those with ``delta + (r_src - 1) + (r_dst - 1) < 0``;
-    the ranks are distributed (``group_rank``), so a huge cluster is never one
-    task.  ``'one'``: only the first leaver and the first joiner per cluster.
-    """
-    return _guarded(moves, mode)[0]
-
-
-def _guarded(moves: DataFrame, mode: bool | str) -> tuple[DataFrame, list[Stored]]:
-    """``guard_moves`` and the tables behind it."""
-    if mode is True or mode == "rank":
-        ranked = ranked_table(moves, ["from_cid"], ["delta", "vid"], "_r_src")
-        joins = ranked_table(moves.where(~F.col("fresh")).select("vid", "to_cid", "delta"),
-                             ["to_cid"], ["delta", "vid"], "_r_dst")
-        keep = (ranked.df.join(joins.df.select("vid", "_r_dst"), "vid", "left")
-                .where(F.col("delta") + (F.col("_r_src") - 1)
-                       + F.coalesce(F.col("_r_dst") - 1, F.lit(0)) < 0))
-        return keep.select(*moves.columns), [ranked, joins]
-    if mode == "one":
-        key = F.min(pack(F.lit(KEY_OFFSET) + F.col("delta"), F.col("vid"))).alias("m")
-        first = packed_id(F.col("m")).alias("vid")
-        leaders = moves.groupBy("from_cid").agg(key).select(first)
-        joiners = (moves.where(~F.col("fresh")).groupBy("to_cid").agg(key)
-                   .select(first, F.lit(True).alias("_first_in")))
-        keep = (moves.join(leaders, "vid", "left_semi").join(joiners, "vid", "left")
-                .where(F.col("fresh") | F.col("_first_in").isNotNull()))
-        return keep.select(*moves.columns), []
-    raise ValueError(f"guard must be True, 'rank' or 'one', got {mode!r}")
-
-
 def apply_moves(assign: DataFrame, moves: DataFrame, flag: bool = False) -> DataFrame:
     """New clustering after ``moves``, relabelled to smallest member ids.
 
@@ -207,14 +176,113 @@ def _applied(assign: DataFrame, moves: DataFrame, flag: bool) -> tuple[DataFrame
     return out, [keyed, labels]
 
 
-def state_cost(vertex: DataFrame, sizes: DataFrame, n_edges: int) -> tuple[int, int]:
-    """The disagreements of a state, E - sum(a) + sum C(n, 2) (``a`` counts each
-    inside edge at both ends), and the number of improving moves; exact, one job."""
-    zero, none = F.lit(0).cast("bigint"), F.lit(0).cast("decimal(38,0)")
-    parts = (vertex.select("a", (F.col("delta") < 0).cast("bigint").alias("m"), none.alias("p"))
-             .unionByName(sizes.select(zero.alias("a"), zero.alias("m"), pair_count().alias("p"))))
-    row = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "amp"]).first()
-    return int(n_edges - row["a"] + row["p"]), int(row["m"])
+# ---------------------------------------------------------------------------
+# the incremental search
+
+def _counts(rows: DataFrame, state: DataFrame, sizes: DataFrame, target: str) -> DataFrame:
+    """``(vid, a, to_cid, k)`` from adjacency ``rows``: the count in the own cluster, the
+    best other cluster and its key (minus the count there, or size minus twice the count)."""
+    hv = neighbour_clusters(rows, state).join(state.select("vid", "cid"), "vid")
+    own = F.col("nbr_cid") == F.col("cid")
+    key = F.lit(KEY_OFFSET) - F.col("n")
+    if target == "min_delta":
+        hv = hv.join(sizes.select(F.col("cid").alias("nbr_cid"), F.col("n").alias("nd")), "nbr_cid")
+        key = F.lit(KEY_OFFSET) + F.col("nd") - 2 * F.col("n")
+    per = hv.groupBy("vid").agg(F.sum(F.when(own, F.col("n"))).alias("a"),
+                                F.min(F.when(~own, pack(key, F.col("nbr_cid")))).alias("m"))
+    return per.select("vid", F.coalesce("a", F.lit(0)).cast("bigint").alias("a"), packed_id(F.col("m")).alias("to_cid"),
+                      (packed_key(F.col("m")) - KEY_OFFSET).cast("bigint").alias("k"))
+
+
+def _with_moves(base: DataFrame, sizes: DataFrame, target: str, allow_singleton: bool) -> DataFrame:
+    """``base`` (vid, cid, n, a, to_cid, k, ...) with the best move of each vertex."""
+    if target == "max_overlap":
+        base = base.join(sizes.select(F.col("cid").alias("to_cid"), F.col("n").alias("_nd")), "to_cid", "left")
+        delta = F.col("_nd") - F.col("n") + 1 + 2 * (F.col("a") + F.col("k"))
+    else:
+        delta = F.col("k") - F.col("n") + 1 + 2 * F.col("a")
+    single = 1 - F.col("n") + 2 * F.col("a")
+    fresh = (delta.isNull() | (delta >= single)) if allow_singleton else F.lit(False)
+    dest = F.when(fresh, F.col("vid")).otherwise(F.col("to_cid"))
+    return base.select("vid", "cid", "n", "a", "to_cid", "k", dest.alias("dest"), fresh.alias("fresh"),
+                       F.when(fresh, single).otherwise(delta).cast("bigint").alias("delta"),
+                       *[c for c in base.columns if c == "gid"])
+
+
+def _figures() -> dict[str, Column]:
+    """What the loop needs to know of a state: improving moves, twice the edges inside
+    clusters, twice the pairs inside clusters, and a fingerprint of its labels."""
+    wide = "decimal(38,0)"
+    return {"candidates": F.count_if(F.col("delta") < 0), "vertices": F.count("*"),
+            "inside2": F.sum(F.col("a").cast(wide)), "pairs2": F.sum((F.col("n") - 1).cast(wide)),
+            "print1": F.sum(F.xxhash64("vid", "cid").cast(wide)),
+            "print2": F.sum(F.xxhash64(F.lit(1), "cid", "vid").cast(wide))}
+
+
+def _first_state(assign: DataFrame, adj: DataFrame, target: str, allow_singleton: bool) -> Stored:
+    gid = [c for c in assign.columns if c == "gid"]
+    labels = store(assign.groupBy("cid").agg(F.min("vid").alias("_label"), F.count("*").alias("n")), "labels")
+    state = store(assign.join(labels.df, "cid").select("vid", F.col("_label").alias("cid"), "n", *gid), "ls_first")
+    sizes = labels.df.select(F.col("_label").alias("cid"), "n")
+    base = state.df.join(_counts(adj, state.df, sizes, target), "vid", "left").select(
+        "vid", "cid", "n", F.coalesce("a", F.lit(0)).cast("bigint").alias("a"), "to_cid", "k", *gid)
+    made = store(_with_moves(base, sizes, target, allow_singleton), "ls_state", **_figures())
+    labels.drop()
+    state.drop()
+    return made
+
+
+def _next_state(old: DataFrame, movers: DataFrame, adj: DataFrame, target: str,
+                allow_singleton: bool) -> tuple[Stored, int, int]:
+    """The state after the moves, how many vertices moved, and how many were counted again."""
+    gid = [c for c in old.columns if c == "gid"]
+    m = movers.select("vid", F.col("to_cid").alias("_dest"), F.col("fresh").alias("_fresh"))
+    keyed = old.drop("dest", "fresh", "delta").join(m, "vid", "left").select(
+        "vid", F.coalesce("_fresh", F.lit(False)).alias("_new"), F.coalesce("_dest", "cid").alias("_key"),
+        F.col("_dest").isNotNull().alias("moved"), "n", "a", "to_cid", "k", *gid)
+    stayed = F.max(F.when(~F.col("moved"), F.col("n")))
+    labels = store(keyed.groupBy("_new", "_key").agg(F.min("vid").alias("_label"), F.count("*").alias("_size"),
+                                                     stayed.alias("_was")), "labels")
+    changed = F.col("_new") | (F.col("_label") != F.col("_key"))
+    if target == "min_delta":  # the sizes of all adjacent clusters count
+        changed = changed | ~F.col("_size").eqNullSafe(F.col("_was"))
+    state = store(keyed.join(labels.df, ["_new", "_key"]).select(
+        "vid", F.col("_label").alias("cid"), F.col("_size").alias("n"), "a", "to_cid", "k", "moved",
+        (F.col("moved") | changed).alias("_stir"), *gid), "ls_moved", moved=F.count_if(F.col("moved")))
+    stir = state.df.where("_stir").select(F.col("vid").alias("nbr"))
+    dirty = store(adj.join(stir, "nbr", "left_semi").select("vid")
+                  .unionByName(state.df.where("moved").select("vid")).distinct(), "dirty", rows=F.count("*"))
+    sizes = labels.df.select(F.col("_label").alias("cid"), F.col("_size").alias("n"))
+    again = dirty.df.withColumn("_dirty", F.lit(True)).join(
+        _counts(adj.join(dirty.df, "vid", "left_semi"), state.df, sizes, target)
+        .select("vid", F.col("a").alias("_a"), F.col("to_cid").alias("_to"), F.col("k").alias("_k")), "vid", "left")
+    new = F.col("_dirty").isNotNull()
+    base = state.df.join(again, "vid", "left").select(
+        "vid", "cid", "n", F.when(new, F.coalesce("_a", F.lit(0))).otherwise(F.col("a")).cast("bigint").alias("a"),
+        F.when(new, F.col("_to")).otherwise(F.col("to_cid")).alias("to_cid"),
+        F.when(new, F.col("_k")).otherwise(F.col("k")).alias("k"), *gid)
+    made = store(_with_moves(base, sizes, target, allow_singleton), "ls_state", **_figures())
+    for table in (labels, state, dirty):
+        table.drop()
+    return made, state.metrics["moved"], dirty.metrics["rows"]
+
+
+def _retire(state: Stored, adj: Stored, gone: list[Stored]) -> tuple[Stored, Stored]:
+    """Let groups without improving moves leave: the state and adjacency of the others;
+    what left is added to ``gone``.  Nothing happens while it is a small part."""
+    groups = store(state.df.groupBy("gid").agg(F.max(F.col("delta") < 0).alias("live"), F.count("*").alias("v"))
+                   .withColumn("live", F.coalesce("live", F.lit(False))), "groups",
+                   done=F.sum(F.when(~F.col("live"), F.col("v"))))
+    if groups.metrics["done"] * RETIRE >= state.metrics["vertices"] and groups.metrics["done"]:
+        over = groups.df.where(~F.col("live")).select("gid")
+        gone.append(store(state.df.join(over, "gid", "left_semi"), "ls_gone", **_figures()))
+        kept = store(state.df.join(over, "gid", "left_anti"), "ls_state", **_figures())
+        rows = store(adj.df.join(kept.df.select("vid"), "vid", "left_semi"), "ls_adj", rows=F.count("*"))
+        state.drop()
+        adj.drop()
+        state, adj = kept, rows
+    groups.drop()
+    return state, adj
 
 
 @dataclass
@@ -222,86 +290,109 @@ class SearchResult:
     assign: DataFrame                          # (vid, cid)
     rounds: list[tuple[int, int, int]] = field(default_factory=list)  # (round, cost, moved)
     stopped: bool = False                      # no improving move was left
+    cost: int = 0                              # of ``assign``
+    cycle: bool = False                        # an all-at-once search came back to a state
+    counted: list[int] = field(default_factory=list)  # vertices counted in each round
+    working: list[int] = field(default_factory=list)  # vertices of the working set in each round
 
     def history(self, spark) -> DataFrame:
         return spark.createDataFrame(self.rounds, "round INT, cost BIGINT, moved BIGINT")
 
-    @property
-    def cost(self) -> int:
-        return self.rounds[-1][1]
-
 
 def local_search(edges: DataFrame, assign: DataFrame, max_iter: int | None = 10, seed: int = 0,
                  target: str = "max_overlap", compete: str = "improving",
                  guard: bool | str = True,
                  allow_singleton: bool = True, simultaneous: bool = False,
-                 canonical: bool = False) -> SearchResult:
+                 canonical: bool = False, retire: bool = False,
+                 progress: Callable[[int, int, int], None] | None = None) -> SearchResult:
     """Improve ``assign`` (covering every vertex) for the graph ``edges``.
 
     History rows: round 0 is the (relabelled) input; round i the state after
-    round i with the number of vertices moved.  The search stops after
-    ``max_iter`` rounds, or earlier when no vertex has an improving move; ``None``
-    is no limit, for the guarded search only (its cost falls, so it ends).
-    With ``simultaneous=True`` the returned clustering is the cheapest seen.
+    round i with the number of vertices moved; ``progress`` is called with each as
+    it is known.  The search stops after ``max_iter`` rounds, or earlier when no
+    vertex has an improving move.  ``None`` is no limit: the guarded search ends
+    because its cost falls, the all-at-once search (``simultaneous=True``) when a
+    state comes again; its result is the cheapest state seen.  ``retire=True``
+    declares that no edge joins two clusters of ``assign``, so that each of
+    them is searched by itself and leaves the working set when it is finished.
     """
-    if max_iter is None and (simultaneous or not guard):
+    if target not in TARGETS:
+        raise ValueError(f"target must be one of {TARGETS}, got {target!r}")
+    if compete not in COMPETE:
+        raise ValueError(f"compete must be one of {COMPETE}, got {compete!r}")
+    if max_iter is None and not simultaneous and not guard:
         raise ValueError("a search without guard may never end; give max_iter")
     if simultaneous:
-        allow_singleton = False
+        allow_singleton, retire = False, False
     if canonical:
-        canon = edges.select("src", "dst")
-        adj = store(neighbours(canon), "ls_adj")
+        adj = store(neighbours(edges.select("src", "dst")), "ls_adj", rows=F.count("*"))
     else:
         once = store(canonical_edges(edges), "ls_edges")
-        adj = store(neighbours(once.df), "ls_adj")
+        adj = store(neighbours(once.df), "ls_adj", rows=F.count("*"))
         once.drop()
-    n_edges = adj.df.count() // 2
-    first, labels = relabelled(assign.select("vid", "cid"))
-    state = store(first.withColumn("moved", F.lit(False)), "ls_state")
-    labels.drop()
-
-    rounds: list[tuple[int, int, int]] = []
-    best: tuple[int, Stored] | None = None       # (cost, state) for the simultaneous variant
-    moved, stopped = 0, False
+    n_edges = adj.metrics["rows"] // 2
+    start = assign.select("vid", "cid", *([F.col("cid").alias("gid")] if retire else []))
+    state = _first_state(start, adj.df, target, allow_singleton)
+    result = SearchResult(assign)
+    gone: list[Stored] = []                      # finished groups
+    best: tuple[int, Stored] | None = None       # (cost, state) of the all-at-once search
+    seen: set[tuple[int, int]] = set()
+    moved, counted = 0, state.metrics["vertices"]
     for rnd in count(1):
-        sizes = store(cluster_sizes(state.df), "ls_sizes")
-        vertex = store(vertex_moves(state.df, neighbour_clusters(adj.df, state.df), sizes.df,
-                                    target, allow_singleton), "ls_vertex")
-        cost, n_cand = state_cost(vertex.df, sizes.df, n_edges)
-        sizes.drop()
-        rounds.append((rnd - 1, cost, moved))
+        parts = [state.metrics, *(g.metrics for g in gone)]
+        cost = n_edges - sum(p["inside2"] for p in parts) + sum(p["pairs2"] for p in parts) // 2
+        result.rounds.append((rnd - 1, cost, moved))
+        result.counted.append(counted)
+        result.working.append(state.metrics["vertices"])
+        if progress:
+            progress(rnd - 1, cost, moved)
         superseded = None
         if simultaneous:
+            mark = (state.metrics["print1"], state.metrics["print2"])
+            result.cycle = mark in seen
+            seen.add(mark)
             if best is None or cost < best[0]:
                 superseded = best[1] if best else None
                 best = (cost, state)
         if superseded is not None:
             superseded.drop()
-        stopped = n_cand == 0
-        if stopped or (max_iter is not None and rnd > max_iter):
-            vertex.drop()
+        result.stopped = state.metrics["candidates"] == 0
+        if result.stopped or result.cycle or (max_iter is not None and rnd > max_iter):
             break
-        movers, used = improving(vertex.df), [vertex]
+        if retire:
+            state, adj = _retire(state, adj, gone)
+        movers = state.df.where(F.col("delta") < 0).select(
+            "vid", F.col("cid").alias("from_cid"), F.col("dest").alias("to_cid"), "fresh", "delta")
+        used: list[Stored] = []
         if not simultaneous:
-            free, more = _independent(movers, adj.df, seed, rnd, compete)
-            used += [store(free, "ls_indep"), *more]
-            movers = used[1].df
+            movers, more = _independent(movers, adj.df, seed, rnd, compete)
+            used += more
             if guard:
-                movers, more = _guarded(movers, guard)
+                movers, more = guarded(movers, guard)
                 used += more
-        after, more = _applied(state.df, movers, True)
-        nxt = store(after, "ls_state")
-        moved = nxt.df.where("moved").count()
-        for table in [*used, *more]:
+        after, moved, counted = _next_state(state.df, movers, adj.df, target, allow_singleton)
+        for table in used:
             table.drop()
         if best is None or best[1] is not state:
             state.drop()
-        state = nxt
+        state = after
     adj.drop()
-    if best is not None and best[1] is not state:
-        state.drop()
-        state = best[1]
-    return SearchResult(state.df.select("vid", "cid"), rounds, stopped)
+    result.cost = result.rounds[-1][1]
+    if best is not None:
+        result.cost = best[0]
+        if best[1] is not state:
+            state.drop()
+            state = best[1]
+    if gone:
+        whole = state.df.select("vid", "cid")
+        for table in gone:
+            whole = whole.unionByName(table.df.select("vid", "cid"))
+        last = store(whole, "ls_state")
+        for table in (state, *gone):
+            table.drop()
+        state = last
+    result.assign = state.df.select("vid", "cid")
+    return result
 
 
 def refine_within_clusters(edges: DataFrame, assign: DataFrame, max_iter: int | None = 10,
@@ -311,9 +402,28 @@ def refine_within_clusters(edges: DataFrame, assign: DataFrame, max_iter: int |
     The clusters are disjoint in that subgraph, so one run refines all of them
     in parallel and can only split clusters; edges between clusters stay cut,
     so the full-graph cost changes exactly as the subgraph cost (history costs
-    are those of the subgraph).
+    are those of the subgraph).  A cluster without improving moves leaves the
+    working set, so later rounds read only those that are still being split.
     """
     canon = edges.select("src", "dst") if canonical else canonical_edges(edges)
     inner = intra_cluster_edges(canon, assign.select("vid", "cid"))
     return local_search(inner.select("src", "dst"), assign, max_iter, seed,
-                        canonical=True, **kw)
+                        canonical=True, **({"retire": True} | kw))
+
+
+def refine_one_cluster(edges: DataFrame, assign: DataFrame, cid: int, max_iter: int | None = 10,
+                       seed: int = 0, canonical: bool = False, **kw) -> SearchResult:
+    """Local search on the subgraph of cluster ``cid`` alone.
+
+    The result covers all vertices: the others keep their cluster (under its
+    smallest member's id).  History costs are those of the subgraph.
+    """
+    canon = edges.select("src", "dst") if canonical else canonical_edges(edges)
+    own = store(assign.where(F.col("cid") == cid).select("vid", "cid"), "one-cluster")
+    inner = intra_cluster_edges(canon, own.df)
+    result = local_search(inner.select("src", "dst"), own.df, max_iter, seed, canonical=True, **kw)
+    rest, labels = relabelled(assign.where(F.col("cid") != cid).select("vid", "cid"))
+    result.assign = materialize(rest.unionByName(result.assign), "ls_state")
+    labels.drop()
+    own.drop()
+    return result

@@ -15,7 +15,8 @@ edge between two unassigned vertices in both directions, plus one self row
 
 The pivots and the new labels of a round are written as vertex-sized tables
 before they are joined to the adjacency: they are computed once, the planner
-knows their sizes, and both sides of each join are shuffled for it, so a hub's
+knows their sizes, the writes observe how many rows they are (a round has no other
+job), and both sides of each join are shuffled for it, so a hub's
 rows can be split.
 
 The pivot set equals that of sequential PIVOT in ``(prio, id)`` order.  With
@@ -99,11 +100,12 @@ def pivot_assign(active: DataFrame, pivots: DataFrame) -> DataFrame:
 def pivot_round(active: DataFrame) -> tuple[Stored, Stored]:
     """One PIVOT round: the new labels ``(vid, cid)`` and the active rows that survive them."""
     pivots = store(pivot_select(active), "pivots")
-    fresh = store(pivot_assign(active, pivots.df), "fresh")
+    fresh = store(pivot_assign(active, pivots.df), "fresh", assigned=F.count("*"),
+                  pivots=F.count_if(F.col("vid") == F.col("cid")))
     gone = fresh.df.select("vid")
     kept = store(active.join(gone, "vid", "left_anti")
                  .join(gone.select(F.col("vid").alias("nbr")), "nbr", "left_anti")
-                 .select("vid", "vprio", "nbr", "nprio"), "active")
+                 .select("vid", "vprio", "nbr", "nprio"), "active", rows=F.count("*"))
     pivots.drop()
     return fresh, kept
 
@@ -151,24 +153,19 @@ def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: st
         used.append(store(pivot_priorities(verts, order, seed, method), "prio"))
     prio = used[-1].df
 
-    active = store(active_adjacency(canon, prio), "active")
+    active = store(active_adjacency(canon, prio), "active", rows=F.count("*"))
     done: list[Stored] = []
-    while not active.df.isEmpty():
+    while active.metrics["rows"]:
         fresh, kept = pivot_round(active.df)
         active.drop()
         active = kept
         done.append(fresh)
     active.drop()
-    tagged = prio.select("vid", F.col("vid").alias("cid"), F.lit(0).alias("rnd")).where(F.lit(False))
-    for rnd, fresh in enumerate(done, 1):
-        tagged = tagged.unionByName(fresh.df.select("vid", "cid", F.lit(rnd).alias("rnd")))
-    result = store(tagged, "pivot_rounds")
-    # per-round statistics in one small aggregate (one row per round)
-    stats = (result.df.groupBy("rnd")
-             .agg(F.count(F.when(F.col("vid") == F.col("cid"), 1)).alias("p"),
-                  F.count("*").alias("n"))
-             .orderBy("rnd").collect())
-    rounds = [(int(r["rnd"]), int(r["p"]), int(r["n"])) for r in stats]
+    rounds = [(rnd, t.metrics["pivots"], t.metrics["assigned"]) for rnd, t in enumerate(done, 1)]
+    labels = prio.select("vid", F.col("vid").alias("cid")).where(F.lit(False))
+    for fresh in done:
+        labels = labels.unionByName(fresh.df)
+    result = store(labels, "pivot_rounds")
     if tie == "min_prio":
         done.append(result)
         result = store(reattach_min_prio(canon, prio, result.df.select("vid", "cid"), used), "pivot")

@@ -17,6 +17,9 @@ key (hubs, labels, cluster sizes, pivots) is written first.  A join that feeds
 an aggregate on the same key is split only if the session allows the extra
 shuffle, which ``store`` sets while it writes.
 
+Figures that a loop decides by (how many rows, sums of a column) are observed by
+the write itself and come with the handle, so no further job reads the table.
+
 A ``Stored`` is the only handle to a table: whoever holds it may ``drop`` it;
 nothing is ever deleted by way of a DataFrame.  Tables that back a lazily
 returned DataFrame stay in the checkpoint folder with the application.
@@ -26,9 +29,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from graphcluster.session import scratch_dir
 
@@ -48,21 +52,28 @@ def split_skew(spark: SparkSession) -> Iterator[None]:
 
 @dataclass(frozen=True)
 class Stored:
-    """A written table."""
+    """A written table and the figures observed while it was written."""
     df: DataFrame
     path: str
+    metrics: dict = field(default_factory=dict)
 
     def drop(self) -> None:
         release_path(self.df.sparkSession, self.path)
 
 
-def store(df: DataFrame, name: str = "table") -> Stored:
-    """Write ``df`` as Parquet under the checkpoint folder; the handle reads it back."""
+def store(df: DataFrame, name: str = "table", **metrics: Column) -> Stored:
+    """Write ``df`` as Parquet under the checkpoint folder; the handle reads it back.
+
+    ``metrics`` are aggregates over the rows; a sum over no rows counts as 0.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    seen = Observation()
+    watched = df.observe(seen, *[F.coalesce(m, F.lit(0)).alias(k) for k, m in metrics.items()]) if metrics else df
     with split_skew(spark):
-        df.write.mode("overwrite").parquet(path)
-    return Stored(spark.read.schema(df.schema).parquet(path), path)
+        watched.write.mode("overwrite").parquet(path)
+    found = {k: int(v) for k, v in seen.get.items()} if metrics else {}
+    return Stored(spark.read.schema(df.schema).parquet(path), path, found)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -2,8 +2,8 @@
 
 The SQL mirrors the *semantics* of the Spark operators (same hash
 priorities, same tie-breaks), not their plans: PIVOT is a recursive CTE that
-carries the whole vertex table per round, local search is unrolled into one
-block of CTEs per round.  ``Sql`` collects named CTEs so queries can be
+carries the whole vertex table per round; so is a local search to its end, a search
+of a given number of rounds is unrolled into one block of CTEs per round.  ``Sql`` collects named CTEs so queries can be
 composed (graph -> PIVOT -> local search -> cost).
 """
 
@@ -297,6 +297,72 @@ def local_search(q: Sql, edges: str, init: str, rounds: int, prefix: str = "ls",
     return out
 
 
+def search_to_end(q: Sql, edges: str, init: str, prefix: str = "ls", seed: int = 0,
+                  simultaneous: bool = False, most: int = 200) -> dict:
+    """A guarded search (largest overlap, improving vertices compete), or an all-at-once
+    one, as a recursive CTE that ends when no vertex has an improving move; an
+    all-at-once search that still moves after ``most`` rounds must have come back
+    to an earlier state, else the statement fails.  Returns names like ``local_search``."""
+    adj = adjacency(q, edges)
+    s0 = relabelled(q, init, f"{prefix}_s0")
+    st = f"{prefix}_st"
+    single = "1 - nc + 2 * a"
+    use = "false" if simultaneous else f"(dmove IS NULL OR dmove >= {single})"
+    if simultaneous:
+        moves = "mo AS (SELECT * FROM c)"
+    else:
+        moves = f"""pr AS MATERIALIZED (SELECT vid, {H(seed, 'rnd', 'vid')} AS p FROM c),
+    bl AS (SELECT DISTINCT a.vid FROM {adj} a JOIN pr v ON v.vid = a.vid JOIN pr n ON n.vid = a.nbr
+           WHERE n.p < v.p OR (n.p = v.p AND a.nbr < a.vid)),
+    ind AS MATERIALIZED (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM bl WHERE bl.vid = c.vid)),
+    rk AS (SELECT *, row_number() OVER (PARTITION BY from_cid ORDER BY delta, vid) AS rs FROM ind),
+    rd AS (SELECT vid, row_number() OVER (PARTITION BY to_cid ORDER BY delta, vid) AS rt FROM ind WHERE NOT fresh),
+    mo AS MATERIALIZED (SELECT rk.* FROM rk LEFT JOIN rd ON rd.vid = rk.vid
+                        WHERE delta + rs - 1 + COALESCE(rt - 1, 0) < 0)"""
+    q.add(f"{st}(rnd, vid, cid, moved)", f"""
+  SELECT 0, vid, cid, false FROM {s0}
+  UNION ALL
+  SELECT * FROM (
+    WITH cur AS MATERIALIZED (SELECT * FROM {st}),
+    z AS MATERIALIZED (SELECT cid, count(*) AS n FROM cur GROUP BY cid),
+    hv AS MATERIALIZED (
+      SELECT h.vid, h.nbr_cid, h.n, s.cid FROM (
+        SELECT a.vid, s.cid AS nbr_cid, count(*) AS n FROM {adj} a JOIN cur s ON s.vid = a.nbr GROUP BY a.vid, s.cid) h
+      JOIN cur s ON s.vid = h.vid),
+    pk AS (SELECT vid, m.d AS to_cid, -m.k AS b FROM (
+             SELECT vid, min(struct_pack(k := -n, d := nbr_cid)) AS m FROM hv WHERE nbr_cid <> cid GROUP BY vid)),
+    mv AS (SELECT s.rnd + 1 AS rnd, s.vid, s.cid, zc.n AS nc, COALESCE(o.n, 0) AS a, p.to_cid,
+                  zt.n - zc.n + 1 + 2 * (COALESCE(o.n, 0) - p.b) AS dmove
+           FROM cur s JOIN z zc ON zc.cid = s.cid LEFT JOIN hv o ON o.vid = s.vid AND o.nbr_cid = o.cid
+           LEFT JOIN pk p ON p.vid = s.vid LEFT JOIN z zt ON zt.cid = p.to_cid),
+    c AS MATERIALIZED (SELECT rnd, vid, cid AS from_cid, CASE WHEN u THEN vid ELSE to_cid END AS to_cid, u AS fresh,
+             CASE WHEN u THEN {single} ELSE dmove END AS delta
+           FROM (SELECT *, {use} AS u FROM mv) WHERE CASE WHEN u THEN {single} ELSE dmove END < 0),
+    {moves},
+    k AS (SELECT s.rnd, s.vid, COALESCE(m.fresh, false) AS fresh, COALESCE(m.to_cid, s.cid) AS cid, m.vid IS NOT NULL AS moved
+          FROM cur s LEFT JOIN mo m ON m.vid = s.vid)
+    SELECT rnd + 1, vid, min(vid) OVER (PARTITION BY fresh, cid), moved FROM k
+    WHERE EXISTS (SELECT 1 FROM c){f' AND rnd < {most}' if simultaneous else ''}
+  )""")
+    costs = q.add(f"{prefix}_costs", f"""
+  SELECT p.rnd AS round, CAST(e.k - 2 * COALESCE(i.n, 0) + p.pairs AS BIGINT) AS cost, p.moved, p.mark
+  FROM (SELECT rnd, sum(n * (n - 1) // 2) AS pairs, sum(moved)::BIGINT AS moved, sum(mark) AS mark FROM (
+          SELECT rnd, cid, count(*) AS n, count(*) FILTER (moved) AS moved, sum(hash(vid, cid)::HUGEINT) AS mark
+          FROM {st} GROUP BY rnd, cid) GROUP BY rnd) p
+  LEFT JOIN (SELECT s.rnd, count(*) AS n FROM {edges} x JOIN {st} s ON s.vid = x.src
+             JOIN {st} d ON d.vid = x.dst AND d.rnd = s.rnd WHERE s.cid = d.cid GROUP BY s.rnd) i ON i.rnd = p.rnd,
+  (SELECT count(*) AS k FROM {edges}) e""", True)
+    if simultaneous:
+        picked = f"""(SELECT CASE WHEN (SELECT max(round) FROM {costs}) >= {most}
+             AND (SELECT count(DISTINCT mark) = count(*) FROM {costs}) THEN error('the search has not ended')
+             ELSE (SELECT round FROM {costs} ORDER BY cost, round LIMIT 1) END)"""
+    else:
+        picked = f"(SELECT max(rnd) FROM {st})"
+    final = q.add(f"{prefix}_final", f"SELECT vid, cid FROM {st} WHERE rnd = {picked}", True)
+    history = q.add(f"{prefix}_hist", f"SELECT round, cost, moved FROM {costs}")
+    return {"state": final, "history": history}
+
+
 def star_rows(q: Sql, which: str = "gp", seed: int = 0) -> str:
     """Raw star rows of a graph (needs ``graph(q, which)`` first): CTE ``<which>_raw``."""
     graph(q, which, seed=seed)

@@ -3,7 +3,9 @@
 Every query reads the driver's tables and derives the graph ``gp`` (parts
 linked through orders, star co-occurrence, seed 0) or ``gu`` / ``gd`` from
 them, so its work grows with the tables.  Queries that need a clustering use
-the hash-order PIVOT of that graph; local-search queries run two rounds.
+the hash-order PIVOT of that graph.  Local-search queries named ``_2`` run two
+rounds, all others until no vertex has an improving move (or, all at once, until a
+state comes again).
 """
 
 from __future__ import annotations
@@ -28,7 +30,6 @@ from graphcluster.sources import tables as T
 
 SEED = 0
 LS_ROUNDS = 2
-STOP_ROUNDS = 24   # more than the documents graph needs until nothing improves
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -224,7 +225,7 @@ def q_pivot_gd(spark, sf):
 
 def q_cluster_job_inner_gd(spark, sf):
     e = materialize(T.documents_graph(spark, sf, seed=SEED))
-    return cluster(e, "hash", "inner", LS_ROUNDS, SEED, canonical=True).assign
+    return cluster(e, "hash", "inner", None, SEED, canonical=True).assign
 
 
 def q_relabel(spark, sf):
@@ -293,11 +294,23 @@ def q_local_search_sim_2(spark, sf):
     return _ls(spark, sf, simultaneous=True).assign
 
 
-def q_refine_within_clusters(spark, sf):
+def q_refine_within_clusters_2(spark, sf):
     e, a = _pivot(spark, sf)
     return L.refine_within_clusters(e, a, LS_ROUNDS, SEED, canonical=True).assign
 
 
+def _largest(a: DataFrame) -> int:
+    """The label of the largest cluster, the smallest of several."""
+    return G.cluster_sizes(a).orderBy(F.desc("n"), "cid").first()["cid"]
+
+
+def q_refine_one_cluster(spark, sf):
+    """The search inside the largest cluster of the users graph alone."""
+    e = materialize(T.users_graph(spark, sf, seed=SEED))
+    a = P.pivot_cluster(e, seed=SEED, canonical=True).assign
+    return L.refine_one_cluster(e, a, _largest(a), None, SEED, canonical=True).assign
+
+
 def q_cut_edges(spark, sf):
     e, a = _pivot(spark, sf)
     return cut_edges(e, a)
@@ -337,15 +350,27 @@ def q_verify_matching_broken(spark, sf):
 
 
 def q_cluster_job(spark, sf):
+    """The whole job on the parts graph until no vertex has an improving move."""
+    return cluster(_gp(spark, sf), "hash", "regular", None, SEED, canonical=True).assign
+
+
+def q_cluster_job_2(spark, sf):
     return cluster(_gp(spark, sf), "hash", "regular", LS_ROUNDS, SEED, canonical=True).assign
 
 
-def q_cluster_job_sim(spark, sf):
+def q_cluster_job_sim_stop(spark, sf):
+    """All at once on the documents graph, until nothing changes or a state comes
+    again; the cheapest state."""
+    e = materialize(T.documents_graph(spark, sf, seed=SEED))
+    return cluster(e, "hash", "simultaneous", None, SEED, canonical=True).assign
+
+
+def q_cluster_job_sim_2(spark, sf):
     return cluster(_gp(spark, sf), "hash", "simultaneous", LS_ROUNDS, SEED, canonical=True).assign
 
 
 def q_cluster_job_inner(spark, sf):
-    return cluster(_gp(spark, sf), "hash", "inner", LS_ROUNDS, SEED, canonical=True).assign
+    return cluster(_gp(spark, sf), "hash", "inner", None, SEED, canonical=True).assign
 
 
 def q_verify_clustering_unassigned(spark, sf):
@@ -353,30 +378,43 @@ def q_verify_clustering_unassigned(spark, sf):
     return verify_clustering(e, _unassigned(a))
 
 
-def q_cluster_job_permutation(spark, sf):
+def q_cluster_job_permutation_gd(spark, sf):
+    e = materialize(T.documents_graph(spark, sf, seed=SEED))
+    return cluster(e, "permutation", "regular", None, SEED, canonical=True).assign
+
+
+def q_cluster_job_permutation_2(spark, sf):
     return cluster(_gp(spark, sf), "permutation", "regular", LS_ROUNDS, SEED, canonical=True).assign
 
 
-def q_cluster_job_csv(spark, sf):
+def _job_csv(spark, raw: DataFrame, rounds: int | None) -> DataFrame:
     """The whole job on raw input: star rows in both directions, with repeats and
     self-loops, as CSV; read, clustered, written and read back."""
-    li = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey")
-    raw = T.star_rows(li, "l_partkey", "l_orderkey", SEED)
     both = raw.unionByName(raw.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     given, found = scratch_dir(spark, "raw-csv"), scratch_dir(spark, "clusters-csv")
     both.write.mode("overwrite").csv(given)
-    IO.write_assignments(cluster(IO.read_edges(spark, given), "hash", "regular", LS_ROUNDS, SEED).assign, found)
+    IO.write_assignments(cluster(IO.read_edges(spark, given), "hash", "regular", rounds, SEED).assign, found)
     return IO.read_assignments(spark, found)
 
 
+def q_cluster_job_csv_2(spark, sf):
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey")
+    return _job_csv(spark, T.star_rows(li, "l_partkey", "l_orderkey", SEED), LS_ROUNDS)
+
+
+def q_cluster_job_csv_gd(spark, sf):
+    """The same on the documents graph, to the search's end."""
+    return _job_csv(spark, T.documents_graph(spark, sf, seed=SEED), None)
+
+
 def q_cluster_job_gd_all(spark, sf):
     """Every document gets a cluster, also those that share no sentence."""
     e = materialize(T.documents_graph(spark, sf, seed=SEED))
     docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("vid"))
-    return cluster(e, "hash", "inner", LS_ROUNDS, SEED, canonical=True, vertices=docs).assign
+    return cluster(e, "hash", "inner", None, SEED, canonical=True, vertices=docs).assign
 
 
-def q_refine_within_clusters_stop(spark, sf):
+def q_refine_within_clusters(spark, sf):
     """The search inside clusters until no vertex has an improving move."""
     e, a = _pivot(spark, sf)
     return L.refine_within_clusters(e, a, None, SEED, canonical=True).assign
@@ -530,14 +568,34 @@ def sql_pivot_gd():
     return q.render(f"SELECT vid, cid FROM {pv}")
 
 
-def sql_inner_job_gd():
+def _inner(q, g, pv):
+    """CTE of the edges inside the clusters of ``pv``."""
+    return q.add("inner_e", f"SELECT e.src, e.dst FROM {g} e JOIN {pv} s ON s.vid = e.src "
+                            f"JOIN {pv} d ON d.vid = e.dst WHERE s.cid = d.cid", True)
+
+
+def _to_end(which="gp", order="hash", inner=False, everyone="", field="state", columns="vid, cid", **kw):
+    """SQL of a whole search; ``everyone`` selects vertices besides those of edges."""
+    def f():
+        q = O.Sql()
+        g = O.graph(q, which, seed=SEED)
+        if everyone:
+            q.add(f"{g}_v", everyone, True)
+        pv = O.pivot(q, g, order, SEED)
+        r = O.search_to_end(q, _inner(q, g, pv) if inner else g, pv, "ls", SEED, **kw)
+        return q.render(f"SELECT {columns} FROM {r[field]}")
+    return f
+
+
+def sql_refine_one_cluster():
     q = O.Sql()
-    g = O.graph(q, "gd", seed=SEED)
+    g = O.graph(q, "gu", seed=SEED)
     pv = O.pivot(q, g, "hash", SEED)
-    inner = q.add("inner_e", f"SELECT e.src, e.dst FROM {g} e JOIN {pv} s ON s.vid = e.src "
-                             f"JOIN {pv} d ON d.vid = e.dst WHERE s.cid = d.cid", True)
-    r = O.local_search(q, inner, pv, LS_ROUNDS, "ls", SEED)
-    return q.render(f"SELECT vid, cid FROM {r['state']}")
+    one = q.add("one", f"SELECT * FROM {pv} WHERE cid = (SELECT cid FROM {pv} GROUP BY cid "
+                       "ORDER BY count(*) DESC, cid LIMIT 1)", True)
+    r = O.search_to_end(q, _inner(q, g, one), one, "ls", SEED)
+    return q.render(f"""SELECT vid, min(vid) OVER (PARTITION BY cid) AS cid FROM {pv}
+WHERE cid NOT IN (SELECT cid FROM {one}) UNION ALL SELECT vid, cid FROM {r['state']}""")
 
 
 def sql_vertices_of():
@@ -668,11 +726,9 @@ def sql_ls_history():
     return q.render(f"SELECT CAST(round AS INTEGER) AS round, cost, moved FROM {r['history']}")
 
 
-def sql_refine_within_clusters():
+def sql_refine_within_clusters_2():
     q, g, pv = _qpivot()
-    inner = q.add("inner_e", f"SELECT e.src, e.dst FROM {g} e JOIN {pv} s ON s.vid = e.src "
-                             f"JOIN {pv} d ON d.vid = e.dst WHERE s.cid = d.cid", True)
-    r = O.local_search(q, inner, pv, LS_ROUNDS, "ls", SEED)
+    r = O.local_search(q, _inner(q, g, pv), pv, LS_ROUNDS, "ls", SEED)
     return q.render(f"SELECT vid, cid FROM {r['state']}")
 
 
@@ -734,47 +790,8 @@ def sql_cluster_job_csv():
     return q.render(f"SELECT vid, cid FROM {r['state']}")
 
 
-def sql_cluster_job_gd_all():
-    q = O.Sql()
-    g = O.graph(q, "gd", seed=SEED)
-    q.add(f"{g}_v", "SELECT DISTINCT CAST(doc_id AS BIGINT) AS vid FROM documents", True)
-    pv = O.pivot(q, g, "hash", SEED)
-    inner = q.add("inner_e", f"SELECT e.src, e.dst FROM {g} e JOIN {pv} s ON s.vid = e.src "
-                             f"JOIN {pv} d ON d.vid = e.dst WHERE s.cid = d.cid", True)
-    r = O.local_search(q, inner, pv, LS_ROUNDS, "ls", SEED)
-    return q.render(f"SELECT vid, cid FROM {r['state']}")
-
-
-def sql_refine_within_clusters_stop():
-    q, g, pv = _qpivot()
-    inner = q.add("inner_e", f"SELECT e.src, e.dst FROM {g} e JOIN {pv} s ON s.vid = e.src "
-                             f"JOIN {pv} d ON d.vid = e.dst WHERE s.cid = d.cid", True)
-    r = O.local_search(q, inner, pv, STOP_ROUNDS, "ls", SEED)
-    return q.render(f"SELECT vid, cid FROM {r['state']}")
-
-
-def sql_cluster_job_stop():
-    q = O.Sql()
-    g = O.graph(q, "gd", seed=SEED)
-    q.add(f"{g}_v", "SELECT DISTINCT CAST(doc_id AS BIGINT) AS vid FROM documents", True)
-    r = O.local_search(q, g, O.pivot(q, g, "hash", SEED), STOP_ROUNDS, "ls", SEED)
-    return q.render(f"SELECT vid, cid FROM {r['state']}")
-
-
-def _qls_gd():
-    q = O.Sql()
-    g = O.graph(q, "gd", seed=SEED)
-    return q, O.local_search(q, g, O.pivot(q, g, "hash", SEED), STOP_ROUNDS, "ls", SEED)
-
-
-def sql_ls_gd_stop():
-    q, r = _qls_gd()
-    return q.render(f"SELECT vid, cid FROM {r['state']}")
-
-
-def sql_ls_gd_stop_history():
-    q, r = _qls_gd()
-    return q.render(f"SELECT CAST(round AS INTEGER) AS round, cost, moved FROM {r['history']}")
+DOCUMENTS = "SELECT DISTINCT CAST(doc_id AS BIGINT) AS vid FROM documents"
+HISTORY = "CAST(round AS INTEGER) AS round, cost, moved"
 
 
 def sql_verify_matching():
@@ -793,10 +810,6 @@ def sql_verify_matching_broken():
     return _sql_verify_matching(q, g, b)
 
 
-def sql_inner_job():
-    return sql_refine_within_clusters()
-
-
 # name -> (spark query, oracle SQL builder or None)
 REGISTRY: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "gp": (q_gp, sql_gp),
@@ -838,7 +851,8 @@ REGISTRY: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "local_search_unguarded_2": (q_local_search_unguarded_2, sql_ls(guard=False, compete="all")),
     "ls_history": (q_ls_history, sql_ls_history),
     "local_search_sim_2": (q_local_search_sim_2, sql_ls(simultaneous=True)),
-    "refine_within_clusters": (q_refine_within_clusters, sql_refine_within_clusters),
+    "refine_within_clusters_2": (q_refine_within_clusters_2, sql_refine_within_clusters_2),
+    "refine_one_cluster": (q_refine_one_cluster, sql_refine_one_cluster),
     "cut_edges": (q_cut_edges, sql_cut_edges),
     "disagreements": (q_disagreements, sql_disagreements),
     "vertex_disagreement": (q_vertex_disagreement, sql_vertex_disagreement),
@@ -846,18 +860,22 @@ REGISTRY: dict[str, tuple[QueryFn, Callable[[], str] | None]] = {
     "verify_clustering_broken": (q_verify_clustering_broken, sql_verify_clustering_broken),
     "verify_matching": (q_verify_matching, sql_verify_matching),
     "verify_matching_broken": (q_verify_matching_broken, sql_verify_matching_broken),
-    "cluster_job": (q_cluster_job, sql_ls()),
-    "cluster_job_sim": (q_cluster_job_sim, sql_ls(simultaneous=True)),
-    "cluster_job_inner": (q_cluster_job_inner, sql_inner_job),
-    "cluster_job_inner_gd": (q_cluster_job_inner_gd, sql_inner_job_gd),
+    "cluster_job": (q_cluster_job, _to_end()),
+    "cluster_job_2": (q_cluster_job_2, sql_ls()),
+    "cluster_job_sim_stop": (q_cluster_job_sim_stop, _to_end("gd", simultaneous=True)),
+    "cluster_job_sim_2": (q_cluster_job_sim_2, sql_ls(simultaneous=True)),
+    "cluster_job_inner": (q_cluster_job_inner, _to_end(inner=True)),
+    "cluster_job_inner_gd": (q_cluster_job_inner_gd, _to_end("gd", inner=True)),
     "verify_clustering_unassigned": (q_verify_clustering_unassigned, sql_verify_clustering_unassigned),
-    "cluster_job_permutation": (q_cluster_job_permutation, sql_cluster_job_permutation),
-    "cluster_job_csv": (q_cluster_job_csv, sql_cluster_job_csv),
-    "cluster_job_gd_all": (q_cluster_job_gd_all, sql_cluster_job_gd_all),
-    "refine_within_clusters_stop": (q_refine_within_clusters_stop, sql_refine_within_clusters_stop),
-    "cluster_job_stop": (q_cluster_job_stop, sql_cluster_job_stop),
-    "ls_gd_stop": (q_ls_gd_stop, sql_ls_gd_stop),
-    "ls_gd_stop_history": (q_ls_gd_stop_history, sql_ls_gd_stop_history),
+    "cluster_job_permutation_2": (q_cluster_job_permutation_2, sql_cluster_job_permutation),
+    "cluster_job_permutation_gd": (q_cluster_job_permutation_gd, _to_end("gd", "permutation")),
+    "cluster_job_csv_2": (q_cluster_job_csv_2, sql_cluster_job_csv),
+    "cluster_job_csv_gd": (q_cluster_job_csv_gd, _to_end("gd")),
+    "cluster_job_gd_all": (q_cluster_job_gd_all, _to_end("gd", inner=True, everyone=DOCUMENTS)),
+    "refine_within_clusters": (q_refine_within_clusters, _to_end(inner=True)),
+    "cluster_job_stop": (q_cluster_job_stop, _to_end("gd", everyone=DOCUMENTS)),
+    "ls_gd_stop": (q_ls_gd_stop, _to_end("gd")),
+    "ls_gd_stop_history": (q_ls_gd_stop_history, _to_end("gd", field="history", columns=HISTORY)),
 }
 
 

@@ -32,6 +32,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "graphc
         .config("spark.driver.memory", driver_memory)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.parquet.aggregatePushdown", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
         .config("spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     )

@@ -29,8 +29,10 @@ def parse(argv):
     p.add_argument("pivot", help="pivot=hash or pivot=permutation")
     p.add_argument("input")
     p.add_argument("output")
-    p.add_argument("iterations", type=int)
+    p.add_argument("iterations", type=lambda s: None if s == "all" else int(s),
+                   help="rounds of the local search; all: until it ends")
     p.add_argument("ls", nargs="?", default="ls=regular")
+    p.add_argument("--vertices", help="CSV of vertices (vid in the first column) that may have no edge")
     p.add_argument("--seed", type=int, default=0)
     p.add_argument("--tie", default="min_id", choices=["min_id", "min_prio"])
     p.add_argument("--target", default="max_overlap", choices=["max_overlap", "min_delta"])
@@ -51,16 +53,16 @@ def main(argv=None) -> int:
     a = parse(argv)
     spark = SparkSession.builder.appName("graphcluster").getOrCreate()
     ensure_checkpoint_dir(spark)
-    options = {}
+    options = {"progress": lambda r, cost, moved: print(f"[local search] round {r}: cost {cost}, moved {moved}",
+                                                        flush=True)} if a.ls_mode != "none" else {}
     if a.ls_mode in ("regular", "inner"):
-        options = {"target": a.target, "compete": a.compete,
-                   "guard": False if a.guard == "off" else a.guard}
+        options |= {"target": a.target, "compete": a.compete,
+                    "guard": False if a.guard == "off" else a.guard}
+    extra = spark.read.schema("vid BIGINT").csv(a.vertices) if a.vertices else None
     res = cluster(read_edges(spark, a.input), a.order, a.ls_mode, a.iterations, a.seed, a.tie,
-                  method=a.hash, **options)
+                  method=a.hash, vertices=extra, **options)
     for r, piv, n in res.pivot_rounds:
         print(f"[pivot] round {r}: {piv} pivots, {n} vertices assigned")
-    for r, cost, moved in res.ls_rounds:
-        print(f"[local search] round {r}: cost {cost}, moved {moved}")
     print(f"vertices {res.vertices}, seconds {res.seconds:.2f}")
     write_assignments(res.assign, a.output)
     spark.stop()

@@ -209,12 +209,156 @@ def test_search_independent_of_partitioning(spark):
 
 
 def test_stop_query_takes_no_round_limit(spark, monkeypatch):
-    """The last round of the query has no candidate, whatever the SQL's unrolling."""
+    """The last round of the query has no candidate."""
     from graphcluster.plans import registry
     pairs = random_graph(random.Random(5), 16, 0.3)
-    monkeypatch.setattr(registry, "STOP_ROUNDS", 0)
     monkeypatch.setattr(registry.T, "documents_graph", lambda *a, **kw: edges_df(spark, pairs))
     res = registry._ls_gd(spark, "")
     assert res.stopped and len(res.rounds) > 1
     with pytest.raises(ValueError):
         L.local_search(edges_df(spark, pairs), res.assign, None, guard=False)
+
+
+# ---------------------------------------------------------------------------
+# the incremental state
+
+@pytest.mark.parametrize("target", ["max_overlap", "min_delta"])
+def test_state_after_moves_equals_a_full_recount(spark, target):
+    rng = random.Random(31)
+    pairs = random_graph(rng, 40, 0.1)
+    e = G.canonical_edges(edges_df(spark, pairs))
+    adj = G.neighbours(e)
+    vs = sorted({v for x in simple(pairs) for v in x})
+    state = L._first_state(assign_df(spark, {v: v % 6 for v in vs}), adj, target, True)
+    for rnd in range(1, 5):
+        moves = state.df.where("delta < 0").selectExpr("vid", "cid AS from_cid", "dest AS to_cid", "fresh", "delta")
+        movers, used = L._independent(moves, adj, 2, rnd, "improving")
+        n_movers = movers.count()
+        state, moved, counted = L._next_state(state.df, movers, adj, target, True)
+        assert moved == n_movers and counted <= len(vs)
+        a = state.df.select("vid", "cid")
+        full = L.vertex_moves(a, L.neighbour_clusters(adj, a), G.cluster_sizes(a), target)
+        want = {tuple(r) for r in full.select("vid", "from_cid", "a", "to_cid", "fresh", "delta").collect()}
+        assert {tuple(r) for r in state.df.select("vid", "cid", "a", "dest", "fresh", "delta").collect()} == want
+        assert labels_of(G.relabel(a)) == labels_of(a)
+
+
+def test_counting_follows_the_moves(spark):
+    """Two far components: only the one that moves is counted again."""
+    clique = [(a, b) for a in range(10) for b in range(a)]
+    path = [(100 + i, 101 + i) for i in range(30)]
+    labels = {v: 0 for v in range(10)} | {v: v for v in range(100, 131)}
+    labels[3] = 3
+    res = L.local_search(edges_df(spark, clique + path), assign_df(spark, labels), 1, 0)
+    assert res.counted[0] == 41 and res.counted[1] <= 41
+    still = {v: 0 for v in range(10)} | {v: (v - 100) // 2 + 200 for v in range(100, 131)}
+    still[3] = 3
+    res = L.local_search(edges_df(spark, clique + path), assign_df(spark, still), None, 0)
+    assert res.stopped and res.counted[1:] and max(res.counted[1:]) <= 10
+
+
+def test_swap_pair_ends_without_a_limit(spark):
+    res = L.local_search(edges_df(spark, [(1, 2)]), assign_df(spark, {1: 1, 2: 2}), None, 0, simultaneous=True)
+    assert res.cycle and not res.stopped and res.cost == 1
+    assert len(res.rounds) <= 3 and len(set(labels_of(res.assign).values())) == 2
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_cost_is_that_of_the_returned_labels(spark, seed):
+    rng = random.Random(seed)
+    pairs = random_graph(rng, 14, 0.3)
+    vs = sorted({v for x in simple(pairs) for v in x})
+    res = L.local_search(edges_df(spark, pairs), assign_df(spark, {v: v for v in vs}), 6, 1, simultaneous=True)
+    assert res.cost == py_cost(pairs, labels_of(res.assign)) == min(c for _, c, _ in res.rounds)
+
+
+def test_progress_is_told_round_by_round(spark):
+    told = []
+    pairs = random_graph(random.Random(2), 15, 0.3)
+    vs = sorted({v for x in simple(pairs) for v in x})
+    res = L.local_search(edges_df(spark, pairs), assign_df(spark, {v: 0 for v in vs}), 2, 1,
+                         progress=lambda *row: told.append(row))
+    assert told == res.rounds
+
+
+def test_finished_groups_leave_the_working_set(spark):
+    rng = random.Random(6)
+    done = [(a + 1000 + 10 * k, b + 1000 + 10 * k) for k in range(5) for a in range(4) for b in range(a)]
+    pairs = random_graph(rng, 24, 0.2) + done
+    vs = sorted({v for x in simple(pairs) for v in x})
+    labels = {v: 0 if v < 100 else v // 10 for v in vs}
+    e, a = edges_df(spark, pairs), assign_df(spark, labels)
+    res = L.refine_within_clusters(e, a, None, 1)
+    kept = L.refine_within_clusters(e, a, None, 1, retire=False)
+    assert res.rounds == kept.rounds and res.stopped and labels_of(res.assign) == labels_of(kept.assign)
+    assert res.working[-1] < res.working[0] == len(vs) and kept.working[-1] == len(vs)
+
+
+def test_refine_one_cluster_leaves_the_others(spark):
+    rng = random.Random(4)
+    pairs = random_graph(rng, 30, 0.2)
+    vs = sorted({v for x in simple(pairs) for v in x})
+    coarse = {v: v % 3 for v in vs}
+    every = labels_of(L.refine_within_clusters(edges_df(spark, pairs), assign_df(spark, coarse), None, 1).assign)
+    res = L.refine_one_cluster(edges_df(spark, pairs), assign_df(spark, coarse), 1, None, 1)
+    got = labels_of(res.assign)
+    for v in vs:
+        assert got[v] == (every[v] if v % 3 == 1 else min(u for u in vs if u % 3 == v % 3))
+    inner = [(a, b) for a, b in pairs if a % 3 == b % 3 == 1]
+    assert res.cost == py_cost(inner, {v: c for v, c in got.items() if v % 3 == 1})
+
+
+def test_search_of_an_empty_graph(spark):
+    e = spark.createDataFrame([], "src BIGINT, dst BIGINT")
+    a = spark.createDataFrame([], "vid BIGINT, cid BIGINT")
+    for kw in ({}, {"simultaneous": True}, {"retire": True}):
+        res = L.local_search(e, a, None, 0, **kw)
+        assert res.stopped and res.rounds == [(0, 0, 0)] and res.assign.count() == 0
+
+
+# ---------------------------------------------------------------------------
+# the guard
+
+def guard_model(rows):
+    """Ranks by sorting, in Python."""
+    def places(key, some):
+        out, seen = {}, {}
+        for vid, group, _ in sorted(((v, key(r), r[4]) for r in some for v in [r[0]]), key=lambda x: (x[2], x[0])):
+            seen[group] = seen.get(group, 0) + 1
+            out[vid] = seen[group] - 1
+        return out
+    src = places(lambda r: r[1], rows)
+    dst = places(lambda r: r[2], [r for r in rows if not r[3]])
+    return {r[0] for r in rows if r[4] + src[r[0]] + dst.get(r[0], 0) < 0}
+
+
+MOVES = "vid BIGINT, from_cid BIGINT, to_cid BIGINT, fresh BOOLEAN, delta BIGINT"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_guard_equals_sorted_ranks(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for v in range(200):
+        fresh = rng.random() < 0.3
+        rows.append((v * 7919 % 1009 - 300, rng.randrange(4), 0 if fresh else rng.randrange(10, 13), fresh,
+                     -rng.choice([1, 1, 2, 3, 8, 40])))
+    rows = [(v, f, v if fresh else t, fresh, d) for v, f, t, fresh, d in rows]
+    got = {r["vid"] for r in L.guard_moves(spark.createDataFrame(rows, MOVES).repartition(5)).collect()}
+    assert got == guard_model(rows) and 0 < len(got) < len(rows)
+
+
+def test_guard_sorts_no_ranges(spark, monkeypatch):
+    from graphcluster.operators import guard
+    plans = []
+    real = guard.store
+
+    def caught(df, name="table", **metrics):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name, **metrics)
+
+    monkeypatch.setattr(guard, "store", caught)
+    rows = [(v, 0, v % 3 + 500, False, -3) for v in range(100)]     # one giant cluster, all at a boundary
+    got = {r["vid"] for r in L.guard_moves(spark.createDataFrame(rows, MOVES)).collect()}
+    assert got == guard_model(rows) and len(plans) == 2
+    assert not any("rangepartitioning" in p for p in plans)

@@ -121,10 +121,10 @@ def test_hub_splits_inside_tables(hot, monkeypatch):
     plans = []
     real = loop.store
 
-    def caught(df, name="table"):
+    def caught(df, name="table", **metrics):
         with loop.split_skew(df.sparkSession):
             plans.append((name, final_plan(df)))
-        return real(df, name)
+        return real(df, name, **metrics)
 
     e = hub_edges(hot)
     adj = loop.materialize(G.neighbours(e))

@@ -349,7 +349,7 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int | None = 10,
         superseded = None
         if simultaneous:
             mark = (state.metrics["print1"], state.metrics["print2"])
-            result.cycle = mark in seen
+            result.cycle = result.cycle or mark in seen
             seen.add(mark)
             if best is None or cost < best[0]:
                 superseded = best[1] if best else None
@@ -357,7 +357,7 @@ def local_search(edges: DataFrame, assign: DataFrame, max_iter: int | None = 10,
         if superseded is not None:
             superseded.drop()
         result.stopped = state.metrics["candidates"] == 0
-        if result.stopped or result.cycle or (max_iter is not None and rnd > max_iter):
+        if result.stopped or (result.cycle if max_iter is None else rnd > max_iter):
             break
         if retire:
             state, adj = _retire(state, adj, gone)

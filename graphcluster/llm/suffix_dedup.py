@@ -56,7 +56,7 @@ GRAM = 20              #: bytes of the k-grams that anchors are chosen from
 SCAN_BYTES = 1 << 18   #: bytes hashed at once, at least one text
 FLUSH_BYTES = 8 << 20   #: bytes of contexts that a task holds before it sends them
 CHUNK_BYTES = 1 << 20  #: bytes of contexts sorted at once, at least one anchor
-GROUP = 1024           #: different contexts of an anchor that are sorted together; beyond, windows part by their own hash
+GROUP = CHUNK_BYTES // 64  #: different contexts (of 64 bytes or so) of an anchor that fill a chunk; beyond, windows part by their own hash
 
 CONTEXTS = ("row long, bucket long, anchor binary, low binary, size binary, bytes binary, "
             "place binary, text binary, start binary, doc binary, owner binary")

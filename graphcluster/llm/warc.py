@@ -123,7 +123,8 @@ def _arc_files(version: int | None, date: str):
 def _save(files: DataFrame, folder: str, line_end: str) -> None:
     """Each row as a file; the writer adds the last line end."""
     (files.select(F.col("value").cast("string").alias("value")).write.mode("overwrite")
-     .option("lineSep", line_end).option("compression", "gzip").option("maxRecordsPerFile", 1).text(folder))
+     .option("lineSep", line_end).option("maxRecordsPerFile", 1).option("compression", "gzip")
+     .option("zlib.compress.level", "BEST_SPEED").text(folder))
 
 
 def write_arc(pages: DataFrame, folder: str, version: int | None = None, date: str = CAPTURED,

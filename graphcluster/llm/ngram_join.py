@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphcluster.llm import blobs
-from graphcluster.llm.common import MEMOS, Table, enter, free_shuffles, partitions, ship
+from graphcluster.llm.common import MEMOS, WORD, Table, enter, free_shuffles, partitions, ship
 from graphcluster.llm.components import components
 
 WORDS = 5              #: words of a shingle
@@ -363,12 +363,20 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT,
              words: int = WORDS) -> DataFrame:
-    """One document of each group of linked documents, that of the smallest id.
+    """One row of each group of linked rows: that of the smallest id (null after all
+    others), then of the smallest hash of the text.
 
-    An id is one document, so of rows with equal ids one stays; rows without an
-    id can't be told apart and stay.
+    Rows with equal id and text are one document; an id with different texts is as many,
+    each judged by its own text.  Rows without words link with nothing and stay (with
+    equal id and text once, without id all).
     """
-    kept = join(docs, text, key, percent, words).where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    kept = Table(kept, "kept-ids").df
-    named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
-    return named.unionByName(docs.where(F.col(key).isNull()))
+    tid = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), tid.alias("tid"))
+    judged = join(docs.select(F.col(text).alias("text"), place.alias("place")), "text", "place", percent, words)
+    kept = Table(judged.where("doc_id = component_id").select(
+        F.col("doc_id.id").alias("_kid"), F.col("doc_id.tid").alias("_ktid")).distinct(), "kept-ids").df
+    alone = F.col(key).isNull() & ~F.coalesce(F.col(text).rlike(WORD), F.lit(False))
+    named = (docs.where(~alone).withColumn("_tid", tid)
+             .join(kept, F.col(key).eqNullSafe(F.col("_kid")) & (F.col("_tid") == F.col("_ktid")), "left_semi")
+             .dropDuplicates([key, "_tid"]).drop("_tid"))
+    return named.unionByName(docs.where(alone))

@@ -100,3 +100,15 @@ def test_components(spark):
                 want[x] = s
                 todo += near[x]
     assert got == want
+
+
+def test_keep_one_judges_each_text_of_an_id(spark, docs_of):
+    a, b = "one two three four five six seven", "quite another text of eight words in all"
+    rows = [(1, a), (0, a), (1, b), (2, b), (2, b), (None, b), (None, a), (None, "lonely words here"),
+            (None, "lonely words here"), (5, None), (5, None), (None, ""), (None, ""), (None, None), (6, " ")]
+    docs = docs_of(rows)
+    for df in (docs, docs.repartition(7)):
+        got = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(df).collect()), key=repr)
+        assert got == sorted([(0, a), (1, b), (None, "lonely words here"), (5, None), (None, ""), (None, ""),
+                              (None, None), (6, " ")], key=repr)
+    assert ngram_join.keep_one(docs).dtypes == docs.dtypes

@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphcluster.llm import blobs
@@ -373,10 +373,12 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", percent:
     tid = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
     place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), tid.alias("tid"))
     judged = join(docs.select(F.col(text).alias("text"), place.alias("place")), "text", "place", percent, words)
+    def name(ident: Column, tid: Column) -> Column:  # one column, so that rows are shuffled once
+        return F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("")), F.hex(tid))
+
     kept = Table(judged.where("doc_id = component_id").select(
-        F.col("doc_id.id").alias("_kid"), F.col("doc_id.tid").alias("_ktid")).distinct(), "kept-ids").df
+        name(F.col("doc_id.id"), F.col("doc_id.tid")).alias("_name")).distinct(), "kept-rows").df
     alone = F.col(key).isNull() & ~F.coalesce(F.col(text).rlike(WORD), F.lit(False))
-    named = (docs.where(~alone).withColumn("_tid", tid)
-             .join(kept, F.col(key).eqNullSafe(F.col("_kid")) & (F.col("_tid") == F.col("_ktid")), "left_semi")
-             .dropDuplicates([key, "_tid"]).drop("_tid"))
+    named = (docs.where(~alone).withColumn("_name", name(F.col(key), tid))
+             .join(kept, "_name", "left_semi").dropDuplicates(["_name"]).drop("_name"))
     return named.unionByName(docs.where(alone))

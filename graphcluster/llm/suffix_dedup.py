@@ -14,8 +14,10 @@ that length) meet in one task and everything else stays apart:
    where they occur are kept in the row that was sent, by its number.
    An anchor with more than ``GROUP`` different contexts is *wide*: the windows at
    the edge of a shared passage hold some of the text around it, so each document
-   brings its own context.  Such an anchor's windows get their own hash as anchor,
-   and only those that two texts have are sent, each as a context of its own.
+   brings its own context.  The bytes of such runs are set aside when the texts pass
+   (*pieces*, a small part of a text), so texts aren't shuffled again for them.  Their
+   windows get their own hash as anchor, and only those that two texts have are sent,
+   each as a context of its own.
 4. *Suffix arrays.*  The contexts of an anchor are sorted together (see
    ``suffix_array``); adjacent common prefixes give the groups of equal windows
    and each group's smallest id.
@@ -58,8 +60,10 @@ FLUSH_BYTES = 8 << 20   #: bytes of contexts that a task holds before it sends t
 CHUNK_BYTES = 1 << 20  #: bytes of contexts sorted at once, at least one anchor
 GROUP = 1024           #: different contexts of an anchor that are sorted together; beyond, windows part by their own hash
 
+PIECES = ("piece_owner", "piece_doc", "piece_start", "piece_size", "piece_bytes")
 CONTEXTS = ("row long, bucket long, anchor binary, low binary, size binary, bytes binary, "
-            "place binary, text binary, start binary, doc binary, owner binary")
+            "place binary, text binary, start binary, doc binary, owner binary, "
+            "piece_owner long, piece_doc long, piece_start binary, piece_size binary, piece_bytes binary")
 
 
 @lru_cache(maxsize=1)
@@ -130,11 +134,20 @@ def runs(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int, np.n
         yield run[:4]
 
 
-def windows_of(raw: bytes, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The windows of some runs of a text, and the hash of each."""
-    count = last - first + 1
-    at = np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
-    return at, gram_hashes(np.frombuffer(raw, np.uint8), length)[at]
+def pieces_of(raw: bytes, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Some runs of windows of a text, neighbours joined: where each piece starts, its size, and the bytes of all."""
+    new = np.append(True, first[1:] != last[:-1] + 1)
+    start = first[new]
+    end = last[np.append(new[1:], True)] + length
+    return start, end - start, b"".join(raw[i:j] for i, j in zip(start.tolist(), end.tolist()))
+
+
+def windows_of(data: bytes, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of pieces: where each stands in the bytes, the number of its piece, and its hash."""
+    count = size - length + 1
+    piece = np.repeat(np.arange(len(size)), count)
+    at = np.arange(len(piece)) + piece * (length - 1)  # a piece's last bytes start no window
+    return at, piece, gram_hashes(np.frombuffer(data, np.uint8), length)[at]
 
 
 def among(known: pa.Scalar, h: np.ndarray) -> np.ndarray:
@@ -175,18 +188,15 @@ def _anchors(keys: list[int], length: int, gram: int):
     return run
 
 
-def _windows(keys: list[int], length: int, gram: int):
-    """The hashes of the windows whose anchors are wide."""
+def _windows(keys: list[int], length: int):
+    """The hashes of the windows of the pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter(__name__)
         pack = blobs.Packer(keys)
         for b in batches:
-            texts = [t.as_buffer().to_pybytes() for t in b.column("text")]
-            wide = b.column("wide")
-            for k, first, last, anchor in runs(texts, length, gram):
-                hit = among(wide[k], anchor)
-                _, h = windows_of(texts[k], first[hit], last[hit], length)
-                pack.add(text_id(texts[k]), 0, h, np.zeros(len(h), np.uint32))
+            for owner, size, data in zip(*(b.column(c) for c in ("piece_owner", "piece_size", "piece_bytes"))):
+                _, _, h = windows_of(data.as_buffer().to_pybytes(), np.frombuffer(size.as_buffer(), np.int64), length)
+                pack.add(owner.as_py(), 0, h, np.zeros(len(h), np.uint32))
                 if pack.held >= blobs.FLUSH:
                     yield from pack.rows()
         yield from pack.rows()
@@ -261,11 +271,14 @@ BY_TEXT = "owner long, anchors binary, wide binary"
 
 
 class _Contexts:
-    """Contexts and their places, sent as one row per bucket."""
+    """Contexts and their places, sent as one row per bucket, and pieces, a row for each text.
+
+    Rows are numbered from 0 up, or (``second``) from -1 down, so that two tables of them go together."""
 
-    def __init__(self, keys: list[int]):
+    def __init__(self, keys: list[int], second: bool = False):
         self.keys, self.count = keys, 0
-        self.base = TaskContext.get().partitionId() << 32
+        part = TaskContext.get().partitionId()
+        self.base = ~part << 32 if second else part << 32
         self.clear()
 
     def clear(self) -> None:
@@ -273,13 +286,21 @@ class _Contexts:
         self.anchor, self.low = array("Q"), array("q")    # of each context
         self.place, self.text, self.start = array("q"), array("q"), array("q")  # of each place
         self.doc, self.owner = array("q"), array("q")     # of each text
+        self.pieces: list[tuple] = []
         self.held = 0
 
-    def add(self, doc: int, raw: bytes, first: list[int], last: list[int], anchor: list[int], length: int) -> None:
+    def set_aside(self, doc: int, owner: int, start: np.ndarray, size: np.ndarray, data: bytes) -> None:
+        self.pieces.append((owner, doc, start.astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), data))
+        self.held += len(data)
+
+    def add(self, doc: int, owner: int, raw: bytes, first: np.ndarray, last: np.ndarray, anchor: np.ndarray,
+            length: int, start: np.ndarray | None = None) -> None:
+        """Runs of windows in ``raw``; ``start``: where they start in the text, if elsewhere."""
         number, mine = self.number, len(self.doc)
         self.doc.append(doc)
-        self.owner.append(text_id(raw))
-        for a, b, h in zip(first, last, anchor):
+        self.owner.append(owner)
+        start = first if start is None else start
+        for a, b, h, at in zip(first.tolist(), last.tolist(), anchor.tolist(), start.tolist()):
             data = raw[a:b + length]
             k = number.get(data)
             if k is None:
@@ -291,10 +312,15 @@ class _Contexts:
                 self.low[k] = doc
             self.place.append(k)
             self.text.append(mine)
-            self.start.append(a)
+            self.start.append(at)
         self.held += 8 * len(first)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.pieces:
+            n = len(self.pieces)
+            made = {"row": [-1] * n, "bucket": pa.nulls(n, pa.int64())}
+            made |= dict.fromkeys(("anchor", "low", "size", "bytes", "place", "text", "start", "doc", "owner"), [b""] * n)
+            yield pa.RecordBatch.from_pydict(made | dict(zip(PIECES, map(list, zip(*self.pieces)))))
         if not self.number:
             self.clear()
             return
@@ -323,28 +349,47 @@ class _Contexts:
                 "size": [np.fromiter(map(len, parts), np.uint32, len(parts)).tobytes()], "bytes": [b"".join(parts)],
                 "place": [(place[i:j] - a).astype(np.uint32).tobytes()],
                 "text": [mine.astype(np.uint32).tobytes()], "start": [start[i:j].tobytes()],
-                "doc": [doc[used].tobytes()], "owner": [owner[used].tobytes()]})
+                "doc": [doc[used].tobytes()], "owner": [owner[used].tobytes()],
+                **{c: pa.nulls(1, pa.int64() if c in PIECES[:2] else pa.binary()) for c in PIECES}})
             self.count += 1
 
 
 def _contexts(keys: list[int], length: int, gram: int):
+    """The contexts of the shared anchors, and the pieces of the wide ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter(__name__)
         out = _Contexts(keys)
         for b in batches:
             texts = [t.as_buffer().to_pybytes() for t in b.column("text")]
             docs = b.column("doc_id").to_pylist()
-            anchors, wide, windows = b.column("anchors"), b.column("wide"), b.column("windows")
+            anchors, wide = b.column("anchors"), b.column("wide")
             for k, first, last, anchor in runs(texts, length, gram):
+                owner = text_id(texts[k])
                 hit = among(anchors[k], anchor)
-                if windows[k].is_valid:
-                    split = among(wide[k], anchor)
-                    at, h = windows_of(texts[k], first[split], last[split], length)
-                    own = among(windows[k], h)
-                    first, last, anchor = (np.concatenate([x[hit], y[own]]) for x, y in (
-                        (first, at), (last, at), (anchor, h)))
-                    hit = slice(None)
-                out.add(docs[k], texts[k], first[hit].tolist(), last[hit].tolist(), anchor[hit].tolist(), length)
+                out.add(docs[k], owner, texts[k], first[hit], last[hit], anchor[hit], length)
+                hit = among(wide[k], anchor)
+                if hit.any():
+                    out.set_aside(docs[k], owner, *pieces_of(texts[k], first[hit], last[hit], length))
+                if out.held >= FLUSH_BYTES:
+                    yield from out.rows()
+        yield from out.rows()
+    return run
+
+
+def _windows_as_contexts(keys: list[int], length: int):
+    """The windows of the pieces that two texts have, each as a context of its own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
+        out = _Contexts(keys, second=True)
+        for b in batches:
+            for owner, doc, start, size, data, known in zip(*(b.column(c) for c in (*PIECES, "anchors"))):
+                raw = data.as_buffer().to_pybytes()
+                start, size = (np.frombuffer(x.as_buffer(), np.int64) for x in (start, size))
+                at, piece, h = windows_of(raw, size, length)
+                begin = np.cumsum(size) - size
+                own = among(known, h)
+                at, piece, h = at[own], piece[own], h[own]
+                out.add(doc.as_py(), owner.as_py(), raw, at, at, h, length, start[piece] + at - begin[piece])
                 if out.held >= FLUSH_BYTES:
                     yield from out.rows()
         yield from out.rows()
@@ -505,33 +550,32 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
 
     owner = F.conv(F.hex(F.substring("_sha", 1, 8)), 16, -10).cast("long")
     owned = firsts.withColumn("_owner", owner)
-    wide = Table(owned.join(by_text.df.where("wide is not null"), F.col("_owner") == F.col("owner")).select(
-        F.col("_first").alias("_id"), "_sha", "wide"), "wide")
-    windows = (source.join(wide.df, "_id").where(sha == F.col("_sha")).select("text", "wide")
-               .mapInArrow(_windows(keys, length, gram), blobs.SCHEMA))
-    shared = blobs.dealt(windows, parts).mapInArrow(_shared(keys, math.inf), blobs.SCHEMA)
-    by_window = Table(blobs.dealt(shared, parts).mapInArrow(_by_text, BY_TEXT), "windows")
-    wide.drop()
-    free_shuffles(spark)
-
-    known = by_text.df.join(by_window.df.select("owner", F.col("anchors").alias("windows")), "owner", "left")
-    wanted = owned.join(known, F.col("_owner") == F.col("owner")).select(
-        F.col("_first").alias("_id"), "_sha", "anchors", "wide", "windows")
+    wanted = owned.join(by_text.df, F.col("_owner") == F.col("owner")).select(
+        F.col("_first").alias("_id"), "_sha", "anchors", "wide")
     texts = source.join(wanted, "_id").where(sha == F.col("_sha")).select(
-        F.col("_id").alias("doc_id"), "text", "anchors", "wide", "windows")
-    contexts = Table(texts.mapInArrow(_contexts(keys, length, gram), CONTEXTS), "contexts")
+        F.col("_id").alias("doc_id"), "text", "anchors", "wide")
+    narrow = Table(texts.mapInArrow(_contexts(keys, length, gram), CONTEXTS), "contexts")
     by_text.drop()
-    by_window.drop()
     free_shuffles(spark)
 
-    verdicts = Table(blobs.dealt(contexts.df.select("row", "bucket", "anchor", "low", "size", "bytes"), parts)
+    pieces = narrow.df.where("piece_owner is not null").select(*PIECES)
+    windows = pieces.mapInArrow(_windows(keys, length), blobs.SCHEMA)
+    shared = blobs.dealt(windows, parts).mapInArrow(_shared(keys, math.inf), blobs.SCHEMA)
+    by_window = blobs.dealt(shared, parts).mapInArrow(_by_text, BY_TEXT)
+    split = Table(pieces.join(by_window, F.col("piece_owner") == F.col("owner")).select(*PIECES, "anchors")
+                  .mapInArrow(_windows_as_contexts(keys, length), CONTEXTS), "contexts")
+    free_shuffles(spark)
+
+    contexts = narrow.df.where("bucket is not null").union(split.df)
+    verdicts = Table(blobs.dealt(contexts.select("row", "bucket", "anchor", "low", "size", "bytes"), parts)
                      .mapInArrow(_verdicts(length), "row long, runs binary, first binary, width binary, low binary"),
                      "verdicts")
     free_shuffles(spark)
-    places = contexts.df.select("row", "place", "text", "start", "doc", "owner").join(verdicts.df, "row")
+    places = contexts.select("row", "place", "text", "start", "doc", "owner").join(verdicts.df, "row")
     spans = Table(blobs.dealt(places.mapInArrow(_spans(keys, length), blobs.SCHEMA), parts)
                   .mapInArrow(_united, "owner long, _spans array<long>"), "spans").df
-    contexts.drop()
+    narrow.drop()
+    split.drop()
     verdicts.drop()
     copies = ids.join(firsts, F.col("_hash") == F.col("_sha")).where(F.col("_id") > F.col("_first"))
     cut = owned.join(spans, F.col("_owner") == F.col("owner"))

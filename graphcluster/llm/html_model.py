@@ -83,39 +83,51 @@ LAYOUTS = [
 
 
 class Dom(HTMLParser):
-    """Nodes in page order (a parent before its children) and text runs."""
+    """Nodes in page order (a parent before its children) and text runs.
+
+    Where the open elements of a name stand is kept by name, so a tag never
+    looks through them: time is in proportion to the page.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.attrs = [-1], ["#root"], [{}]
         self.open = [0]
+        self.where: dict[str, list[int]] = {}  # of each name, its places in ``open``
+        self.blocks: list[int] = []            # of block elements, their places in ``open``
         self.runs: list[tuple[int, str]] = []  # (node, text); node -1 is a block boundary
         self.feed(html)
         self.close()
 
+    def _top(self, names) -> int:
+        """The place of the innermost open element with one of the names; 0 if none."""
+        return max((self.where[x][-1] for x in names if self.where.get(x)), default=0)
+
+    def _push(self, tag: str) -> None:
+        self.where.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append(len(self.tag) - 1)
+
     def _pop_to(self, i: int) -> None:
-        if any(self.tag[k] in BLOCK for k in self.open[i:]):
+        if self.blocks and self.blocks[-1] >= i:
             self.runs.append((-1, ""))
-        del self.open[i:]
+        while len(self.open) > i:
+            self.where[self.tag[self.open.pop()]].pop()
+        while self.blocks and self.blocks[-1] >= i:
+            self.blocks.pop()
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCK:  # a paragraph ends where a block begins
-            for i in range(len(self.open) - 1, 0, -1):
-                name = self.tag[self.open[i]]
-                if name == "p":
-                    self._pop_to(i)
-                    break
-                if name in BLOCK:
-                    break
-        if tag in CLOSES:
-            for i in range(len(self.open) - 1, 0, -1):
-                name = self.tag[self.open[i]]
-                if name in CLOSES[tag]:
-                    self._pop_to(i)
-                    if tag != "tr" or name == "tr":
-                        break
-                elif name in SCOPE[tag]:
-                    break
+        if tag in BLOCK and self.blocks and self.tag[self.open[self.blocks[-1]]] == "p":
+            self._pop_to(self.blocks[-1])  # a paragraph ends where a block begins
+        while tag in CLOSES:
+            i = self._top(CLOSES[tag])
+            if i <= self._top(SCOPE[tag]):
+                break
+            name = self.tag[self.open[i]]
+            self._pop_to(i)
+            if tag != "tr" or name == "tr":
+                break
         if tag in BLOCK:
             self.runs.append((-1, ""))
         self.parent.append(self.open[-1])
@@ -124,18 +136,17 @@ class Dom(HTMLParser):
         if tag == "br":
             self.runs.append((self.open[-1], " "))
         if tag not in VOID:
-            self.open.append(len(self.tag) - 1)
+            self._push(tag)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in BLOCK and self.tag[self.open[-1]] == tag and tag in ("svg", "path"):
-            self.open.pop()
+        if tag in ("svg", "path"):
+            self._pop_to(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[i]] == tag:
-                self._pop_to(i)
-                return
+        i = self._top((tag,))
+        if i:
+            self._pop_to(i)
 
     def handle_data(self, data):
         self.runs.append((self.open[-1], data))

@@ -4,6 +4,7 @@ import html as H
 import itertools
 import random
 import re
+import time
 
 import pytest
 
@@ -97,3 +98,28 @@ def test_data_y_of_a_page_is_no_label(spark):
 
     marked = learned([page.format(f'data-y="{v}"') for v in values])
     assert marked == learned([page.format("") for _ in values])
+
+
+def test_misnested_tags():
+    """The tree of tags that close others, stay open or match nothing."""
+    def tree(html):
+        dom = html_model.Dom(html)
+        return [(dom.tag[i], dom.parent[i]) for i in range(1, len(dom.tag))]
+
+    assert tree("<p>a<b>c<p>d<hr>e") == [("p", 0), ("b", 1), ("p", 0), ("hr", 0)]
+    assert tree("<ul><li>a<b><li>c<ul><li>d</ul><li>e") == [
+        ("ul", 0), ("li", 1), ("b", 2), ("li", 1), ("ul", 4), ("li", 5), ("li", 1)]
+    assert tree("<table><tr><td>a<td>b<tr><th>c<table><tr><td>d") == [
+        ("table", 0), ("tr", 1), ("td", 2), ("td", 2), ("tr", 1), ("th", 5), ("table", 6), ("tr", 7), ("td", 8)]
+    assert tree("</b><div><span></div></span><i/><svg/><path/><a>") == [
+        ("div", 0), ("span", 1), ("i", 0), ("svg", 3), ("path", 3), ("a", 3)]
+
+
+@pytest.mark.parametrize("start, again", [("<div>", "</span>"), ("<b>", "<hr>"), ("<b>", "<li></li>"), ("<b>", "</i>")])
+def test_many_open_elements(start, again):
+    """Time in proportion to the page: 100,000 tags under 100,000 open elements (a look
+    through the open ones at each tag takes minutes)."""
+    began = time.monotonic()
+    dom = html_model.Dom("<ul><li>" + 100_000 * start + 100_000 * again)
+    assert time.monotonic() - began < 30
+    assert dom.tag.count(start[1:-1]) == 100_000

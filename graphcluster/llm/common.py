@@ -78,15 +78,18 @@ class Table:
     """A table written under the checkpoint folder: ``df`` reads it, ``drop`` deletes it.
 
     A lost executor re-reads the files; nothing before the write is replayed.
+    ``codec``: the files' compression, if not the session's.
     """
 
-    def __init__(self, df: DataFrame, name: str, partition_by: list[str] | None = None):
+    def __init__(self, df: DataFrame, name: str, partition_by: list[str] | None = None, codec: str | None = None):
         spark = df.sparkSession
         ensure_checkpoint_dir(spark)
         self.path = scratch_dir(spark, name)
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if codec:
+            writer = writer.option("compression", codec)
         writer.parquet(self.path)
         self.spark = spark
         schema = df.schema

@@ -554,7 +554,7 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
         F.col("_first").alias("_id"), "_sha", "anchors", "wide")
     texts = source.join(wanted, "_id").where(sha == F.col("_sha")).select(
         F.col("_id").alias("doc_id"), "text", "anchors", "wide")
-    narrow = Table(texts.mapInArrow(_contexts(keys, length, gram), CONTEXTS), "contexts")
+    narrow = Table(texts.mapInArrow(_contexts(keys, length, gram), CONTEXTS), "contexts", None, "zstd")
     by_text.drop()
     free_shuffles(spark)
 
@@ -563,13 +563,13 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     shared = blobs.dealt(windows, parts).mapInArrow(_shared(keys, math.inf), blobs.SCHEMA)
     by_window = blobs.dealt(shared, parts).mapInArrow(_by_text, BY_TEXT)
     split = Table(pieces.join(by_window, F.col("piece_owner") == F.col("owner")).select(*PIECES, "anchors")
-                  .mapInArrow(_windows_as_contexts(keys, length), CONTEXTS), "contexts")
+                  .mapInArrow(_windows_as_contexts(keys, length), CONTEXTS), "contexts", None, "zstd")
     free_shuffles(spark)
 
     contexts = narrow.df.where("bucket is not null").union(split.df)
     verdicts = Table(blobs.dealt(contexts.select("row", "bucket", "anchor", "low", "size", "bytes"), parts)
                      .mapInArrow(_verdicts(length), "row long, runs binary, first binary, width binary, low binary"),
-                     "verdicts")
+                     "verdicts", None, "zstd")
     free_shuffles(spark)
     places = contexts.select("row", "place", "text", "start", "doc", "owner").join(verdicts.df, "row")
     spans = Table(blobs.dealt(places.mapInArrow(_spans(keys, length), blobs.SCHEMA), parts)

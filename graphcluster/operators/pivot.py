@@ -1,20 +1,22 @@
 """Parallel PIVOT.
 
-Round r works on the *active adjacency* ``A(vid, vprio, nbr, nprio)``: every
-edge between two unassigned vertices in both directions, plus one self row
-``(v, v)`` per unassigned vertex so that isolated ones stay visible.
-
-* pivot:   unassigned ``v`` that no unassigned neighbour beats in
-           ``(prio, id)`` order -- a per-row comparison reduced with ``max``,
-           so it runs as a map-side-combined hash aggregate.
-* assign:  rows ``(p, u)`` with ``p`` a pivot; ``u`` takes the smallest
-           adjacent pivot id (``tie='min_id'``); a pivot meets only its own
-           self row, so it takes its own id.
+The order of two neighbours never changes, so it is settled once: every edge is one
+row ``(lead, vid)`` from the end that comes first in ``(prio, id)`` order to the
+other, and priorities are not carried on.  Round r works on the *active edges*: the
+rows between two unassigned vertices, plus one self row ``(v, v)`` per unassigned
+vertex so that isolated ones stay visible.
+
+* pivot:   unassigned ``vid`` without a row from another ``lead`` -- a per-row
+           comparison reduced with ``max``, so it runs as a map-side-combined
+           hash aggregate.
+* assign:  rows whose ``lead`` is a pivot (nothing leads a pivot, so all its
+           neighbours are there); ``vid`` takes the smallest of them
+           (``tie='min_id'``), a pivot by its self row its own id.
 * shrink:  rows touching a vertex assigned this round are dropped, so the
            work of a round is proportional to what is still unclustered.
 
 The pivots and the new labels of a round are written as vertex-sized tables
-before they are joined to the adjacency: they are computed once, the planner
+before they are joined to the active edges: they are computed once, the planner
 knows their sizes, the writes observe how many rows they are (a round has no other
 job), and both sides of each join are shuffled for it, so a hub's
 rows can be split.
@@ -70,31 +72,28 @@ def pivot_priorities(vertices: DataFrame, order: str = "hash", seed: int = 0,
     return vertices.select("vid", _draw(seed, order, method).alias("prio"))
 
 
-def active_adjacency(edges: DataFrame, prio: DataFrame) -> DataFrame:
-    """``(vid, vprio, nbr, nprio)`` for canonical ``edges``, both ways, plus self rows."""
-    adj = neighbours(edges)
-    pv = prio.select(F.col("vid"), F.col("prio").alias("vprio"))
-    pn = prio.select(F.col("vid").alias("nbr"), F.col("prio").alias("nprio"))
-    rows = adj.join(pv, "vid").join(pn, "nbr").select("vid", "vprio", "nbr", "nprio")
-    selfs = prio.select("vid", F.col("prio").alias("vprio"), F.col("vid").alias("nbr"),
-                        F.col("prio").alias("nprio"))
-    return rows.unionByName(selfs)
+def active_edges(edges: DataFrame, prio: DataFrame) -> DataFrame:
+    """``(lead, vid)`` for canonical ``edges``, the end that comes first leading, plus self rows."""
+    ps = prio.select(F.col("vid").alias("src"), F.col("prio").alias("sprio"))
+    pd = prio.select(F.col("vid").alias("dst"), F.col("prio").alias("dprio"))
+    first = beats(F.col("sprio"), F.col("src"), F.col("dprio"), F.col("dst"))
+    rows = edges.select("src", "dst").join(ps, "src").join(pd, "dst").select(
+        F.when(first, F.col("src")).otherwise(F.col("dst")).alias("lead"),
+        F.when(first, F.col("dst")).otherwise(F.col("src")).alias("vid"))
+    return rows.unionByName(prio.select(F.col("vid").alias("lead"), "vid"))
 
 
 def pivot_select(active: DataFrame) -> DataFrame:
-    """Pivots of a round: vertices of ``active`` beaten by no active neighbour."""
-    beaten = (F.col("nbr") != F.col("vid")) & beats(
-        F.col("nprio"), F.col("nbr"), F.col("vprio"), F.col("vid"))
-    return (active.groupBy("vid").agg(F.max(beaten).alias("blocked"))
-            .where(~F.col("blocked")).select("vid"))
+    """Pivots of a round: vertices that no active neighbour leads."""
+    return (active.groupBy("vid").agg(F.max(F.col("lead") != F.col("vid")).alias("led"))
+            .where(~F.col("led")).select("vid"))
 
 
 def pivot_assign(active: DataFrame, pivots: DataFrame) -> DataFrame:
     """New labels of a round ``(vid, cid)``: pivots take their own id, their
     unassigned neighbours the smallest adjacent pivot id."""
-    return (active.join(pivots.select("vid"), "vid", "left_semi")
-            .groupBy("nbr").agg(F.min("vid").alias("cid"))
-            .select(F.col("nbr").alias("vid"), "cid"))
+    return (active.join(pivots.select(F.col("vid").alias("lead")), "lead", "left_semi")
+            .groupBy("vid").agg(F.min("lead").alias("cid")))
 
 
 def pivot_round(active: DataFrame) -> tuple[Stored, Stored]:
@@ -104,8 +103,8 @@ def pivot_round(active: DataFrame) -> tuple[Stored, Stored]:
                   pivots=F.count_if(F.col("vid") == F.col("cid")))
     gone = fresh.df.select("vid")
     kept = store(active.join(gone, "vid", "left_anti")
-                 .join(gone.select(F.col("vid").alias("nbr")), "nbr", "left_anti")
-                 .select("vid", "vprio", "nbr", "nprio"), "active", rows=F.count("*"))
+                 .join(gone.select(F.col("vid").alias("lead")), "lead", "left_anti")
+                 .select("lead", "vid"), "active", rows=F.count("*"))
     pivots.drop()
     return fresh, kept
 
@@ -153,7 +152,7 @@ def pivot_cluster(edges: DataFrame, vertices: DataFrame | None = None, order: st
         used.append(store(pivot_priorities(verts, order, seed, method), "prio"))
     prio = used[-1].df
 
-    active = store(active_adjacency(canon, prio), "active", rows=F.count("*"))
+    active = store(active_edges(canon, prio), "active", rows=F.count("*"))
     done: list[Stored] = []
     while active.metrics["rows"]:
         fresh, kept = pivot_round(active.df)

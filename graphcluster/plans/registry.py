@@ -189,7 +189,7 @@ def q_permutation_rank(spark, sf):
 def _active0(spark, sf):
     e = _gp(spark, sf)
     prio = P.pivot_priorities(G.vertices_of(e), "hash", SEED)
-    return materialize(P.active_adjacency(e, prio))
+    return materialize(P.active_edges(e, prio))
 
 
 def q_pivot_select_round1(spark, sf):

@@ -44,7 +44,7 @@ def main() -> None:
          T.cooccurrence_edges(li, "l_partkey", "l_orderkey"))
     e = materialize(T.parts_graph(spark, sf))
     prio = materialize(P.pivot_priorities(G.vertices_of(e)))
-    act = materialize(P.active_adjacency(e, prio))
+    act = materialize(P.active_edges(e, prio))
     pivots = materialize(P.pivot_select(act))
     show("pivots of a round", P.pivot_select(act))
     show("new labels of a round", P.pivot_assign(act, pivots))

@@ -106,13 +106,16 @@ def test_hub_splits(hot):
     assert "skew=true" in final_plan(L.neighbour_clusters(adj, a))
     assert "skew=true" in final_plan(L.best_moves(a, adj.groupBy("vid", F.col("nbr").alias("nbr_cid")).agg(
         F.count("*").alias("n")).transform(spread), G.cluster_sizes(a)))
-    prio = loop.materialize(P.pivot_priorities(G.vertices_of(e)))
-    active = spread(P.active_adjacency(e, prio))
-    pivots = loop.materialize(P.pivot_select(active))
-    assert "skew=true" in final_plan(P.pivot_assign(active, pivots))
-    gone = loop.materialize(P.pivot_assign(active, pivots)).select("vid")
-    kept = active.join(gone, "vid", "left_anti")
-    assert "skew=true" in final_plan(kept)
+    for lead, hub in (True, -1), (False, 2 * N):  # the hub comes before, or after, all its neighbours
+        prio = loop.materialize(G.vertices_of(e).select(
+            "vid", F.when(F.col("vid") == 0, hub).otherwise(F.col("vid")).cast("bigint").alias("prio")))
+        active = spread(P.active_edges(e, prio))
+        pivots = loop.materialize(P.pivot_select(active))
+        assigned = P.pivot_assign(active, pivots)
+        assert ("skew=true" in final_plan(assigned)) == lead
+        gone = loop.materialize(assigned).select("vid")
+        at_hub = gone.withColumnRenamed("vid", "lead") if lead else gone
+        assert "skew=true" in final_plan(active.join(at_hub, at_hub.columns[0], "left_anti"))
     assert moves.count() >= 0
 
 

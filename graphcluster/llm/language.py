@@ -15,7 +15,10 @@ holds at most 1 / MIN_RATE trigrams and the model's size is bounded.
 
 Cases: a null text, a text without letters, and any text when nothing could be
 learned get ``und`` with score 0; a null label is not learned from; a tie goes
-to the first language by code point; extra columns pass through.
+to the first language by code point; repeated rows are each learned from and each
+predicted; a text of any length is read whole, at once; an empty table teaches
+nothing and gives an empty result; extra columns pass through (those named like an
+output are replaced).
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ source, however large, is gathered in one task.
 Cases: null text has size 0; documents without a source form the last source;
 a source without words has target 0 and is never taken; equal rows are
 interchangeable; an empty table gives an empty result; extra columns pass
-through (those named like an output are replaced).
+through (those named like an output are replaced); a text of any
+length is one document, taken whole.
 """
 
 from __future__ import annotations

@@ -27,7 +27,8 @@ transpose, the overlap count, reaches a bound that follows from the two sizes.
 Cases: a null text, or one without words, has an empty set and links with
 nothing; fewer words than a shingle make one shingle of the whole sequence;
 repeated rows and equal texts link with one another; a null id takes part and
-is never a component's id unless it has no other; extra columns are ignored.
+is never a component's id unless it has no other; extra columns are ignored;
+a text of any length is read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations

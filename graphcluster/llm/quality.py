@@ -14,7 +14,8 @@ broadcasts it while it is small, else both sides are shuffled and a hot host is
 split.
 
 Cases: null text has no words, lines or symbols; documents without a host form
-a host of their own; repeated rows count each; an empty table has no hosts.
+a host of their own; repeated rows count each; an empty table has no hosts; a text of any length is
+measured whole; extra columns are ignored, also those named like an output.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ The strings of added tokens are cut out of a text first and count as one token
 each, as the tokenizer library does by default.
 
 Cases: null text counts as empty (0 bytes, 0 tokens); repeated rows and extra
-columns pass through; a column named like an output is replaced.
+columns pass through; a column named like an output is replaced; a text of
+any length is counted whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ number per partition - are added up when the store is opened.
 
 Cases: null text counts as empty (the end id alone); null ``doc_id`` sorts
 first; equal ids are ordered by text; other columns are not stored; an empty
-table makes an empty store.
+table makes an empty store; a text of any length is one frame.
 """
 
 from __future__ import annotations

@@ -3,6 +3,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +68,19 @@ def test_host_verdict(spark):
     assert quality.judge(df.limit(0)).count() == 0
 
 
+def test_host_rules_long_and_clashing(spark):
+    long = " ".join(f"w{i % 70001}" for i in range(200_000)) + "\n"
+    texts = [long, long * 2, "a b c " * 100_000, None]
+    clash = "n_words string, n_symbols string, n_dup_lines string, n_repeat_words string, base_failed string, host_failed string"
+    df = spark.createDataFrame([(i, t, "h", *"uvwxyz") for i, t in enumerate(texts)],
+                               f"doc_id long, text string, source string, {clash}")
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert len(got) == 4
+    for i, t in enumerate(texts):
+        assert tuple(got[i][m] for m in quality.MEASURES) == slow_measure(t)
+    assert [got[i].base_failed for i in range(4)] == [True, True, True, True]
+
+
 def test_language_accuracy(spark, sf, duck):
     truth = dict(duck.sql("SELECT doc_id, lang FROM documents").fetchall())
     rows = registry.op6_language_filters(spark, sf).collect()
@@ -95,6 +109,85 @@ def test_language_edges(spark):
     assert language.identify(df.limit(0), model).count() == 0
 
 
+def slow_grams(text):
+    out = [" "]
+    for c in text.lower() + " ":
+        if c.isalpha():
+            out.append(c)
+        elif out[-1] != " ":
+            out.append(" ")
+    return ["".join(out[i:i + 3]) for i in range(len(out) - 2)]
+
+
+def packed(gram):
+    return (ord(gram[0]) << 42) | (ord(gram[1]) << 21) | ord(gram[2])
+
+
+def slow_filters(rows):
+    """Trigrams that each language's filter must hold, by sets and counts."""
+    count = defaultdict(Counter)
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            count[lang].update(slow_grams(text))
+    rate = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in count.items()}
+    used = {lang: {g: r for g, r in x.items() if r >= language.MIN_RATE} for lang, x in rate.items()}
+    most = {g: max(x.get(g, 0) for x in used.values()) for x in used.values() for g in x}
+    return {lang: {g for g, r in x.items() if r >= language.MIN_SHARE * most[g]} for lang, x in used.items()}
+
+
+def slow_predict(text, grams, cells):
+    """One trigram and one language at a time, on plain sets of cells."""
+    mask, bits = (1 << 64) - 1, {}
+
+    def cells_of(gram):
+        h = packed(gram)
+        for shift, factor in ((31, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9)):
+            h = (h ^ (h >> shift)) * factor & mask
+        h ^= h >> 32
+        return [(h + j * (h >> 32 | 1)) % cells for j in range(language.HASHES)]
+
+    for lang, held in grams.items():
+        bits[lang] = {p for g in held for p in cells_of(g)}
+    seen = slow_grams(text or "")
+    if not seen:
+        return "und", 0.0
+    net = {}
+    for lang in sorted(grams):
+        false = (len(bits[lang]) / cells) ** language.HASHES
+        found = sum(all(p in bits[lang] for p in cells_of(g)) for g in seen)
+        net[lang] = (found - len(seen) * false) / (1 - false)
+    best = max(sorted(net), key=net.get)  # the first of equals
+    return best, min(1.0, max(0.0, net[best] / len(seen)))
+
+
+def test_language_against_sets(spark):
+    import random
+    rng = random.Random(12)
+    words = {f"l{k:02d}": ["".join(rng.choice("abcdeéßдя中") for _ in range(rng.randint(1, 7))) for _ in range(25)]
+             for k in range(70)}  # two words of the bit slices
+    words["l69"] = words["l68"]   # ties
+    rows = [(" ".join(rng.choices(w, k=20)) + rng.choice(["", "!", " 7 "]), lang) for lang, w in words.items()
+            if lang < "l68" for _ in range(4)]
+    same = [" ".join(words["l68"])] * 2
+    rows += [(t, lang) for t in same for lang in ("l68", "l69")]
+    rows += rows[:9] + [(None, "l00"), ("abc", None), ("12", "l01")]  # repeated rows count twice
+    df = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.learn(df)
+    want = slow_filters(rows)
+    assert model.langs == sorted(want) and model.words == 2
+    exact = language.Filters({n: np.array(sorted(map(packed, g)), np.uint64) for n, g in want.items()})
+    assert (model.table == exact.table).all()
+    texts = [None, "", "?!", "Z", *same, *(rng.choice(rows)[0] for _ in range(12)), "ABC дя" * 2000]
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts])], "doc_id long, text string")
+    got = {r.doc_id: r for r in language.identify(asked, model).collect()}
+    assert len(got) == 2 * len(texts)
+    for i, t in enumerate(texts):
+        lang, score = slow_predict(t, want, model.cells)
+        for r in (got[i], got[i + len(texts)]):
+            assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-9)
+    assert got[4].lang_pred == "l68"
+
+
 def fill(sizes, weights, top):
     """Targets by repeated resharing."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))

@@ -119,6 +119,16 @@ def test_hub_splits(hot):
     assert moves.count() >= 0
 
 
+def test_messages_to_a_hub_split_under_default_settings(hot):
+    e = hub_edges(hot)
+    a = spread(hot.range(0, N + 1).select(F.col("id").alias("vid"), (F.col("id") % 3).alias("cid")))
+    hot.conf.set(loop.FORCE_SPLIT, "false")
+    lowest = G.aggregate_messages(e, a, F.min, to_src=F.col("dst_cid"), to_dst=F.col("src_cid"))
+    same = F.when(F.col("src_cid") == F.col("dst_cid"), F.lit(1))
+    for messages in (lowest, G.aggregate_messages(e, a, F.sum, to_src=same, to_dst=same)):
+        assert "skew=true" in final_plan(messages)
+
+
 def test_hub_splits_inside_tables(hot, monkeypatch):
     """Joins whose result is written at once: their plans, caught as they are written."""
     plans = []

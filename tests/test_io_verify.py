@@ -128,3 +128,24 @@ def test_verify_matching(spark):
     assert (foreign["foreign"], foreign["valid"]) == (1, False)
     shared = verify_matching(e, edges_df(spark, [(1, 2), (2, 3)])).first()
     assert (shared["max_degree"], shared["valid"], shared["size"]) == (2, False, None)
+
+
+def test_job_reads_raw_edges_once(spark, tmp_path, monkeypatch):
+    """The raw edges are scanned by one written table; loops and NULL ends stay vertices."""
+    from graphcluster.plans import job
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text(" +1 , 2\r\n2,1\n2,3\n7,7\n-5,9000000000\n")
+    plans, real = [], job.store
+
+    def caught(df, name="table", **metrics):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name, **metrics)
+
+    monkeypatch.setattr(job, "store", caught)
+    got = {r["vid"] for r in job.cluster(IO.read_edges(spark, str(raw)), "hash", "none").assign.collect()}
+    assert got == {1, 2, 3, 7, -5, 9000000000}
+    scans = [p for p in plans if "Relation [value" in p]
+    assert len(plans) == 2 and len(scans) == 1 and "regexp_extract" not in scans[0]
+    nulls = spark.createDataFrame([(1, 2), (None, 4), (None, None), (5, None)], "src BIGINT, dst BIGINT")
+    assert {r["vid"] for r in job.cluster(nulls, "hash", "none").assign.collect()} == {1, 2, 4, 5}

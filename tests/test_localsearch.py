@@ -222,6 +222,31 @@ def test_stop_query_takes_no_round_limit(spark, monkeypatch):
 # ---------------------------------------------------------------------------
 # the incremental state
 
+def test_counts_take_one_pass_without_decimals(spark):
+    """Counting joins rows that carry their own cluster, so that nothing is joined to the
+    histogram, and pairs of 32-bit numbers are compared as integers."""
+    adj = spark.createDataFrame([(0, 0, 1)], "vid BIGINT, cid BIGINT, nbr BIGINT")
+    state = assign_df(spark, {0: 0, 1: 1})
+    plan = L._counts(adj, state, state.limit(0), "max_overlap")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_least_pair_equals_sorted_pairs(spark):
+    """Short and wide pairs in one group, ties, and rows left out."""
+    from pyspark.sql import functions as F
+    from graphcluster.functions.packing import KEY_OFFSET, least_pair, packed_id, packed_key
+    rng = random.Random(12)
+    some = [-2**63, -2**31 - 1, -2**31, -1, 0, 1, 2**31 - 1, 2**31, 2**63 - 1]
+    keys = [-2**40, -2**31 - 1, -2**31, -2, 0, 2**31 - 1, 2**31, 2**40]
+    rows = [(g, rng.choice(keys), rng.choice(some), rng.random() < 0.7) for g in range(60) for _ in range(3)]
+    m = least_pair(F.col("k"), F.col("i"), F.col("keep")).alias("m")
+    found = spark.createDataFrame([*rows, (-1, None, 1, True), (-2, 1, None, True)],
+                                  "g INT, k BIGINT, i BIGINT, keep BOOLEAN").groupBy("g").agg(m).select(
+        "g", (packed_key(F.col("m")) - KEY_OFFSET).alias("k"), packed_id(F.col("m")).alias("i")).collect()
+    got = {r["g"]: (r["k"], r["i"]) for r in found if r["k"] is not None}
+    want = {g: min((k, i) for h, k, i, keep in rows if h == g and keep) for g, _, _, kept in rows if kept}
+    assert got == want
+
 @pytest.mark.parametrize("target", ["max_overlap", "min_delta"])
 def test_state_after_moves_equals_a_full_recount(spark, target):
     rng = random.Random(31)

@@ -196,3 +196,22 @@ def test_xxhash_priorities_cluster_too(spark):
                   vertices=spark.createDataFrame([(999,)], "vid long"))
     lab = labels_of(res.assign)
     assert lab[999] == 999 and py_cost(pairs, lab) == res.cost
+
+
+def test_written_joins_with_a_small_side_are_hashed(hot):
+    """No join of a written table sorts while one side's shuffle partitions are small; a
+    value that the session has set stays."""
+    hot.conf.set(loop.FORCE_SPLIT, "false")
+    e, a = hub_edges(hot), giant(hot)
+    with loop.split_skew(hot):
+        plan = final_plan(e.join(a.withColumnRenamed("vid", "src"), "src"))
+    plan = plan.split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin(skew=true)" in plan and "SortMergeJoin" not in plan
+    assert hot.conf.get(loop.HASH_JOIN, None) is None
+    hot.conf.set(loop.HASH_JOIN, "0")
+    try:
+        with loop.split_skew(hot):
+            assert hot.conf.get(loop.HASH_JOIN) == "0"
+        assert hot.conf.get(loop.HASH_JOIN) == "0"
+    finally:
+        hot.conf.unset(loop.HASH_JOIN)

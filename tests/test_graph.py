@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from graph_models import assign_df, edges_df, py_cost, simple
@@ -118,3 +120,18 @@ def test_greedy_matching_is_a_matching(spark):
     m = rows(greedy_matching(edges_df(spark, pairs)))
     seen = [v for e in m for v in e]
     assert len(seen) == len(set(seen)) and m and set(m) <= set(pairs)
+
+
+def test_edges_need_no_table_of_distinct_members(spark, monkeypatch):
+    """Repeated members and integer baskets give the edges of the distinct members' stars,
+    and only the hubs are written for them."""
+    from graphcluster.sources import tables as T
+    rng = random.Random(5)
+    some = [(rng.randrange(40), rng.choice([None, *range(12)])) for _ in range(400)]
+    df = spark.createDataFrame(some + some, "item BIGINT, basket BIGINT")
+    want = rows(G.canonical_edges(star_rows(df, "item", "basket", 3)))
+    assert want == rows(G.canonical_edges(star_rows(df, "item", F.col("basket").cast("string"), 3)))
+    written, real = [], T.materialize
+    monkeypatch.setattr(T, "materialize", lambda df, name="table": written.append(name) or real(df, name))
+    assert rows(cooccurrence_edges(df, "item", "basket", 3)) == want
+    assert written == ["hubs"]

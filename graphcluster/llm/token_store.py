@@ -46,7 +46,7 @@ LEVEL = 3
 BLOCK_BYTES = 1 << 20    #: a block is closed beyond this size
 BLOCK_DOCS = 1_000
 MEMO_CHARS = 48          #: longer pieces are not remembered
-MEMO_ROWS = 300_000      #: remembered pieces per worker; the memo is emptied beyond
+MEMO_ROWS = 1_000_000     #: remembered pieces per worker; the memo is emptied beyond
 JOINED = 64              #: new pieces that the library gets as one text
 GROUP_BYTES = 1 << 20    #: bytes of text encoded together, at least one text
 
@@ -105,18 +105,18 @@ class Encoder:
                 pieces.append(parts[k])
                 pieces += self.find(parts[k + 1])
             rows.append(pieces)
-        found = [list(map(memo.get, pieces)) for pieces in rows]
-        new = {p for pieces, ids in zip(rows, found) if None in ids
-               for p, i in zip(pieces, ids) if i is None}
+        if len(memo) > MEMO_ROWS:
+            memo.clear()
+        new = set().union(*rows).difference(memo)
         if new:
             here = {p: i for p, i in self.added.items() if p in new}
             here.update(self.ask([p for p in new if p not in here]))
-            found = [[here[p] if i is None else i for p, i in zip(pieces, ids)] if None in ids else ids
-                     for pieces, ids in zip(rows, found)]
-            if len(memo) > MEMO_ROWS:
-                memo.clear()
-            memo.update((p, i) for p, i in here.items() if len(p) <= MEMO_CHARS)
-        return [b"".join(ids) for ids in found]
+            memo.update(here)
+        out = [b"".join(map(memo.__getitem__, pieces)) for pieces in rows]
+        for p in new:
+            if len(p) > MEMO_CHARS:
+                del memo[p]
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -169,3 +169,15 @@ def test_empty_tables(spark, docs_of):
     folder = scratch_dir(spark, "store")
     token_store.write_store(none, folder, JSON, 2)
     assert token_store.read_store(spark, folder).count() == 0
+
+
+def test_half_a_million_pieces_are_remembered():
+    """A worker asks once for each of half a million pieces; long ones are asked again."""
+    coder = token_store.Encoder(P.path("byte_bpe_50k.json"))
+    asked = []
+    coder.ask = lambda pieces: asked.extend(pieces) or {p: p.encode() for p in pieces}
+    many = [chr(0x4E00 + i % 9000) + chr(0x4E00 + i // 9000) for i in range(450_000)]
+    long = "x" * 99
+    for texts in (many[:200_000], many[200_000:], many, [long], [long]):
+        assert coder.encode(texts) == [t.encode() for t in texts]
+    assert len(set(asked)) == 450_001 and len(asked) == 450_002 and long not in coder.memo

@@ -40,7 +40,7 @@ from graphcluster.llm.common import MEMOS, arrow_map
 LEAF_CHARS = 4096      #: a text up to this length is a leaf
 LEAF_BYTES = 24        #: a piece up to this length is merged directly
 MEMO_CHARS = 48        #: longer pieces are not remembered
-MEMO_ROWS = 200_000    #: remembered pieces per worker; the memo is emptied beyond
+MEMO_ROWS = 600_000    #: remembered pieces per worker; the memo is emptied beyond
 FIT_ROWS = 50_000     #: remembered pairs of ids
 
 
@@ -51,6 +51,7 @@ class Bpe:
         pairs = (line.split() for line in rank_file.splitlines() if line.strip())
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
         self.bytes_of = {i: b for b, i in self.ranks.items()}
+        self.packed = {i: i.to_bytes(4, "little") for i in self.bytes_of}
         self.find = regex.compile(pattern).findall
         self.memo: dict[str, bytes] = {}
         self.fits: dict[tuple[int, int], bool] = {}
@@ -140,7 +141,7 @@ class Bpe:
     # -- pieces ---------------------------------------------------------------
     def piece(self, text: str) -> bytes:
         ids = self.halves(text.encode("utf-8"))
-        packed = np.asarray(ids, dtype="<u4").tobytes()
+        packed = b"".join(map(self.packed.__getitem__, ids))
         if len(text) <= MEMO_CHARS:
             if len(self.memo) >= MEMO_ROWS:
                 self.memo.clear()

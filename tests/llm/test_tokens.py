@@ -181,3 +181,11 @@ def test_half_a_million_pieces_are_remembered():
     for texts in (many[:200_000], many[200_000:], many, [long], [long]):
         assert coder.encode(texts) == [t.encode() for t in texts]
     assert len(set(asked)) == 450_001 and len(asked) == 450_002 and long not in coder.memo
+
+
+def test_tree_remembers_half_a_million_pieces():
+    tree = bpe_tree.Bpe(b"\n".join(base64.b64encode(bytes([b])) + b" %d" % b for b in range(256)), P.PATTERN)
+    many = [chr(0x4E00 + i % 9000) + chr(0x4E00 + i // 9000) for i in range(450_000)]
+    tree.memo.update(dict.fromkeys(many[:-1], b""))
+    assert tree.pieces(many[-1:]) == [np.frombuffer(many[-1].encode(), "u1").astype("<u4").tobytes()]
+    assert len(tree.memo) == 450_000

@@ -24,8 +24,10 @@ table makes an empty store; a text of any length is one frame.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,25 @@ BLOCKS = ("part int, block int, start long, n_ids long, first_doc long, last_doc
           "dict_hash string, payload binary")
 
 
+@cache
+def finder(pattern: str = PATTERN) -> Callable[[str], list[str]]:
+    """All matches of the tokenizer's pattern in a text.
+
+    Its classes of letters, numbers and white space are written out as the characters
+    of 16 bits that they hold, which Python's own ``re`` looks up in one table; a
+    text with other characters is matched by ``regex``.
+    """
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    plain = pattern
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        runs = regex.findall(name + "+", every)
+        chars = "".join(f"\\u{ord(r[0]):04x}-\\u{ord(r[-1]):04x}" for r in runs)
+        plain = plain.replace(name + "+", f"[{chars}]+").replace(name, chars)
+    plain = plain.replace(r"\S", f"[^{chars}]")
+    short, long = re.compile(plain).findall, regex.compile(pattern).findall
+    return lambda t: short(t) if t.isascii() or len(t.encode("utf-16-le")) == 2 * len(t) else long(t)
+
+
 class Encoder:
     """Ids by the tokenizers library, which is asked once for each distinct piece.
 
@@ -74,7 +95,7 @@ class Encoder:
         names = sorted(added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.line, = self.tok.encode("\n", add_special_tokens=False).ids
-        self.find = regex.compile(PATTERN).findall
+        self.find = finder()
         self.memo: dict[str, bytes] = {}
 
     def ask(self, pieces: list[str]) -> dict[str, bytes]:

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -189,3 +190,12 @@ def test_tree_remembers_half_a_million_pieces():
     tree.memo.update(dict.fromkeys(many[:-1], b""))
     assert tree.pieces(many[-1:]) == [np.frombuffer(many[-1].encode(), "u1").astype("<u4").tobytes()]
     assert len(tree.memo) == 450_000
+
+
+def test_pattern_matches_as_regex_does():
+    """Each character beside letters, numbers, marks and white space."""
+    find, want = token_store.finder(), regex.compile(token_count.PATTERN).findall
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x11000), *range(0x1D400, 0x1D420), 0x10FFFF]):
+        text = f"it's {c}b 1{c} ,{c}  {c}{c} d{c}"
+        assert find(text) == want(text)
+    assert token_store.Encoder(JSON).find is find

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphcluster.operators.cost import vertex_disagreement
-from graphcluster.operators.graph import canonical_edges, vertices_of
+from graphcluster.operators.graph import canonical_edges, distinct_pairs, vertices_of
 from graphcluster.plans.loop import materialize
 
 
@@ -33,12 +33,14 @@ def verify_clustering(edges: DataFrame, assign: DataFrame) -> DataFrame:
     vertices without a row; unknown: distinct ids that aren't in the graph;
     unassigned: rows whose vertex or label is NULL.  ``disagreements`` is
     computed for a valid solution only (else NULL), on one row per vertex, so
-    that repeated rows never multiply in a join.
+    that repeated rows never multiply in a join.  ``edges`` are read and told apart
+    once: the vertices and both uses of the canonical edges read a table of pairs.
     """
+    pairs = materialize(distinct_pairs(edges), "pairs")
     sol = assign.select("vid", "cid")
     one = F.lit(1).cast("bigint")
     zero = F.lit(0).cast("bigint")
-    rows = (vertices_of(edges).select("vid", one.alias("graph"), zero.alias("rows"), zero.alias("nulls"))
+    rows = (vertices_of(pairs).select("vid", one.alias("graph"), zero.alias("rows"), zero.alias("nulls"))
             .unionByName(sol.select("vid", zero.alias("graph"), one.alias("rows"),
                                     (F.col("vid").isNull() | F.col("cid").isNull()).cast("bigint").alias("nulls"))))
     per = rows.groupBy("vid").agg(*[F.sum(c).alias(c) for c in ("graph", "rows", "nulls")])
@@ -50,7 +52,7 @@ def verify_clustering(edges: DataFrame, assign: DataFrame) -> DataFrame:
         ("unassigned", F.col("nulls")))])
     once = materialize(sol.where(F.col("vid").isNotNull() & F.col("cid").isNotNull())
                        .groupBy("vid").agg(F.min("cid").alias("cid")), "solution")
-    cost = vertex_disagreement(canonical_edges(edges), once).agg(
+    cost = vertex_disagreement(pairs.where(F.col("src") < F.col("dst")), once).agg(
         F.coalesce(F.sum(F.col("disagreement").cast("decimal(38,0)")), F.lit(0)).alias("twice"))
     names = ["duplicates", "missing", "unknown", "unassigned"]
     none = F.lit(None)

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from graph_models import assign_df, edges_df
 from graphcluster.operators.verify import verify_clustering, verify_matching
@@ -149,3 +150,19 @@ def test_job_reads_raw_edges_once(spark, tmp_path, monkeypatch):
     assert len(plans) == 2 and len(scans) == 1 and "regexp_extract" not in scans[0]
     nulls = spark.createDataFrame([(1, 2), (None, 4), (None, None), (5, None)], "src BIGINT, dst BIGINT")
     assert {r["vid"] for r in job.cluster(nulls, "hash", "none").assign.collect()} == {1, 2, 4, 5}
+
+
+def test_verifier_reads_raw_edges_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def watched(x):
+        read.add(1)
+        return x
+
+    raw = [(1, 2), (2, 1), (2, 3), (3, 3), (5, 5), (None, 6), (None, None), (1, 2)]
+    edges = spark.createDataFrame(raw, "src long, dst long")
+    clusters = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (5, 5), (6, 6)], "vid long, cid long")
+    row = verify_clustering(edges.select(watched("src").alias("src"), "dst"), clusters).first()
+    assert (row.duplicates, row.missing, row.unknown, row.unassigned, row.valid, row.disagreements) == (0, 0, 0, 0, True, 1)
+    assert read.value <= 2 * len(raw)  # a column may be computed for each use in a projection

@@ -347,6 +347,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     product = Table(work.repartition(parts, "task").sortWithinPartitions("task", "sig")
                     .mapInArrow(_product(percent), "sig long, links long, star long"), "links").df
     survivors.drop()
+    free_shuffles(spark)
 
     roots = components(product.select(F.col("sig").alias("a"), F.col("star").alias("b"))).df
     links = product.groupBy("sig").agg(F.sum("links").alias("links"))
@@ -379,6 +380,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", percent:
 
     kept = Table(judged.where("doc_id = component_id").select(
         name(F.col("doc_id.id"), F.col("doc_id.tid")).alias("_name")).distinct(), "kept-rows").df
+    free_shuffles(docs.sparkSession)  # the caller's action shuffles the texts
     alone = F.col(key).isNull() & ~F.coalesce(F.col(text).rlike(WORD), F.lit(False))
     named = (docs.where(~alone).withColumn("_name", name(F.col(key), tid))
              .join(kept, "_name", "left_semi").dropDuplicates(["_name"]).drop("_name"))

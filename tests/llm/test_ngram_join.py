@@ -112,3 +112,19 @@ def test_keep_one_judges_each_text_of_an_id(spark, docs_of):
         assert got == sorted([(0, a), (1, b), (None, "lonely words here"), (5, None), (None, ""), (None, ""),
                               (None, None), (6, " ")], key=repr)
     assert ngram_join.keep_one(docs).dtypes == docs.dtypes
+
+
+def test_shuffles_are_freed_before_texts_are_shuffled(spark, docs_of, monkeypatch):
+    done = []
+
+    class Named(ngram_join.Table):
+        def __init__(self, df, name, *more, **kw):
+            super().__init__(df, name, *more, **kw)
+            done.append(name)
+
+    monkeypatch.setattr(ngram_join, "Table", Named)
+    monkeypatch.setattr(ngram_join, "free_shuffles", lambda spark: done.append("free"))
+    kept = ngram_join.keep_one(docs_of([(1, "a b c d e f g"), (2, "a b c d e f g")]))
+    assert done[-2:] == ["kept-rows", "free"]  # what comes next is the caller's action
+    assert done.index("free", done.index("links")) < done.index("rooted")
+    assert [r.doc_id for r in kept.collect()] == [1]

@@ -268,6 +268,19 @@ def test_state_after_moves_equals_a_full_recount(spark, target):
         assert labels_of(G.relabel(a)) == labels_of(a)
 
 
+@pytest.mark.parametrize("target", ["max_overlap", "min_delta"])
+def test_order_of_the_counting_joins_changes_nothing(spark, monkeypatch, target):
+    pairs = random_graph(random.Random(33), 30, 0.1)
+    e = G.canonical_edges(edges_df(spark, pairs))
+    start = assign_df(spark, {v: v % 5 for x in simple(pairs) for v in x})
+    found = []
+    for most in (0, 10**9):
+        monkeypatch.setattr(L, "MOST", most)
+        res = L.local_search(e, start, 3, 1, target=target, canonical=True)
+        found.append((labels_of(res.assign), res.rounds, res.counted))
+    assert found[0] == found[1] and len(found[0][1]) > 1
+
+
 def test_counting_follows_the_moves(spark):
     """Two far components: only the one that moves is counted again."""
     clique = [(a, b) for a in range(10) for b in range(a)]

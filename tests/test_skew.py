@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +152,34 @@ def test_hub_splits_inside_tables(hot, monkeypatch):
     assert len(found) == 2 and all("skew=true" in p for p in found)
 
 
+def test_vertices_are_counted_where_they_were_joined(hot, monkeypatch):
+    """The histogram is not shuffled by vertex and cluster, unless a hub was split."""
+    plans = []
+    real = loop.store
+
+    def caught(df, name="table", **metrics):
+        with loop.split_skew(df.sparkSession):
+            if name == "ls_state":
+                plans.append(final_plan(df).split("== Initial Plan ==")[0])
+        return real(df, name, **metrics)
+
+    monkeypatch.setattr(L, "store", caught)
+    path = spread(hot.range(0, N).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst")))
+    a = spread(hot.range(0, N + 1).select(F.col("id").alias("vid"), F.expr("id - id % 4").alias("cid")))
+    for e in (path, hub_edges(hot)):
+        adj = loop.materialize(G.neighbours(e))
+        state = L._first_state(a, adj, "max_overlap", True)
+        inside = e.where("src div 4 = dst div 4").count()
+        assert state.metrics["inside2"] == 2 * inside
+        used = state.df.where("delta < 0").selectExpr("vid", "cid AS from_cid", "dest AS to_cid", "fresh", "delta")
+        after, moved, counted = L._next_state(state.df, used, adj, "max_overlap", True)
+        assert moved and counted * L.MOST >= N
+    assert len(plans) == 4
+    again = [bool(re.search(r"hashpartitioning\(vid#\d+L, cid#\d+L, nbr_cid#\d+L", p)) for p in plans]
+    assert again == [False, False, True, True]
+    assert all("skew=true" in p for p in plans[2:])
+
+
 def test_held_frames_outlive_their_parents(spark):
     """Tables are deleted by their handles alone."""
     kept = loop.store(spark.range(0, 1000).select(F.col("id").alias("v")))
